@@ -24,10 +24,9 @@ class StoredTable:
     sort: tuple[str, ...]
 
 
-def _windowed(columns: T.StructType) -> Callable[[DataFrame], DataFrame]:
-    kept = [name for name in columns.names if name not in ("window_start", "window_end")]
-    start = to_millis(F.col("window_start")).alias("window_start")
-    return lambda landing: landing.select(start, *kept)
+def _windowed(landing: DataFrame) -> DataFrame:
+    kept = [name for name in landing.columns if name not in ("window_start", "window_end")]
+    return landing.select(to_millis(F.col("window_start")).alias("window_start"), *kept)
 
 
 def _spread(landing: DataFrame) -> DataFrame:
@@ -40,24 +39,17 @@ def _peg(landing: DataFrame) -> DataFrame:
     return landing.select(F.timestamp_seconds("publish_time").alias("ts"), *kept)
 
 
-def _table(name, landing, project, time_col, sort) -> StoredTable:
-    return StoredTable(name, landing, project, time_col, sort)
-
-
 _BY_PRODUCT = ("product_id", "window_start")
 
 TABLES = {
-    t.name: t
-    for t in [
-        *[
-            _table(f"ohlcv_{label}", schemas.BAR, _windowed(schemas.BAR), "window_start",
-                   _BY_PRODUCT)
-            for label in ("1s", "10s", "1m")
-        ],
-        _table("cross_source_spread", schemas.SPREAD, _spread, "ts", ("ts",)),
-        _table("imbalance", schemas.IMBALANCE, _windowed(schemas.IMBALANCE), "window_start",
-               _BY_PRODUCT),
-        _table("usdc_peg_alerts", schemas.PEG_ALERT, _peg, "ts", ("ts",)),
+    table.name: table
+    for table in [
+        StoredTable("ohlcv_1s", schemas.BAR, _windowed, "window_start", _BY_PRODUCT),
+        StoredTable("ohlcv_10s", schemas.BAR, _windowed, "window_start", _BY_PRODUCT),
+        StoredTable("ohlcv_1m", schemas.BAR, _windowed, "window_start", _BY_PRODUCT),
+        StoredTable("cross_source_spread", schemas.SPREAD, _spread, "ts", ("ts",)),
+        StoredTable("imbalance", schemas.IMBALANCE, _windowed, "window_start", _BY_PRODUCT),
+        StoredTable("usdc_peg_alerts", schemas.PEG_ALERT, _peg, "ts", ("ts",)),
     ]
 }
 

@@ -98,8 +98,11 @@ def _messages(
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
     parsed = F.from_json(text, f"{envelope}, {_CORRUPT} string", options)
     broken = F.col("m").isNull() | F.col(f"m.{_CORRUPT}").isNotNull() | (F.trim("value") == "")
+    # A generator, unlike a projection, is not copied into every expression that reads ``m``:
+    # each message is parsed once.
     messages = (
-        raw.withColumn("_source", F.col("value")).withColumn("m", parsed)
+        raw.withColumn("_source", F.col("value"))
+        .withColumn("m", F.explode(F.array(parsed)))
         .withColumn("_broken", broken)
     )
     if channel is None:

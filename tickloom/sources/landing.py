@@ -19,10 +19,11 @@ def read_landing(topic: DataFrame, schema: T.StructType) -> DataFrame:
     that does not fit its type, is not ok.
     """
     value = F.col("value").cast("string")
-    fields = schema.add(_CORRUPT, "string") if _CORRUPT not in schema.names else schema
+    fields = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, **JSON_OPTIONS}
-    parsed = topic.select(
-        value.alias("_source"), F.from_json(value, fields, options).alias("m")
+    # Exploded, so that the message is parsed once however many columns read it.
+    parsed = topic.select(value.alias("_source")).withColumn(
+        "m", F.explode(F.array(F.from_json("_source", fields, options)))
     )
     ok = (
         F.col("m").isNotNull() & F.col(f"m.{_CORRUPT}").isNull() & (F.trim("_source") != "")
@@ -30,7 +31,6 @@ def read_landing(topic: DataFrame, schema: T.StructType) -> DataFrame:
     columns = [
         F.coalesce(F.col("m")[f.name], _default(f.dataType)).alias(f.name)
         for f in schema.fields
-        if f.name != _CORRUPT
     ]
     return parsed.select(*columns, "_source", F.coalesce(ok, F.lit(False)).alias("_ok"))
 
