@@ -90,15 +90,54 @@ def rolling_stats(
             F.greatest("_n", start - halo), F.least(last, start + (block_rows - 1))
         )
         spread = spread.withColumn("_n", F.explode(positions)).drop(copies)
-    frame = Window.partitionBy(key, "_block").orderBy("_n").rowsBetween(-halo, 0)
     return (
-        spread.withColumn("rolling_mean", F.avg(value).over(frame))
-        .withColumn("rolling_std", F.stddev_pop(value).over(frame))
-        .withColumn("sample_count", F.count("*").over(frame))
+        _frame_stats(spread, key, value, rows)
         .where((F.col("_n") >= start) & (F.col("_n") < start + block_rows))
         .drop("_n", "_block")
     )
 
 
+def _frame_stats(df: DataFrame, key: str, value: str, rows: int) -> DataFrame:
+    """Mean, deviation and count of the last ``rows`` rows at constant cost per row.
+
+    Rows fall into groups of ``rows``. A frame is the head of the row's own group plus the tail of
+    the group before it, and both grow by one row at a time, so no frame is added up anew. The two
+    parts are merged by the pairwise variance formula, which never subtracts large sums.
+    """
+    in_group = Window.partitionBy(key, "_block", "_group")
+    growing = (Window.unboundedPreceding, 0)
+    parts = {
+        "tail": in_group.orderBy(F.col("_n").desc()).rowsBetween(*growing),
+        "head": in_group.orderBy("_n").rowsBetween(*growing),
+    }
+    x = F.col(value)
+    for name, frame in parts.items():
+        stats = {"n": F.count("*"), "mean": F.avg(x), "var": F.var_pop(x)}
+        if name == "tail":
+            df = df.withColumn("_group", _div(F.col("_n"), rows))
+        for stat, aggregate in stats.items():
+            df = df.withColumn(f"_{name}_{stat}", aggregate.over(frame))
+    before = Window.partitionBy(key, "_block").orderBy("_group", "_n")
+    whole = F.col("_head_n") == rows
+    for stat in ("n", "mean", "var"):
+        lagged = F.lag(f"_tail_{stat}", rows - 1).over(before)
+        df = df.withColumn(f"_tail_{stat}", lagged)
+    tail_n = F.when(whole, F.lit(0)).otherwise(F.coalesce("_tail_n", F.lit(0)))
+    shift = F.when(tail_n > 0, F.col("_tail_mean") - F.col("_head_mean")).otherwise(F.lit(0.0))
+    count = F.col("_head_n") + tail_n
+    share = tail_n / count
+    variance = (
+        F.col("_head_var") * (1 - share)
+        + F.coalesce("_tail_var", F.lit(0.0)) * share
+        + shift * shift * share * (1 - share)
+    )
+    return (
+        df.withColumn("rolling_mean", F.col("_head_mean") + shift * share)
+        .withColumn("rolling_std", F.sqrt(variance))
+        .withColumn("sample_count", count)
+        .drop("_group", *[f"_{part}_{stat}" for part in parts for stat in ("n", "mean", "var")])
+    )
+
+
 def _div(number: Column, by: int) -> Column:
     return F.call_function("div", number, F.lit(by))
