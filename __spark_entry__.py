@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.operators.asof import asof_join
 from tickloom.operators.bars import bars, bars_by_size
@@ -71,13 +72,16 @@ def _rounded(name: str, digits: int = 6) -> Column:
     return F.round(F.col(name) + NUDGE, digits).alias(name)
 
 
-def _run(writer, name: str) -> str:
-    """Run a stream over everything that is there, and return where its state was kept."""
+def _run(writer: DataStreamWriter, name: str) -> None:
+    """Run a stream over everything that is there, with one state partition per core."""
     spark = SparkSession.active()
-    checkpoint = work_dir(spark, f"checkpoint-{name}")
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
-    query.awaitTermination()
-    return checkpoint
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", spark.sparkContext.defaultParallelism)
+    try:
+        writer = writer.option("checkpointLocation", work_dir(spark, f"checkpoint-{name}"))
+        writer.trigger(availableNow=True).start().awaitTermination()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
 
 
 def _run_to_table(df: DataFrame, name: str) -> DataFrame:

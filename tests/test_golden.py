@@ -1,0 +1,223 @@
+"""Worked examples of prices, peg alerts, imbalance, bars and the spread signal."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.functions.prices import fixed_point, imbalance_band, imbalance_ratio, z_score
+from tickloom.functions.text import number, ticker_topic, trade_side
+from tickloom.operators.bars import bars, bars_by_size
+from tickloom.operators.imbalance import hop_imbalance, pane_imbalance
+from tickloom.operators.peg import peg_alerts
+from tickloom.operators.spread import spread_records, spread_signal
+
+
+def value(spark, column):
+    return spark.range(1).select(column.alias("v")).first().v
+
+
+def at(seconds):
+    return dt.datetime(2024, 1, 5) + dt.timedelta(seconds=seconds)
+
+
+@pytest.mark.parametrize(("raw", "price"), [(8_624_000_000, 86.24), (99_975_000, 0.99975)])
+def test_fixed_point(spark, raw, price):
+    got = value(spark, fixed_point(F.lit(raw), F.lit(-8)))
+    assert got == pytest.approx(price, abs=1e-12)
+
+
+@pytest.mark.parametrize(
+    ("raw", "severity"),
+    [
+        (99_975_000, None),
+        (100_000_000, None),
+        (100_110_000, "INFO"),
+        (99_490_000, "WARNING"),
+        (101_010_000, "CRITICAL"),
+        (98_990_000, "CRITICAL"),
+    ],
+)
+def test_peg_tiers(spark, raw, severity):
+    prices = spark.createDataFrame(
+        [("f", raw, -8, 1_700_000_000)],
+        "feed_id string, price_raw bigint, expo int, publish_time bigint",
+    )
+    assert [r.severity for r in peg_alerts(prices).collect()] == ([severity] if severity else [])
+
+
+def test_peg_threshold_moves_the_entry_only(spark):
+    prices = spark.createDataFrame(
+        [("f", 100_050_000, -8, 1)], "feed_id string, price_raw bigint, expo int, publish_time bigint"
+    )
+    assert [r.severity for r in peg_alerts(prices, threshold=0.0001).collect()] == ["INFO"]
+
+
+@pytest.mark.parametrize(
+    ("bid", "ask", "ratio"), [(0.0, 0.0, 0.0), (3.0, 1.0, 0.5), (0.0, 2.0, -1.0), (2.0, 0.0, 1.0)]
+)
+def test_imbalance_ratio(spark, bid, ask, ratio):
+    assert value(spark, imbalance_ratio(F.lit(bid), F.lit(ask))) == ratio
+
+
+@pytest.mark.parametrize(
+    ("x", "band"),
+    [(-0.9, "red"), (-0.5, "red"), (-0.2, "yellow"), (0.19, "yellow"), (0.2, "green"),
+     (0.5, "yellow"), (1.0, "yellow")],
+)
+def test_imbalance_band(spark, x, band):
+    assert value(spark, imbalance_band(F.lit(x))) == band
+
+
+@pytest.mark.parametrize(
+    ("args", "z"),
+    [((5.0, 5.0, 0.0, 1), 0.0), ((5.0, 4.0, 0.0, 9), 0.0), ((5.0, 4.0, 0.5, 9), 2.0)],
+)
+def test_z_score(spark, args, z):
+    assert value(spark, z_score(*map(F.lit, args))) == z
+
+
+@pytest.mark.parametrize(
+    ("text", "parsed"),
+    [("1.5", 1.5), (" 2 ", 2.0), ("-1e3", -1000.0), ("x", None), ("", None), ("1d", None),
+     ("2.5F", None), ("Infinity", float("inf"))],
+)
+def test_number(spark, text, parsed):
+    assert value(spark, number(F.lit(text))) == parsed
+
+
+def test_sides_and_topics(spark):
+    sides = [value(spark, trade_side(F.lit(s))) for s in ("BUY", "SELL", "HOLD", None)]
+    assert sides == ["BUY", "SELL", "UNKNOWN", "UNKNOWN"]
+    assert value(spark, ticker_topic(F.lit("SOL-USDT"))) == "coinbase.sol_usdt.ticker"
+
+
+TRADES = [
+    # product, id, price, size, second: two trades share an instant, ids order them as numbers
+    ("A", "10", 5.0, 1.0, 0.0),
+    ("A", "9", 4.0, 1.0, 0.0),
+    ("A", "11", 9.0, 2.0, 0.5),
+    ("A", "12", 6.0, 1.0, 1.2),
+    ("A", "101", 2.0, 1.0, 61.0),
+    ("A", "99", 3.0, 1.0, 61.0),
+    ("B", "1", 7.0, 4.0, 59.9),
+]
+
+
+def trades(spark):
+    rows = [(p, i, x, s, at(t)) for p, i, x, s, t in TRADES]
+    return spark.createDataFrame(
+        rows, "product_id string, trade_id string, price double, size double, time timestamp"
+    )
+
+
+def bar_tuples(df):
+    return sorted(
+        (r.product_id, r.window_start, r.open, r.high, r.low, r.close, r.volume, r.trade_count)
+        for r in df.collect()
+    )
+
+
+MINUTE_BARS = [
+    ("A", at(0), 4.0, 9.0, 4.0, 6.0, 5.0, 4),
+    ("A", at(60), 3.0, 3.0, 2.0, 2.0, 2.0, 2),
+    ("B", at(0), 7.0, 7.0, 7.0, 7.0, 4.0, 1),
+]
+
+
+def test_bars(spark):
+    assert bar_tuples(bars(trades(spark), 60)) == MINUTE_BARS
+    assert bar_tuples(bars(trades(spark), 1))[0] == ("A", at(0), 4.0, 9.0, 4.0, 9.0, 4.0, 3)
+
+
+def test_packed_order_gives_the_same_bars(spark):
+    assert bar_tuples(bars(trades(spark), 60, id_bits=37)) == MINUTE_BARS
+
+
+def test_packed_order_refuses_wide_ids(spark):
+    with pytest.raises(Exception, match="needs more than 4 bits"):
+        bars(trades(spark), 60, id_bits=4).collect()
+    with pytest.raises(ValueError, match="bits for ids"):
+        bars(trades(spark), 60, id_bits=60)
+
+
+def test_bars_of_all_sizes_equal_bars_of_each(spark):
+    together = bars_by_size(trades(spark))
+    for label, size_s in {"1s": 1, "10s": 10, "1m": 60}.items():
+        mine = together.where(F.col("bar") == label).drop("bar")
+        assert bar_tuples(mine) == bar_tuples(bars(trades(spark), size_s))
+        assert mine.select("window_end").distinct().count() > 0
+    with pytest.raises(ValueError, match="does not divide"):
+        bars_by_size(trades(spark), {"2s": 2, "5s": 5})
+
+
+@pytest.mark.parametrize(("size_s", "slide_s"), [(30, 5), (30, 30), (10, 4), (7, 3)])
+def test_panes_equal_hops(spark, size_s, slide_s):
+    ticks = spark.range(400).select(
+        F.concat(F.lit("P"), (F.col("id") % 2).cast("string")).alias("product_id"),
+        F.timestamp_millis(F.lit(1_704_412_800_000) + F.col("id") * 777).alias("received_at"),
+        (F.col("id") % 7 + 1.0).alias("best_bid"),
+        (F.col("id") % 11 + 2.0).alias("best_ask"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 5.0).otherwise(0.0).alias("best_bid_quantity"),
+        F.when(F.col("id") % 5 > 0, F.col("id") % 3.0).otherwise(0.0).alias("best_ask_quantity"),
+    )
+
+    def rows(df):
+        return sorted(
+            (r.product_id, r.window_start, r.window_end, round(r.avg_imbalance, 9),
+             round(r.avg_spread, 9), round(r.avg_bid_qty, 9), round(r.avg_ask_qty, 9), r.tick_count)
+            for r in df.collect()
+        )
+
+    options = {"size_s": size_s, "slide_s": slide_s}
+    hops, panes = rows(hop_imbalance(ticks, **options)), rows(pane_imbalance(ticks, **options))
+    assert hops == panes and all(-1 <= r[3] <= 1 for r in hops)
+
+
+def quotes(spark, rows):
+    return spark.createDataFrame(
+        [("S", at(t), i, float(bid), float(ask)) for i, (t, bid, ask) in enumerate(rows)],
+        "symbol string, ts timestamp, tick_id bigint, best_bid double, best_ask double",
+    )
+
+
+def prices(spark, rows):
+    return spark.createDataFrame(
+        [("S", at(t), i, raw, -8) for i, (t, raw) in enumerate(rows)],
+        "symbol string, ts timestamp, update_id bigint, price_raw bigint, expo int",
+    )
+
+
+def test_spread_signal(spark):
+    ticks = quotes(spark, [(0, 1, 1), (1, 99, 101), (2, 101, 103), (11, 102, 104), (12, 1, 1)])
+    oracle = prices(spark, [(1, 9_900_000_000), (2, 10_000_000_000), (0.5, 1)])
+    got = spread_records(
+        spread_signal(ticks, oracle, tick_id=["tick_id"], oracle_id=["update_id"])
+    ).orderBy("ts_ms").collect()
+    # The first tick has no price yet; the one at 12 s still sees the price of 2 s.
+    assert [r.sample_count for r in got] == [1, 2, 3, 4]
+    assert [r.spread for r in got] == [1.0, 2.0, 3.0, -99.0]
+    assert (got[0].rolling_mean, got[0].rolling_std, got[0].z_score) == (1.0, 0.0, 0.0)
+    assert (got[1].rolling_mean, got[1].rolling_std, got[1].z_score) == (1.5, 0.5, 1.0)
+    assert got[0].ts_ms == 1_704_412_801_000
+    assert (got[2].coinbase_mid, got[2].pyth_price) == (103.0, 100.0)
+
+
+def test_constant_spread_scores_zero(spark):
+    ticks = quotes(spark, [(t / 10, 100.1, 100.1) for t in range(50)])
+    signal = spread_signal(ticks, prices(spark, [(0, 10_000_000_000)]), tick_id=["tick_id"])
+    assert {r.z_score for r in signal.collect()} == {0.0}
+
+
+def test_frame_holds_the_last_hundred(spark):
+    ticks = quotes(spark, [(t / 100, 100.0 + t, 100.0 + t) for t in range(150)])
+    signal = spread_signal(ticks, prices(spark, [(0, 10_000_000_000)]), tick_id=["tick_id"])
+    last = {r.tick_id: r for r in signal.collect()}
+    assert last[99].sample_count == last[100].sample_count == 100
+    assert last[100].rolling_mean == pytest.approx(50.5)
+
+
+def test_equal_quotes_without_ids_all_count(spark):
+    ticks = quotes(spark, [(1, 100, 102)] * 5 + [(2, 104, 104)]).drop("tick_id")
+    signal = spread_signal(ticks, prices(spark, [(0, 10_000_000_000)]), rows=3)
+    assert sorted(r.sample_count for r in signal.collect()) == [1, 2, 3, 3, 3, 3]

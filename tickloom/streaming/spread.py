@@ -15,7 +15,7 @@ from tickloom.settings import MAX_AGE_S, ZSCORE_ROWS
 from tickloom.streaming.folders import drop_older, newest_before, written
 
 # Tasks over which the ticks of one symbol spread; every oracle update is copied to each.
-SALTS = 8
+SALTS = 4
 
 
 def stream_spreads(
