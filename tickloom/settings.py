@@ -43,6 +43,8 @@ class Settings:
             USDC_USD_FEED: USDC_ORACLE_TOPIC,
         }
     )
+    # Which oracle feed prices which product.
+    feed_products: Mapping[str, str] = field(default_factory=lambda: {SOL_USD_FEED: "SOL-USD"})
 
     @classmethod
     def from_env(cls, env: Mapping[str, str] = os.environ) -> Settings:
@@ -55,4 +57,5 @@ class Settings:
                 env.get("PYTH_FEED_SOL_USD", SOL_USD_FEED): SOL_ORACLE_TOPIC,
                 env.get("PYTH_FEED_USDC_USD", USDC_USD_FEED): USDC_ORACLE_TOPIC,
             },
+            feed_products={env.get("PYTH_FEED_SOL_USD", SOL_USD_FEED): "SOL-USD"},
         )

@@ -64,8 +64,8 @@ def stream_kafka(
 
 
 def write_topic_files(messages: DataFrame, path: str) -> None:
-    """Messages as text files under ``topic=<name>/``, the file form of the topics."""
-    messages.select("value", "topic").write.partitionBy("topic").mode("error").text(path)
+    """Append messages to text files under ``topic=<name>/``, the file form of the topics."""
+    messages.select("value", "topic").write.partitionBy("topic").mode("append").text(path)
 
 
 def stream_topic_files(messages: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:

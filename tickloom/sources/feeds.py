@@ -91,6 +91,14 @@ def known_feeds(oracle: DataFrame, feed_topics: Mapping[str, str]) -> DataFrame:
     return oracle.join(F.broadcast(feeds), "feed_id")
 
 
+def priced_products(oracle: DataFrame, feed_products: Mapping[str, str]) -> DataFrame:
+    """Oracle prices with the ``symbol`` of the product they price; other feeds are dropped."""
+    products = oracle.sparkSession.createDataFrame(
+        list(feed_products.items()), "feed_id string, symbol string"
+    )
+    return oracle.join(F.broadcast(products), "feed_id")
+
+
 def _messages(
     raw: DataFrame, text: Column, envelope: str, channel: str | None = None
 ) -> DataFrame:

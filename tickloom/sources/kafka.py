@@ -47,18 +47,21 @@ def replay_topic(spark: SparkSession, bootstrap_servers: str, topic: str) -> Dat
 
 
 def decode_avro(messages: DataFrame, record: str, columns: tuple[str, ...] = ()) -> DataFrame:
-    """Registry-framed Avro values to typed columns; name ``columns`` to decode only those.
+    """Registry-framed Avro values to typed columns; name ``columns`` to keep only those.
 
-    The Kafka timestamp stays as ``arrived_at`` for jobs that want arrival time as event time.
+    ``arrived_at`` is the Kafka timestamp, for jobs that want arrival time as event time;
+    ``partition`` and ``offset`` identify the message.
     """
     from pyspark.sql.avro.functions import from_avro
 
     body = F.expr(f"substring(value, {REGISTRY_HEADER_BYTES + 1})")
     decoded = messages.select(
         F.col("timestamp").alias("arrived_at"),
+        "partition",
+        "offset",
         from_avro(body, schemas.avro_schema(record)).alias("r"),
-    ).select("arrived_at", "r.*")
+    ).select("arrived_at", "partition", "offset", "r.*")
     iso = _ISO_FIELDS.get(record)
     if iso is not None:
         decoded = decoded.withColumn(iso, iso_time(F.col(iso)))
-    return decoded.select("arrived_at", *columns) if columns else decoded
+    return decoded.select("arrived_at", "partition", "offset", *columns) if columns else decoded

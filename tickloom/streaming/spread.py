@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -88,12 +88,14 @@ def score_stream(
     *,
     tick_id: Sequence[str],
     rows: int = ZSCORE_ROWS,
+    publish: Callable[[DataFrame], None] | None = None,
 ) -> DataStreamWriter:
     """Writer that adds rolling statistics and stores scored rows below ``path``.
 
     Micro-batches arrive in time order, so a batch needs only the last ``rows - 1`` rows per
     symbol of the batches before it: the tail, kept as a small table. All three folders of a batch
-    are overwritten by its id, so a repeated batch leaves no duplicates.
+    are overwritten by its id, so a repeated batch leaves no duplicates. ``publish`` also gets the
+    scored rows of each batch, at least once, to send them on.
 
     Start it with a checkpoint location and a trigger; read the result with ``scored``.
     """
@@ -109,7 +111,7 @@ def score_stream(
             tail = spark.read.parquet(f"{path}/tail/batch_id={tail_id}")
             known = known.unionByName(tail.withColumn("_new", F.lit(False)))
         signal = with_z_score(known, tick_id=tick_id, rows=rows)
-        _write(signal.where("_new").drop("_new"), f"{path}/scored/batch_id={batch_id}")
+        new = _write(signal.where("_new").drop("_new"), f"{path}/scored/batch_id={batch_id}")
         latest = Window.partitionBy("symbol").orderBy(
             *[F.col(c).desc() for c in ("ts", *tick_id, "spread", "coinbase_mid")]
         )
@@ -120,6 +122,8 @@ def score_stream(
         _write(tail.drop("_rank", "_new"), f"{path}/tail/batch_id={batch_id}")
         for folder in ("tail", "staged"):
             drop_older(spark, f"{path}/{folder}", batch_id, keep=2)
+        if publish is not None:
+            publish(new)
 
     return spreads.writeStream.foreachBatch(score)
 
