@@ -44,6 +44,14 @@ def test_landing_tolerates_broken_messages(spark):
         "", "[]", "{", '{"publish_time": "x"}']
 
 
+@pytest.mark.parametrize("fraction", ["", ".5", ".500", ".500000"])
+def test_landing_reads_any_number_of_decimals(spark, fraction):
+    text = '{"window_start": "2024-01-05 01:02:03%s"}' % fraction
+    landing = read_landing(spark.createDataFrame([(text,)], "value string"), BAR)
+    row = accepted(landing).first()
+    assert row.window_start == dt.datetime(2024, 1, 5, 1, 2, 3, 500_000 if fraction else 0)
+
+
 def test_topics_round_trip(spark, tmp_path):
     bars = bars_frame(spark, 50)
     path = str(tmp_path / "topics")

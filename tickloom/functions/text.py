@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Fixed value: how timestamps are written in JSON results.
 JSON_TIME_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 JSON_OPTIONS = {"timestampFormat": JSON_TIME_FORMAT, "timestampNTZFormat": JSON_TIME_FORMAT}
+# Readers accept any number of decimals up to six, or none.
+JSON_READ_OPTIONS = {name: "yyyy-MM-dd HH:mm:ss[.SSSSSS]" for name in JSON_OPTIONS}
 
 
 def number(text: Column) -> Column:

@@ -5,6 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,6 +49,28 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(root, f"{name}-{uuid.uuid4().hex}")
 
 
+_scopes: ContextVar[tuple[list[str], ...]] = ContextVar("staging_scopes", default=())
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Deletes, at its end, the tables that were staged inside it.
+
+        with staging(spark):
+            spread_signal(ticks, oracle).write.parquet(result)
+
+    Results that read staged tables must be written inside. Without it the tables stay.
+    """
+    paths: list[str] = []
+    token = _scopes.set((*_scopes.get(), paths))
+    try:
+        yield
+    finally:
+        _scopes.reset(token)
+        for path in paths:
+            delete(spark, path)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared folder and return a scan of the written table.
 
@@ -53,5 +78,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     and gives Catalyst the table's real size to choose joins by. The write runs at once.
     """
     path = work_dir(df.sparkSession, name)
+    for scope in _scopes.get()[-1:]:
+        scope.append(path)
     df.write.mode("error").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def file_system(spark: SparkSession, path: str):
+    """The Hadoop file system a path belongs to, and the path as its Path."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, hadoop_path = file_system(spark, path)
+    fs.delete(hadoop_path, True)

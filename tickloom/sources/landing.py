@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tickloom.functions.text import JSON_OPTIONS
+from tickloom.functions.text import JSON_READ_OPTIONS
 
 _CORRUPT = "_corrupt"
 
@@ -20,7 +20,7 @@ def read_landing(topic: DataFrame, schema: T.StructType) -> DataFrame:
     """
     value = F.col("value").cast("string")
     fields = T.StructType([*schema.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, **JSON_OPTIONS}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT, **JSON_READ_OPTIONS}
     # Exploded, so that the message is parsed once however many columns read it.
     parsed = topic.select(value.alias("_source")).withColumn(
         "m", F.explode(F.array(F.from_json("_source", fields, options)))

@@ -5,23 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-_PREFIX = "batch_id="
-
+from tickloom.session import delete, file_system
 
-def _file_system(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+_PREFIX = "batch_id="
 
 
 def batch_ids(spark: SparkSession, path: str) -> list[int]:
     """Ids of the batch folders directly below ``path`` that were written completely."""
-    fs, folder = _file_system(spark, path)
+    fs, folder = file_system(spark, path)
     if not fs.exists(folder):
         return []
     names = [status.getPath().getName() for status in fs.listStatus(folder)]
     ids = [int(n[len(_PREFIX):]) for n in names if n.startswith(_PREFIX)]
-    done = spark._jvm.org.apache.hadoop.fs.Path
-    return sorted(i for i in ids if fs.exists(done(f"{path}/{_PREFIX}{i}/_SUCCESS")))
+    return sorted(
+        i for i in ids if fs.exists(file_system(spark, f"{path}/{_PREFIX}{i}/_SUCCESS")[1])
+    )
 
 
 def newest_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
@@ -31,10 +29,9 @@ def newest_before(spark: SparkSession, path: str, batch_id: int) -> int | None:
 
 def drop_older(spark: SparkSession, path: str, batch_id: int, keep: int) -> None:
     """Delete the batch folders before ``batch_id`` except the newest ``keep``."""
-    fs, _ = _file_system(spark, path)
     earlier = [i for i in batch_ids(spark, path) if i < batch_id]
     for old in earlier[:-keep]:
-        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{_PREFIX}{old}"), True)
+        delete(spark, f"{path}/{_PREFIX}{old}")
 
 
 def written(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tickloom.functions.prices import mid_price
 from tickloom.functions.times import epoch_seconds
 from tickloom.operators.spread import decode_oracle, with_z_score
+from tickloom.session import staging
 from tickloom.settings import MAX_AGE_S, ZSCORE_ROWS
 from tickloom.streaming.folders import drop_older, newest_before, written
 
@@ -110,8 +111,9 @@ def score_stream(
         if tail_id is not None:
             tail = spark.read.parquet(f"{path}/tail/batch_id={tail_id}")
             known = known.unionByName(tail.withColumn("_new", F.lit(False)))
-        signal = with_z_score(known, tick_id=tick_id, rows=rows)
-        new = _write(signal.where("_new").drop("_new"), f"{path}/scored/batch_id={batch_id}")
+        with staging(spark):
+            signal = with_z_score(known, tick_id=tick_id, rows=rows)
+            new = _write(signal.where("_new").drop("_new"), f"{path}/scored/batch_id={batch_id}")
         latest = Window.partitionBy("symbol").orderBy(
             *[F.col(c).desc() for c in ("ts", *tick_id, "spread", "coinbase_mid")]
         )
