@@ -123,6 +123,11 @@ def test_avro_schema_details():
     assert side["type"]["symbols"] == ["BUY", "SELL", "UNKNOWN"] and side["default"] == "UNKNOWN"
 
 
+def test_reader_schema_skips_other_fields():
+    fields = json.loads(schemas.avro_schema("ticker", ["best_bid", "best_ask"]))["fields"]
+    assert [f["name"] for f in fields] == ["best_bid", "best_ask"]
+
+
 def test_topic_options():
     options = topic_options("host:1", "t", start="earliest", group="g")
     assert options["startingOffsets"] == "earliest" and options["subscribe"] == "t"

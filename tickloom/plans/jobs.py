@@ -58,6 +58,9 @@ STORED_TOPICS = {
     "imbalance": settings.IMBALANCE_TOPIC,
     "usdc_peg_alerts": settings.PEG_TOPIC,
 }
+EVENT_TIME = {"trade": "time", "ticker": "received_at", "oracle": "publish_time"}
+QUOTE = ["product_id", "best_bid", "best_ask"]
+PRICE = ["feed_id", "price_raw", "expo"]
 JOBS = ("bars", "imbalance", "spread", "peg", "store", "ingest")
 
 
@@ -68,20 +71,22 @@ class Topics:
         self.spark, self.args, self.config = spark, args, config
         self.folder = f"{args.files}/topics/{args.job}"
 
-    def records(self, record: str, topic: str, time_col: str) -> DataFrame:
-        """Typed records with ``event_time`` and the unique ``partition`` and ``offset``."""
+    def records(self, record: str, topic: str, columns: Sequence[str]) -> DataFrame:
+        """``columns`` with ``event_time`` and the unique ``partition`` and ``offset``."""
+        time_col = EVENT_TIME[record]
+        columns = [*columns, time_col]
         if self.args.files:
             folder = "trades" if record == "trade" else record
             path = f"{self.args.files}/{folder}"
             rows = stream_parquet(self.spark, path, schemas.RECORDS[record]).select(
-                "*",
+                *columns,
                 F.col("_metadata.file_path").alias("partition"),
                 F.col("_metadata.row_index").alias("offset"),
             )
         else:
             servers = self.config.bootstrap_servers
             raw = stream_topic(self.spark, servers, topic, start=self.args.start)
-            rows = decode_avro(raw, record)
+            rows = decode_avro(raw, record, columns)
             if self.args.arrival_time:
                 return rows.withColumn("event_time", F.col("arrived_at"))
         at = F.col(time_col)
@@ -114,15 +119,17 @@ def writers(
     """The job's queries, ready to start."""
     topics, checkpoint = Topics(spark, args, config), f"{args.work}/checkpoint"
     if args.job == "bars":
-        trades = topics.records("trade", settings.TRADES_TOPIC, "time")
+        columns = ["product_id", "trade_id", "price", "size"]
+        trades = topics.records("trade", settings.TRADES_TOPIC, columns)
         bars = stream_bars(trades, lateness=args.lateness, time_col="event_time")
         return [topics.write(bar_messages(bars), checkpoint)]
     if args.job == "imbalance":
-        ticks = topics.records("ticker", settings.TICKER_TOPIC, "received_at")
+        columns = [*QUOTE, "best_bid_quantity", "best_ask_quantity"]
+        ticks = topics.records("ticker", settings.TICKER_TOPIC, columns)
         rows = stream_imbalance(ticks, lateness=args.lateness, time_col="event_time")
         return [topics.write(imbalance_messages(rows), checkpoint)]
     if args.job == "peg":
-        prices = topics.records("oracle", settings.USDC_ORACLE_TOPIC, "publish_time")
+        prices = topics.records("oracle", settings.USDC_ORACLE_TOPIC, PRICE)
         feeds = [f for f, t in config.feed_topics.items() if t == settings.USDC_ORACLE_TOPIC]
         prices = prices.where(F.col("feed_id").isin(feeds))
         return [topics.write(peg_messages(prices, config.peg_threshold), checkpoint)]
@@ -139,7 +146,7 @@ def writers(
 
 
 def _spread(topics: Topics, args: argparse.Namespace, config: Settings) -> DataStreamWriter:
-    ticks = topics.records("ticker", settings.TICKER_TOPIC, "received_at").select(
+    ticks = topics.records("ticker", settings.TICKER_TOPIC, QUOTE).select(
         F.col("product_id").alias("symbol"),
         F.col("event_time").alias("ts"),
         "partition",
@@ -148,7 +155,7 @@ def _spread(topics: Topics, args: argparse.Namespace, config: Settings) -> DataS
         "best_ask",
     )
     oracle = priced_products(
-        topics.records("oracle", settings.SOL_ORACLE_TOPIC, "publish_time"), config.feed_products
+        topics.records("oracle", settings.SOL_ORACLE_TOPIC, PRICE), config.feed_products
     ).withColumnRenamed("event_time", "ts")
     message_id = ["partition", "offset"]
     spreads = stream_spreads(
@@ -211,6 +218,7 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--lateness", default="10 seconds", help="watermark delay")
     parser.add_argument("--arrival-time", action="store_true", help="Kafka time as event time")
     parser.add_argument("--tables", nargs="+", default=list(STORED_TOPICS), help="for store")
+    parser.add_argument("--every", help="interval of the micro-batches, such as '1 minute'")
     parser.add_argument("--once", action="store_true", help="handle what is there, then stop")
     return parser.parse_args(argv)
 
@@ -222,6 +230,8 @@ def start(
     ready = writers(spark, args, config or Settings.from_env())
     if args.once:
         ready = [writer.trigger(availableNow=True) for writer in ready]
+    elif args.every:
+        ready = [writer.trigger(processingTime=args.every) for writer in ready]
     return [writer.start() for writer in ready]
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 from pyspark.sql import types as T
 
@@ -88,10 +89,15 @@ OPTIONAL_TICKER_FIELDS = ("volume_24_h", "low_24_h", "high_24_h", "price_percent
 RECORDS = {"trade": TRADE, "ticker": TICKER, "oracle": ORACLE}
 
 
-def avro_schema(record: str) -> str:
-    """Avro description of a typed record, derived from its Spark layout."""
+def avro_schema(record: str, columns: Sequence[str] = ()) -> str:
+    """Avro description of a typed record, derived from its Spark layout.
+
+    With ``columns`` it describes only those fields: a reader schema that skips the others.
+    """
     fields = []
     for f in RECORDS[record].fields:
+        if columns and f.name not in columns:
+            continue
         avro: dict = {"name": f.name, "type": _AVRO_TYPES[f.dataType.simpleString()]}
         if record == "trade" and f.name == "side":
             avro["type"] = {"type": "enum", "name": "TradeSide", "symbols": list(SIDES)}

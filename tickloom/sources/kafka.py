@@ -6,6 +6,8 @@ there; everything behind them takes plain DataFrames.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,8 +48,8 @@ def replay_topic(spark: SparkSession, bootstrap_servers: str, topic: str) -> Dat
     return spark.read.format("kafka").options(**options).load()
 
 
-def decode_avro(messages: DataFrame, record: str, columns: tuple[str, ...] = ()) -> DataFrame:
-    """Registry-framed Avro values to typed columns; name ``columns`` to keep only those.
+def decode_avro(messages: DataFrame, record: str, columns: Sequence[str] = ()) -> DataFrame:
+    """Registry-framed Avro values to typed columns; with ``columns`` only those are decoded.
 
     ``arrived_at`` is the Kafka timestamp, for jobs that want arrival time as event time;
     ``partition`` and ``offset`` identify the message.
@@ -55,13 +57,12 @@ def decode_avro(messages: DataFrame, record: str, columns: tuple[str, ...] = ())
     from pyspark.sql.avro.functions import from_avro
 
     body = F.expr(f"substring(value, {REGISTRY_HEADER_BYTES + 1})")
+    reader = {"avroSchema": schemas.avro_schema(record, columns)} if columns else {}
     decoded = messages.select(
         F.col("timestamp").alias("arrived_at"),
         "partition",
         "offset",
-        from_avro(body, schemas.avro_schema(record)).alias("r"),
+        from_avro(body, schemas.avro_schema(record), reader).alias("r"),
     ).select("arrived_at", "partition", "offset", "r.*")
     iso = _ISO_FIELDS.get(record)
-    if iso is not None:
-        decoded = decoded.withColumn(iso, iso_time(F.col(iso)))
-    return decoded.select("arrived_at", "partition", "offset", *columns) if columns else decoded
+    return decoded.withColumn(iso, iso_time(F.col(iso))) if iso in decoded.columns else decoded

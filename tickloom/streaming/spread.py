@@ -117,7 +117,8 @@ def score_stream(
         latest = Window.partitionBy("symbol").orderBy(
             *[F.col(c).desc() for c in ("ts", *tick_id, "spread", "coinbase_mid")]
         )
-        # Spark keeps only the first rows of each group before it shuffles them.
+        # Up to this threshold Spark keeps only the first rows of a group before it shuffles them.
+        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", max(1000, rows))
         tail = known.withColumn("_rank", F.row_number().over(latest)).where(
             F.col("_rank") <= max(rows - 1, 1)
         )
