@@ -478,10 +478,10 @@ scores AS (
   SELECT symbol, tick_id, epoch_us(ts) // 1000 AS ts_ms,
          round(coinbase_mid + 3.7e-9, 6) AS coinbase_mid,
          round(pyth_price + 3.7e-9, 6) AS pyth_price,
-         round(spread + 3.7e-9, 6) AS spread,
-         round(rolling_mean + 3.7e-9, 6) AS rolling_mean,
+         round(spread + 3.7e-9, 6) + 0.0 AS spread,  -- no negative zero
+         round(rolling_mean + 3.7e-9, 6) + 0.0 AS rolling_mean,
          round(rolling_std + 3.7e-9, 6) AS rolling_std,
-         round(z_score + 3.7e-9, 4) AS z_score,
+         round(z_score + 3.7e-9, 4) + 0.0 AS z_score,
          sample_count
   FROM z)"""
 
@@ -501,7 +501,7 @@ SELECT p AS product_id, value + shift AS price, value + shift AS best_bid,
        value + shift + 1 AS best_ask, CAST(k AS DOUBLE) AS best_bid_quantity,
        CAST(user_id % 50 AS DOUBLE) AS best_ask_quantity,
        CASE WHEN k % 4 > 1 THEN CAST(k AS DOUBLE) END AS volume_24_h,
-       CAST(NULL AS DOUBLE) AS low_24_h, CAST(NULL AS DOUBLE) AS high_24_h,
+       value AS low_24_h, CAST(NULL AS DOUBLE) AS high_24_h,
        CAST(NULL AS DOUBLE) AS price_percent_chg_24_h, ts AS received_at
 FROM fx, (VALUES ('SOL-USD', 0), ('SOL-USDT', 2)) AS products(p, shift)"""
 

@@ -154,6 +154,7 @@ def ticker_messages(ev: DataFrame) -> DataFrame:
             k.cast("string").alias("best_bid_quantity"),
             (F.col("user_id") % 50).cast("string").alias("best_ask_quantity"),
             F.when(k % 4 == 0, "n/a").when(k % 4 > 1, k.cast("string")).alias("volume_24_h"),
+            F.col("value").cast("string").alias("low_24_h"),
         )
 
     quotes = F.array(quote("SOL-USD", 0), quote("SOL-USDT", 2)).alias("tickers")
