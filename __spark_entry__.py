@@ -35,7 +35,7 @@ from tickloom.sources.feeds import (
 )
 from tickloom.sources.landing import read_landing
 from tickloom.sources.tables import read_table
-from tickloom.streaming.spread import score_stream, scored, stream_spreads
+from tickloom.streaming.spread import live_spread, score_stream, scored, stream_spreads
 from tickloom.streaming.store import store_stream, stored
 from tickloom.streaming.windows import bar_messages, stream_bars, stream_imbalance
 
@@ -51,9 +51,9 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.events(spark, sf_dir)
 
 
-def _stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _stream(spark: SparkSession, sf_dir: str, close: bool = True) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return feeds.stream_events(spark, sf_dir)
+    return feeds.stream_events(spark, sf_dir, close)
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
@@ -338,6 +338,14 @@ def _stream_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(scored(spark, path))
 
 
+def _live_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = {"tick_id": ["tick_id"], "oracle_id": ["update_id"]}
+    ticks, oracle = (f(_stream(spark, sf_dir, close=False)) for f in (feeds.ticker, feeds.oracle))
+    path = work_dir(spark, "live")
+    _run(live_spread(ticks, oracle, path, **ids), "live")
+    return _scores(scored(spark, path))
+
+
 def _stream_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades stream to bar topics; the 1 m topic then streams into its stored table."""
     trades = feeds.trades(_stream(spark, sf_dir))
@@ -390,6 +398,7 @@ def queries() -> dict[str, Query]:
         "stream_imbalance_hop": _stream_imbalance,
         "stream_peg_alerts": _stream_peg,
         "stream_spread_zscore": _stream_spread,
+        "stream_spread_live": _live_spread,
         "stream_to_stored_ohlcv_1m": _stream_to_store,
     }
 
@@ -579,6 +588,7 @@ def oracle_sql() -> dict[str, str]:
         "stream_imbalance_hop": "imbalance_hop",
         "stream_peg_alerts": "peg_alerts",
         "stream_spread_zscore": "spread_zscore",
+        "stream_spread_live": "spread_zscore",
         "stream_to_stored_ohlcv_1m": "stored_ohlcv_1m",
     }
     return sql | {name: sql[twin] for name, twin in same.items()}

@@ -14,7 +14,7 @@ from tickloom.sinks.tables import TABLES
 from tickloom.sinks.topics import json_messages, stream_topic_files
 from tickloom.sources.files import stream_parquet, stream_text
 from tickloom.streaming.folders import batch_ids, drop_older
-from tickloom.streaming.spread import score_stream, scored, stream_spreads
+from tickloom.streaming.spread import live_spread, score_stream, scored, stream_spreads
 from tickloom.streaming.store import broken, store_stream, stored
 from tickloom.streaming.windows import (
     bar_messages,
@@ -192,6 +192,43 @@ def test_spread_survives_a_failed_batch(spark, spread_case, monkeypatch):
     assert same(rounded_scores(scored(spark, str(tmp_path / "out"))), expected)
 
 
+def live(spark, tmp_path, ticks, oracle):
+    streams = [
+        stream_parquet(spark, str(tmp_path / name), df.schema, files_per_batch=1)
+        for name, df in (("ticks", ticks), ("oracle", oracle))
+    ]
+    writer = live_spread(
+        *streams, str(tmp_path / "out"), tick_id=["tick_id"], oracle_id=["update_id"], rows=20)
+    run(writer, tmp_path / "c")
+    return scored(spark, str(tmp_path / "out"))
+
+
+def test_live_spread_equals_batch_when_nothing_is_late(spark, tmp_path):
+    ticks, oracle = spread_feeds(spark)
+    # Files are cut at the same moments, so prices come with the ticks they serve.
+    for cut in range(5):
+        for name, df in (("ticks", ticks), ("oracle", oracle)):
+            second = F.least((F.col("ts").cast("double") - START) / 60, F.lit(4.0))
+            part = df.where(F.floor(second) == cut)
+            part.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+    got = live(spark, tmp_path, ticks, oracle)
+    batch = spread_signal(ticks, oracle, tick_id=["tick_id"], oracle_id=["update_id"], rows=20)
+    assert len(batch_ids(spark, str(tmp_path / "out/prices"))) <= 3
+    assert same(rounded_scores(got), rounded_scores(batch))
+
+
+def test_live_spread_does_not_wait_for_late_prices(spark, tmp_path):
+    ticks, oracle = spread_feeds(spark)
+    first = ticks.where("tick_id < 50")
+    first.coalesce(1).write.parquet(str(tmp_path / "ticks"))
+    oracle.where("ts < timestamp_seconds(%d)" % START).coalesce(1).write.parquet(
+        str(tmp_path / "oracle"))
+    ticks.where("tick_id >= 50").coalesce(1).write.mode("append").parquet(str(tmp_path / "ticks"))
+    oracle.coalesce(1).write.mode("append").parquet(str(tmp_path / "oracle"))
+    got = live(spark, tmp_path, ticks, oracle)
+    assert got.agg(F.min("tick_id")).first()[0] >= 50
+
+
 def alerts(spark):
     return spark.range(90).select(
         (F.lit(START) + F.col("id") * 3000).alias("publish_time"), F.lit("f").alias("feed_id"),

@@ -50,14 +50,18 @@ def with_z_score(
     *,
     tick_id: Sequence[str] = (),
     rows: int = ZSCORE_ROWS,
+    arrival: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Adds the rolling statistics of ``spread`` per symbol and the z-score of each row."""
+    """Adds the rolling statistics of ``spread`` per symbol and the z-score of each row.
+
+    Rows follow event time, within the ``arrival`` columns if there are any.
+    """
     # Rows that tie on all of these have equal output, so their order cannot matter.
     stats = rolling_stats(
         df,
         key="symbol",
-        order=["ts", *tick_id, "spread", "coinbase_mid"],
+        order=[*arrival, "ts", *tick_id, "spread", "coinbase_mid"],
         value="spread",
         rows=rows,
         copies="copies" if "copies" in df.columns else None,

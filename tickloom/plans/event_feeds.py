@@ -26,13 +26,16 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_feed_time(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
-def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+def stream_events(spark: SparkSession, sf_dir: str, close: bool = True) -> DataFrame:
     """The same rows as a stream, closed by two rows a month later, one tick and one price.
 
     Append mode keeps windows open until the watermark passes them; the closing rows push it past
     all real ones, and are themselves never emitted. The pattern lets the path be one file or a
     directory.
     """
+    stream = stream_parquet(spark, f"{sf_dir}/events.parque[t]", EVENTS)
+    if not close:
+        return with_feed_time(stream)
     raw = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
     end = raw.agg(F.max("ts").alias("ts"), F.max("event_id").alias("event_id"))
     kinds = F.array(F.lit(ORACLE_EVENT), F.lit("view"))
@@ -46,10 +49,7 @@ def stream_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = work_dir(spark, "closing")
     closing.write.parquet(path)
-    streams = [
-        stream_parquet(spark, source, EVENTS) for source in (f"{sf_dir}/events.parque[t]", path)
-    ]
-    return with_feed_time(streams[0].unionByName(streams[1]))
+    return with_feed_time(stream.unionByName(stream_parquet(spark, path, EVENTS)))
 
 
 def with_feed_time(raw: DataFrame) -> DataFrame:

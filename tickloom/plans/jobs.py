@@ -42,7 +42,7 @@ from tickloom.sources.feeds import (
 )
 from tickloom.sources.files import stream_parquet, stream_text
 from tickloom.sources.kafka import decode_avro, stream_topic
-from tickloom.streaming.spread import score_stream, stream_spreads
+from tickloom.streaming.spread import live_spread, score_stream, stream_spreads
 from tickloom.streaming.store import store_stream
 from tickloom.streaming.windows import (
     bar_messages,
@@ -158,22 +158,17 @@ def _spread(topics: Topics, args: argparse.Namespace, config: Settings) -> DataS
         topics.records("oracle", settings.SOL_ORACLE_TOPIC, PRICE), config.feed_products
     ).withColumnRenamed("event_time", "ts")
     message_id = ["partition", "offset"]
-    spreads = stream_spreads(
-        ticks,
-        oracle,
-        tick_id=message_id,
-        oracle_id=message_id,
-        max_age_s=config.max_age_s,
-        lateness=args.lateness,
-    )
 
     def publish(scored: DataFrame) -> None:
         topics.publish(json_messages(spread_records(scored), settings.SPREAD_TOPIC))
 
-    return score_stream(
-        spreads, f"{args.work}/spread", tick_id=message_id, rows=config.zscore_rows,
-        publish=publish,
-    )
+    path = f"{args.work}/spread"
+    ids = {"tick_id": message_id, "oracle_id": message_id, "max_age_s": config.max_age_s}
+    output = {"rows": config.zscore_rows, "publish": publish}
+    if args.live:
+        return live_spread(ticks, oracle, path, **ids, **output)
+    joined = stream_spreads(ticks, oracle, lateness=args.lateness, **ids)
+    return score_stream(joined, path, tick_id=message_id, **output)
 
 
 def _ingest(
@@ -217,6 +212,9 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--start", default="latest", choices=("latest", "earliest"))
     parser.add_argument("--lateness", default="10 seconds", help="watermark delay")
     parser.add_argument("--arrival-time", action="store_true", help="Kafka time as event time")
+    parser.add_argument(
+        "--live", action="store_true", help="spread: score ticks as they arrive, no watermark"
+    )
     parser.add_argument("--tables", nargs="+", default=list(STORED_TOPICS), help="for store")
     parser.add_argument("--every", help="interval of the micro-batches, such as '1 minute'")
     parser.add_argument("--once", action="store_true", help="handle what is there, then stop")

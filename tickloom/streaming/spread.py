@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.functions.prices import mid_price
 from tickloom.functions.times import epoch_seconds
-from tickloom.operators.spread import decode_oracle, with_z_score
+from tickloom.operators.spread import decode_oracle, spreads, with_z_score
 from tickloom.session import staging
 from tickloom.settings import MAX_AGE_S, ZSCORE_ROWS
 from tickloom.streaming.folders import drop_older, newest_before, written
@@ -84,7 +84,7 @@ def stream_spreads(
 
 
 def score_stream(
-    spreads: DataFrame,
+    joined: DataFrame,
     path: str,
     *,
     tick_id: Sequence[str],
@@ -94,41 +94,82 @@ def score_stream(
     """Writer that adds rolling statistics and stores scored rows below ``path``.
 
     Micro-batches arrive in time order, so a batch needs only the last ``rows - 1`` rows per
-    symbol of the batches before it: the tail, kept as a small table. All three folders of a batch
-    are overwritten by its id, so a repeated batch leaves no duplicates. ``publish`` also gets the
+    symbol of the batches before it: the tail, kept as a small table. All folders of a batch are
+    overwritten by its id, so a repeated batch leaves no duplicates. ``publish`` also gets the
     scored rows of each batch, at least once, to send them on.
 
-    Start it with a checkpoint location and a trigger; read the result with ``scored``.
+    Start it with a checkpoint location and a trigger, one path per checkpoint; read the result
+    with ``scored``.
     """
 
     def score(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         fresh = _write(batch, f"{path}/staged/batch_id={batch_id}")
         if fresh.isEmpty():
             return
-        known = fresh.withColumn("_new", F.lit(True))
-        tail_id = newest_before(spark, f"{path}/tail", batch_id)
-        if tail_id is not None:
-            tail = spark.read.parquet(f"{path}/tail/batch_id={tail_id}")
-            known = known.unionByName(tail.withColumn("_new", F.lit(False)))
-        with staging(spark):
-            signal = with_z_score(known, tick_id=tick_id, rows=rows)
-            new = _write(signal.where("_new").drop("_new"), f"{path}/scored/batch_id={batch_id}")
-        latest = Window.partitionBy("symbol").orderBy(
-            *[F.col(c).desc() for c in ("ts", *tick_id, "spread", "coinbase_mid")]
-        )
-        # Up to this threshold Spark keeps only the first rows of a group before it shuffles them.
-        spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", max(1000, rows))
-        tail = known.withColumn("_rank", F.row_number().over(latest)).where(
-            F.col("_rank") <= max(rows - 1, 1)
+        new = _score(fresh, path, batch_id, tick_id, rows)
+        drop_older(batch.sparkSession, f"{path}/staged", batch_id, keep=2)
+        if publish is not None:
+            publish(new)
+
+    return joined.writeStream.foreachBatch(score)
+
+
+def live_spread(
+    ticks: DataFrame,
+    oracle: DataFrame,
+    path: str,
+    *,
+    tick_id: Sequence[str],
+    oracle_id: Sequence[str] = (),
+    max_age_s: int = MAX_AGE_S,
+    rows: int = ZSCORE_ROWS,
+    publish: Callable[[DataFrame], None] | None = None,
+    slack_s: int = 60,
+) -> DataStreamWriter:
+    """The whole analytic without a watermark: a tick is scored in the micro-batch it arrives in.
+
+    For live use, where an answer now matters more than the same answer on a replay. Both feeds
+    come in one stream. A tick sees the oracle prices of its own and earlier micro-batches; a
+    price that arrives later than that does not change it. Rolling windows follow arrival: by
+    micro-batch, then by time. Prices are kept until they are ``slack_s`` older than they could
+    matter to the newest one, so that ticks of a feed that lags behind still find them.
+    """
+    feed = ticks.select(
+        F.lit(True).alias("_tick"), "symbol", "ts", *tick_id, "best_bid", "best_ask"
+    ).unionByName(
+        oracle.select(
+            F.lit(False).alias("_tick"), "symbol", "ts", *oracle_id, "price_raw", "expo"
+        ),
+        allowMissingColumns=True,
+    )
+    oracle_columns = ["symbol", "ts", *oracle_id, "price_raw", "expo"]
+
+    def score(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        arrived = _write(batch, f"{path}/staged/batch_id={batch_id}")
+        if arrived.isEmpty():
+            return
+        prices = arrived.where("NOT _tick").select(*oracle_columns)
+        prices_id = newest_before(spark, f"{path}/prices", batch_id)
+        if prices_id is not None:
+            prices = prices.unionByName(
+                spark.read.parquet(f"{path}/prices/batch_id={prices_id}")
+            )
+        fresh = spreads(
+            arrived.where("_tick"), prices, tick_id=tick_id, oracle_id=oracle_id,
+            max_age_s=max_age_s,
         )
-        _write(tail.drop("_rank", "_new"), f"{path}/tail/batch_id={batch_id}")
-        for folder in ("tail", "staged"):
+        new = _score(fresh, path, batch_id, tick_id, rows)
+        newest = prices.groupBy("symbol").agg(F.max("ts").alias("_newest"))
+        age = epoch_seconds(F.col("_newest")) - epoch_seconds(F.col("ts"))
+        recent = prices.join(newest, "symbol").where(age <= max_age_s + slack_s)
+        _write(recent.drop("_newest"), f"{path}/prices/batch_id={batch_id}")
+        for folder in ("staged", "prices"):
             drop_older(spark, f"{path}/{folder}", batch_id, keep=2)
         if publish is not None:
             publish(new)
 
-    return spreads.writeStream.foreachBatch(score)
+    return feed.writeStream.foreachBatch(score)
 
 
 def scored(spark: SparkSession, path: str) -> DataFrame:
@@ -136,6 +177,31 @@ def scored(spark: SparkSession, path: str) -> DataFrame:
     return written(spark, f"{path}/scored")
 
 
+def _score(
+    fresh: DataFrame, path: str, batch_id: int, tick_id: Sequence[str], rows: int
+) -> DataFrame:
+    """Score the spreads of a batch after the tail of the batches before it; keep the new tail."""
+    spark = fresh.sparkSession
+    known = fresh.withColumn("_batch", F.lit(batch_id).cast("bigint"))
+    tail_id = newest_before(spark, f"{path}/tail", batch_id)
+    if tail_id is not None:
+        known = known.unionByName(spark.read.parquet(f"{path}/tail/batch_id={tail_id}"))
+    is_new = F.col("_batch") == batch_id
+    with staging(spark):
+        signal = with_z_score(known, tick_id=tick_id, rows=rows, arrival=["_batch"])
+        new = _write(signal.where(is_new).drop("_batch"), f"{path}/scored/batch_id={batch_id}")
+    order = ("_batch", "ts", *tick_id, "spread", "coinbase_mid")
+    latest = Window.partitionBy("symbol").orderBy(*[F.col(c).desc() for c in order])
+    # Up to this threshold Spark keeps only the first rows of a group before it shuffles them.
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", max(1000, rows))
+    tail = known.withColumn("_rank", F.row_number().over(latest)).where(
+        F.col("_rank") <= max(rows - 1, 1)
+    )
+    _write(tail.drop("_rank"), f"{path}/tail/batch_id={batch_id}")
+    drop_older(spark, f"{path}/tail", batch_id, keep=2)
+    return new
+
+
 def _write(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
