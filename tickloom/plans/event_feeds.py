@@ -6,7 +6,7 @@ Every view covers the whole table and is a projection, so it scales with it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.schemas import struct
@@ -137,8 +137,7 @@ def trade_messages(ev: DataFrame) -> DataFrame:
     )
     channel = F.when(k == 13, "heartbeats").otherwise("market_trades").alias("channel")
     text = F.to_json(F.struct(channel, F.array(event).alias("events")))
-    return ev.select(F.when(k == 7, F.concat(F.lit("{broken "), "event_id")).otherwise(text)
-                     .alias("value"))
+    return _messages(ev, F.when(k == 7, F.concat(F.lit("{broken "), "event_id")).otherwise(text))
 
 
 def ticker_messages(ev: DataFrame) -> DataFrame:
@@ -160,7 +159,7 @@ def ticker_messages(ev: DataFrame) -> DataFrame:
     quotes = F.array(quote("SOL-USD", 0), quote("SOL-USDT", 2)).alias("tickers")
     event = F.struct(F.when(k % 10 == 0, "snapshot").otherwise("update").alias("type"), quotes)
     text = F.to_json(F.struct(F.lit("ticker").alias("channel"), F.array(event).alias("events")))
-    return ev.select(text.alias("value"), "ts")
+    return _messages(ev, text, "ts")
 
 
 def oracle_lines(ev: DataFrame, feed_ids: list[str]) -> DataFrame:
@@ -180,4 +179,9 @@ def oracle_lines(ev: DataFrame, feed_ids: list[str]) -> DataFrame:
         .alias("ema_price"),
     )
     text = F.concat(F.lit("data: "), F.to_json(F.struct(F.array(price).alias("parsed"))))
-    return ev.select(F.when(k == 9, ": keep-alive").otherwise(text).alias("value"))
+    return _messages(ev, F.when(k == 9, ": keep-alive").otherwise(text))
+
+
+def _messages(ev: DataFrame, text: Column, *columns: str) -> DataFrame:
+    """Rows with the text in ``value``, exploded so that readers find it ready, as in a file."""
+    return ev.select(*columns, F.explode(F.array(text)).alias("value"))
