@@ -18,10 +18,15 @@ def tables(spark, ticks, oracle):
     return t.select("symbol", ts, "tick_id"), o.select("symbol", ts, "update_id", "price")
 
 
-def joined(spark, ticks, oracle, max_age_s):
+def joined(spark, ticks, oracle, max_age_s, slots_per_s=1):
     t, o = tables(spark, ticks, oracle)
     got = asof_join(
-        t, o, carry=["update_id", "price"], order=["update_id"], max_age_s=max_age_s
+        t,
+        o,
+        carry=["update_id", "price"],
+        order=["update_id"],
+        max_age_s=max_age_s,
+        slots_per_s=slots_per_s,
     ).collect()
     assert len({r.tick_id for r in got}) == len(got)
     return {r.tick_id: r.update_id for r in got}
@@ -42,9 +47,9 @@ def brute_force(ticks, oracle, max_age_s):
 
 
 @pytest.mark.parametrize("max_age_s", [None, 0, 1, 10, 75])
-@pytest.mark.parametrize("seed", [1, 2])
-def test_equals_brute_force(spark, max_age_s, seed):
-    rng = random.Random(seed)
+@pytest.mark.parametrize("slots_per_s", [1, 8])
+def test_equals_brute_force(spark, max_age_s, slots_per_s):
+    rng = random.Random(slots_per_s)
 
     def instant():
         # Coarse steps make ties; a third falls in one second, some at one instant.
@@ -57,7 +62,19 @@ def test_equals_brute_force(spark, max_age_s, seed):
 
     ticks = [(rng.choice("AAB"), instant(), i) for i in range(500)]
     oracle = [(rng.choice("AB"), instant(), i, rng.random()) for i in range(60)]
-    assert joined(spark, ticks, oracle, max_age_s) == brute_force(ticks, oracle, max_age_s)
+    got = joined(spark, ticks, oracle, max_age_s, slots_per_s)
+    assert got == brute_force(ticks, oracle, max_age_s)
+
+
+def test_times_before_the_epoch(spark):
+    oracle = [("A", -1_500_000, 1, 1.0), ("A", -100, 2, 1.0)]
+    assert joined(spark, [("A", -600_000, 1), ("A", 1, 2)], oracle, 1) == {1: 1, 2: 2}
+    assert joined(spark, [("A", -600_000, 1), ("A", 1, 2)], oracle, None) == {1: 1, 2: 2}
+
+
+def test_slots_divide_a_second(spark):
+    with pytest.raises(ValueError, match="whole microseconds"):
+        joined(spark, [], [], 10, slots_per_s=3)
 
 
 @pytest.mark.parametrize(

@@ -26,6 +26,7 @@ def spreads(
     tick_id: Sequence[str] = (),
     oracle_id: Sequence[str] = (),
     max_age_s: int | None = MAX_AGE_S,
+    slots_per_s: int = 1,
 ) -> DataFrame:
     """symbol, ts, tick ids, coinbase_mid, pyth_price, spread for ticks with a fresh oracle price.
 
@@ -39,7 +40,14 @@ def spreads(
     if not tick_id:
         quoted = quoted.groupBy(*quoted.columns).agg(F.count("*").alias("copies"))
     return (
-        asof_join(quoted, priced, carry=["pyth_price"], order=oracle_id, max_age_s=max_age_s)
+        asof_join(
+            quoted,
+            priced,
+            carry=["pyth_price"],
+            order=oracle_id,
+            max_age_s=max_age_s,
+            slots_per_s=slots_per_s,
+        )
         .withColumn("spread", F.col("coinbase_mid") - F.col("pyth_price"))
         .drop("oracle_ts")
     )
@@ -79,9 +87,21 @@ def spread_signal(
     oracle_id: Sequence[str] = (),
     max_age_s: int = MAX_AGE_S,
     rows: int = ZSCORE_ROWS,
+    slots_per_s: int = 1,
 ) -> DataFrame:
-    """The whole analytic, unrounded: as-of join with staleness limit, then rolling z-score."""
-    joined = spreads(ticks, oracle, tick_id=tick_id, oracle_id=oracle_id, max_age_s=max_age_s)
+    """The whole analytic, unrounded: as-of join with staleness limit, then rolling z-score.
+
+    ``tick_id`` names columns that identify a tick; leave it out if there are none. Numbering the
+    rows runs a job at once and stages its result, see ``tickloom.session.staging``.
+    """
+    joined = spreads(
+        ticks,
+        oracle,
+        tick_id=tick_id,
+        oracle_id=oracle_id,
+        max_age_s=max_age_s,
+        slots_per_s=slots_per_s,
+    )
     return with_z_score(joined, tick_id=tick_id, rows=rows)
 
 
