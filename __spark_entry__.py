@@ -42,7 +42,7 @@ from tickloom.streaming.windows import bar_messages, stream_bars, stream_imbalan
 Query = Callable[[SparkSession, str], DataFrame]
 
 NUDGE = 3.7e-9
-ID_BITS = 43  # event ids are dense row numbers
+ID_BITS = 43  # event ids are dense row numbers; 1 s windows leave room for 8.8e12 of them
 RANGE = ("1970-01-01 00:00:00", "2099-12-31 23:59:59")  # covers every row
 
 
@@ -93,10 +93,10 @@ def _run_to_table(df: DataFrame, name: str) -> DataFrame:
 # Bars
 
 
-def _bars(size_s: int) -> Query:
+def _bars(size_s: int, id_bits: int | None = None) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         trades = feeds.trades(_events(spark, sf_dir))
-        return _plain_times(bars(trades, size_s, id_bits=63 - (size_s * 10**6).bit_length()))
+        return _plain_times(bars(trades, size_s, id_bits=id_bits))
 
     return query
 
@@ -312,7 +312,7 @@ def _panel_peg(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _stream_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     trades = feeds.trades(_stream(spark, sf_dir))
-    return _plain_times(_run_to_table(stream_bars(trades, id_bits=37), "bars"))
+    return _plain_times(_run_to_table(stream_bars(trades), "bars"))
 
 
 def _stream_minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -365,7 +365,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
-        "ohlcv_1s": _bars(1),
+        "ohlcv_1s": _bars(1, ID_BITS),
         "ohlcv_10s": _bars(10),
         "ohlcv_1m": _bars(60),
         "ohlcv_10s_text_ids": _ranked_bars,

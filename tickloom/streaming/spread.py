@@ -11,7 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from tickloom.functions.prices import mid_price
 from tickloom.functions.times import epoch_seconds
 from tickloom.operators.spread import decode_oracle, spreads, with_z_score
-from tickloom.session import staging
+from tickloom.session import stage, staging
 from tickloom.settings import MAX_AGE_S, ZSCORE_ROWS
 from tickloom.streaming.folders import drop_older, newest_before, written
 
@@ -155,11 +155,12 @@ def live_spread(
             prices = prices.unionByName(
                 spark.read.parquet(f"{path}/prices/batch_id={prices_id}")
             )
-        fresh = spreads(
+        joined = spreads(
             arrived.where("_tick"), prices, tick_id=tick_id, oracle_id=oracle_id,
             max_age_s=max_age_s,
         )
-        new = _score(fresh, path, batch_id, tick_id, rows)
+        with staging(spark):
+            new = _score(stage(joined, "joined"), path, batch_id, tick_id, rows)
         newest = prices.groupBy("symbol").agg(F.max("ts").alias("_newest"))
         age = epoch_seconds(F.col("_newest")) - epoch_seconds(F.col("ts"))
         recent = prices.join(newest, "symbol").where(age <= max_age_s + slack_s)
