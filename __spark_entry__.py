@@ -22,7 +22,7 @@ from tickloom.plans import event_feeds as feeds
 from tickloom.plans import panels
 from tickloom.schemas import BAR, PEG_ALERT
 from tickloom.session import work_dir
-from tickloom.settings import SOL_USD_FEED, USDC_USD_FEED, Settings
+from tickloom.settings import BAR_SIZES, SOL_USD_FEED, USDC_USD_FEED, Settings
 from tickloom.sinks.tables import TABLES, write_table
 from tickloom.sinks.topics import json_messages, routed_ticker, routed_trades
 from tickloom.sources.feeds import (
@@ -423,7 +423,7 @@ def _bars_sql(size_s: int, extra: str = "") -> str:
 
 
 _ALL_BARS = _FX + " UNION ALL ".join(
-    _bars_sql(size_s, f"'{label}' AS bar, ") for label, size_s in (("1s", 1), ("10s", 10), ("1m", 60))
+    _bars_sql(size_s, f"'{label}' AS bar, ") for label, size_s in BAR_SIZES.items()
 )
 
 _IMBALANCE = _FX + """,
@@ -543,7 +543,7 @@ FROM imb"""
 
 
 def oracle_sql() -> dict[str, str]:
-    scores = "tick_id, ts_ms, coinbase_mid, pyth_price, spread, rolling_mean, rolling_std, z_score, sample_count"
+    scores = ", ".join(["tick_id", "ts_ms", *SPREAD_VALUES, "z_score", "sample_count"])
     sql = {
         "ohlcv_1s": _FX + _bars_sql(1),
         "ohlcv_10s": _FX + _bars_sql(10),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,6 +23,11 @@ class StoredTable:
     time_col: str
     sort: tuple[str, ...]
 
+    def schema(self, spark: SparkSession) -> T.StructType:
+        """Storage columns and ``day``."""
+        rows = self.project(spark.createDataFrame([], self.landing))
+        return rows.withColumn("day", F.lit(0)).schema
+
 
 def _windowed(landing: DataFrame) -> DataFrame:
     kept = [name for name in landing.columns if name not in ("window_start", "window_end")]

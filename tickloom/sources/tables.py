@@ -13,8 +13,8 @@ from tickloom.sinks.tables import StoredTable
 
 
 def read_table(spark: SparkSession, table: StoredTable, path: str) -> DataFrame:
-    """The table with its ``day`` column; micro-batch folders below ``path`` are all included."""
-    return spark.read.parquet(path)
+    """The table with its ``day`` column. The schema is known, so no file is opened for it."""
+    return spark.read.schema(table.schema(spark)).parquet(path)
 
 
 def time_range(

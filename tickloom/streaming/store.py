@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.schemas import struct
@@ -36,9 +35,7 @@ def store_stream(topic: DataFrame, table: StoredTable, path: str) -> DataStreamW
 
 def stored(spark: SparkSession, table: StoredTable, path: str) -> DataFrame:
     """The rows of a table kept by ``store_stream``, with their ``day``."""
-    rows = table.project(spark.createDataFrame([], table.landing))
-    schema = rows.withColumn("day", F.lit(0)).schema
-    return written(spark, f"{path}/rows", schema)
+    return written(spark, f"{path}/rows", table.schema(spark))
 
 
 def broken(spark: SparkSession, path: str) -> DataFrame:
