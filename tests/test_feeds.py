@@ -84,7 +84,8 @@ def price(feed):
 
 def test_oracle(spark):
     payload = json.dumps({"parsed": [price(SOL_USD_FEED), price(USDC_USD_FEED), price("other")]})
-    raw = lines(spark, f"data:{payload}", f"  data: {payload} ", ":keep-alive", "event: x", "data: {")
+    good = [f"data:{payload}", f"  data: {payload} "]
+    raw = lines(spark, *good, ":keep-alive", "event: x", "data: {")
     records = read_oracle(raw)
     prices = accepted(records)
     assert prices.count() == 6 and prices.columns == schemas.ORACLE.names
@@ -103,7 +104,9 @@ def test_routing(spark):
 
 
 def test_json_messages_keep_nulls_and_time_format(spark):
-    df = spark.sql("SELECT timestamp'2024-01-05 01:02:03.5' AS t, CAST(null AS double) AS x, 'k' AS k")
+    df = spark.sql(
+        "SELECT timestamp'2024-01-05 01:02:03.5' AS t, CAST(null AS double) AS x, 'k' AS k"
+    )
     row = json_messages(df, "topic.a", key="k").first()
     assert (row.key, row.topic) == ("k", "topic.a")
     assert json.loads(row.value) == {"t": "2024-01-05 01:02:03.500000", "x": None, "k": "k"}

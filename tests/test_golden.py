@@ -48,7 +48,8 @@ def test_peg_tiers(spark, raw, severity):
 
 def test_peg_threshold_moves_the_entry_only(spark):
     prices = spark.createDataFrame(
-        [("f", 100_050_000, -8, 1)], "feed_id string, price_raw bigint, expo int, publish_time bigint"
+        [("f", 100_050_000, -8, 1)],
+        "feed_id string, price_raw bigint, expo int, publish_time bigint",
     )
     assert [r.severity for r in peg_alerts(prices, threshold=0.0001).collect()] == ["INFO"]
 

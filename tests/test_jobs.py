@@ -56,7 +56,8 @@ def test_jobs_from_raw_messages_to_tables(spark, tmp_path):
     seconds = raw_messages(tmp_path / "raw")
     work = run(spark, tmp_path, "ingest", "--raw", str(tmp_path / "raw"))
     assert spark.read.parquet(str(tmp_path / "files/trades")).count() == len(seconds)
-    assert [r.value for r in spark.read.text(f"{work}/dead_letters/trades").collect()] == ["{broken"]
+    letters = spark.read.text(f"{work}/dead_letters/trades").collect()
+    assert [r.value for r in letters] == ["{broken"]
 
     run(spark, tmp_path, "bars")
     minute = topic(spark, tmp_path, "bars", "analytics.sol_usd.ohlcv_1m")

@@ -72,7 +72,9 @@ def test_copies_are_unfolded(spark, block_rows):
     for key in "AB":
         values = [x for k, _, x, copies in folded if k == key for _ in range(copies)]
         expected = sorted(brute_force(values, 6))
-        mine = sorted((r.rolling_mean, r.rolling_std, r.sample_count) for r in got if r.symbol == key)
+        mine = sorted(
+            (r.rolling_mean, r.rolling_std, r.sample_count) for r in got if r.symbol == key
+        )
         assert len(mine) == len(expected)
         for a, b in zip(mine, expected):
             assert a == pytest.approx(b, abs=1e-9)

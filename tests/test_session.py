@@ -28,7 +28,8 @@ def test_no_machine_local_folder_on_a_cluster(monkeypatch):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         work_dir(FakeSession(**{"spark.master": "spark://x"}), "a")
     monkeypatch.setattr(session, "_local_root", None)
-    assert os.path.isdir(os.path.dirname(work_dir(FakeSession(**{"spark.master": "local[2]"}), "a")))
+    local = FakeSession(**{"spark.master": "local[2]"})
+    assert os.path.isdir(os.path.dirname(work_dir(local, "a")))
 
 
 def test_staged_tables_live_as_long_as_their_scope(spark):

@@ -68,7 +68,9 @@ def test_projections(spark):
     peg = spark.createDataFrame([(1_700_000_000, "f", 0.9, 0.1, "INFO")], PEG_ALERT)
     assert TABLES["usdc_peg_alerts"].project(peg).first().ts.microsecond == 0
     stored = TABLES["ohlcv_1s"].project(
-        bars_frame(spark, 1).withColumn("window_start", F.expr("timestamp'2024-01-05 00:00:01.123456'"))
+        bars_frame(spark, 1).withColumn(
+            "window_start", F.expr("timestamp'2024-01-05 00:00:01.123456'")
+        )
     )
     assert "window_end" not in stored.columns
     assert stored.first().window_start.microsecond == 123000
