@@ -363,7 +363,7 @@ def entry(spark: SparkSession) -> DataFrame:
     return _spread(spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def reference_queries() -> dict[str, Query]:
     return {
         "ohlcv_1s": _bars(1, ID_BITS),
         "ohlcv_10s": _bars(10),
@@ -542,7 +542,8 @@ SELECT window_start AS time, avg_imbalance,
 FROM imb"""
 
 
-def oracle_sql() -> dict[str, str]:
+def reference_sql() -> dict[str, str]:
+    """SQL that states the result of each of ``reference_queries``."""
     scores = ", ".join(["tick_id", "ts_ms", *SPREAD_VALUES, "z_score", "sample_count"])
     sql = {
         "ohlcv_1s": _FX + _bars_sql(1),
@@ -592,3 +593,26 @@ def oracle_sql() -> dict[str, str]:
         "stream_to_stored_ohlcv_1m": "stored_ohlcv_1m",
     }
     return sql | {name: sql[twin] for name, twin in same.items()}
+
+
+# Training-data operators: a part that may be absent
+
+
+def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
+    try:
+        import corpus_pipeline
+        from tickloom.llm.queries import QUERIES, SQL
+    except ModuleNotFoundError as missing:
+        if missing.name not in {"corpus_pipeline", "tickloom.llm"}:
+            raise
+        return {}, {}
+    sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return QUERIES | {"pipeline": corpus_pipeline.run}, SQL | sql
+
+
+def queries() -> dict[str, Query]:
+    return reference_queries() | _training_data()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return reference_sql() | _training_data()[1]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import duckdb
 from pyspark.sql import SparkSession
 
@@ -13,7 +15,10 @@ def mismatches(spark: SparkSession, name: str, sf_dir: str) -> tuple[int, int, i
     sql = repo.oracle_sql()[name]
     result = repo.queries()[name](spark, sf_dir).toArrow()
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW events AS SELECT * FROM '{sf_dir}/events.parquet'")
+    for file in os.listdir(sf_dir):
+        table, _, kind = file.partition(".")
+        if kind == "parquet":
+            con.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{file}'")
     con.sql(f"CREATE TABLE expected AS {sql}")
     expected_columns = con.table("expected").columns
     assert sorted(result.column_names) == sorted(expected_columns), (

@@ -13,10 +13,10 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 
 
 def test_every_query_has_sql():
-    assert set(repo.oracle_sql()) == set(repo.queries())
+    assert set(repo.reference_sql()) == set(repo.reference_queries())
 
 
-@pytest.mark.parametrize("name", sorted(repo.queries()))
+@pytest.mark.parametrize("name", sorted(repo.reference_queries()))
 def test_query_equals_sql(spark, name):
     rows, only_spark, only_sql = mismatches(spark, name, SF_DIR)
     assert rows > 0
