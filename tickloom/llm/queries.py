@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import packing, simhash
+from tickloom.llm import decontaminate, lines, packing, simhash
 from tickloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -23,9 +23,22 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, items)
+
+
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.cleaned(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
+    "op5_decontamination": op5_decontamination,
+    "op7_line_dedup": op7_line_dedup,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op7_line_dedup": lines.CLEANED_SQL,
+}
