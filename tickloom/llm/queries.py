@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tickloom.llm import decontaminate, lines, packing, simhash
+from tickloom.llm import decontaminate, language, lines, packing, quality, simhash
 from tickloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -32,11 +32,24 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.cleaned(table(spark, sf_dir, "documents"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language.identify(docs, language.learn_languages(docs))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    scores = quality.quality_scores(docs, quality.learn_quality(docs, labels))
+    return scores.select("doc_id", "held_out", "score", "predicted")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
     "op7_line_dedup": op7_line_dedup,
+    "op8_language": op8_language,
+    "op9_quality": op9_quality,
 }
 
 SQL: dict[str, str] = {
