@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, language, lines, packing, quality, simhash
+from tickloom.llm import decontaminate, language, lines, packing, quality, simhash, vectors
 from tickloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -43,6 +44,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.select("doc_id", "held_out", "score", "predicted")
 
 
+def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op4_simhash": op4_simhash,
@@ -50,8 +55,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_line_dedup": op7_line_dedup,
     "op8_language": op8_language,
     "op9_quality": op9_quality,
+    "op10_top_k": op10_top_k,
 }
 
 SQL: dict[str, str] = {
     "op7_line_dedup": lines.CLEANED_SQL,
+    "op10_top_k": vectors.TOP_SQL,
 }
