@@ -8,17 +8,36 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import decontaminate, language, lines, packing, quality, simhash, vectors
+from tickloom.llm import (
+    decontaminate,
+    language,
+    licenses,
+    lines,
+    packing,
+    quality,
+    sharding,
+    simhash,
+    urls,
+    vectors,
+)
 from tickloom.llm.common import table
 
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return packing.digest(packing.pack(docs, public_tokenizers.path(TOKENIZER)))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.placements(table(spark, sf_dir, "documents"), sharding.shard_names())
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
     return groups.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
@@ -29,6 +48,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, items)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(urls.RULES, "key string, verdict string")
+    blocked = spark.createDataFrame([(key,) for key in urls.BLOCKED], "key string")
+    return urls.judge(table(spark, sf_dir, "pages"), rules, blocked)
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.cleaned(table(spark, sf_dir, "documents"))
 
@@ -49,9 +74,12 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
+    "op3_sharding": op3_sharding,
     "op4_simhash": op4_simhash,
     "op5_decontamination": op5_decontamination,
+    "op6_url_filter": op6_url_filter,
     "op7_line_dedup": op7_line_dedup,
     "op8_language": op8_language,
     "op9_quality": op9_quality,
@@ -59,6 +87,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 SQL: dict[str, str] = {
+    "op1_licenses": licenses.SCAN_SQL,
+    "op3_sharding": sharding.placements_sql(sharding.shard_names()),
+    "op6_url_filter": urls.JUDGED_SQL,
     "op7_line_dedup": lines.CLEANED_SQL,
     "op10_top_k": vectors.TOP_SQL,
 }
