@@ -75,11 +75,20 @@ RULES = (
 )
 BREAK = "|"
 
+COMMENT = "\n[ \t]*[#*/;]+[ \t]*"
+WRAPPED = "([^.!?;:\n])\n+[ \t]*([a-z])"
+END = "([.!?;:])[ \t]+"
+
 
 def _sentences(text: Column) -> Column:
-    """Normalised sentences: they end at line feeds and at .!?;: before white space."""
-    lower = F.translate(text, ascii_uppercase, ascii_lowercase)
-    parts = F.split(F.regexp_replace(lower, "([.!?;:])[ \t]+", "$1\n"), "\n")
+    """Normalised sentences: they end at line feeds and at .!?;: before white space.
+
+    A line that begins in lower case, comment signs aside, goes on with the line before it, unless
+    that one ends a sentence.
+    """
+    for pattern, instead in ((COMMENT, "\n"), (WRAPPED, "$1 $2"), (END, "$1\n")):
+        text = F.regexp_replace(text, pattern, instead)
+    parts = F.split(F.translate(text, ascii_uppercase, ascii_lowercase), "\n")
     words = F.transform(parts, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
     return F.filter(words, lambda s: s != "")
 
@@ -112,11 +121,13 @@ def scan(
     known = spark.createDataFrame(
         [(name, normalised(text)) for name, text in sentences.items()], "name string, sentence string"
     )
-    rows = docs.select(
+    # hashed before the sentences are taken apart, so that these do not carry the text along
+    parts = docs.select(
         row_key(id_col, text_col).alias("key"),
         F.xxhash64(text_of(text_col)).alias("mark"),
-        F.posexplode(_sentences(text_of(text_col))).alias("at", "sentence"),
+        _sentences(text_of(text_col)).alias("parts"),
     )
+    rows = parts.select("key", "mark", F.posexplode("parts").alias("at", "sentence"))
     # the known sentences are the arguments' own few rows
     found = rows.join(F.broadcast(known), "sentence").select("key", "mark", "at", "name").distinct()
     hits = found.groupBy("key", "mark").agg(
@@ -160,12 +171,14 @@ def _scan_sql() -> str:
     for name, parts in RULES:
         wanted = "".join(f"<{p}>" for p in parts)
         sequence = f"replace({sequence}, '{wanted}', '{{{name}}}')"
+    text = "coalesce(text, '')"
+    for pattern, instead in ((COMMENT, "chr(10)"), (WRAPPED, r"'\1 \2'"), (END, r"'\1' || chr(10)")):
+        text = f"regexp_replace({text}, '{pattern}', {instead}, 'g')"
     return f"""
 WITH known(name, sentence) AS (VALUES {known}),
 parts AS (SELECT DISTINCT doc_id, text, list_filter(
               [trim(regexp_replace(s, '[^a-z0-9]+', ' ', 'g'), ' ') FOR s IN string_split(
-                  regexp_replace(translate(coalesce(text, ''), '{ascii_uppercase}', '{ascii_lowercase}'),
-                                 '([.!?;:])[ \\t]+', '\\1' || chr(10), 'g'), chr(10))],
+                  translate({text}, '{ascii_uppercase}', '{ascii_lowercase}'), chr(10))],
               lambda s: s <> '') AS sentences FROM documents),
 rows_ AS (SELECT doc_id, text, unnest(sentences) AS sentence,
                  generate_subscripts(sentences, 1) - 1 AS at_ FROM parts),

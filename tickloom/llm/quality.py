@@ -43,9 +43,10 @@ def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     if not lines:
         return np.zeros((0, FEATURES)), np.zeros(0)
     data = np.frombuffer("\n".join(lines).encode(), np.uint8)
-    line_of = np.cumsum(data == 10)
+    ends = data == 10
+    line_of = np.cumsum(ends)[~ends]
     kinds = np.bincount(
-        line_of * _KIND_COUNT + _KINDS[data], minlength=_KIND_COUNT * len(lines)
+        line_of * _KIND_COUNT + _KINDS[data[~ends]], minlength=_KIND_COUNT * len(lines)
     ).reshape(len(lines), _KIND_COUNT)
     own = np.zeros((len(lines), OWN))
     own[:, :_KIND_COUNT] = kinds / np.maximum(kinds.sum(axis=1, keepdims=True), 1)

@@ -28,7 +28,7 @@ from tickloom.llm.common import col, stage
 
 MOST_PIVOTS = 4096  # a bounded sample; beyond it cells hold several blocks
 DATA_BLOCK, QUERY_BLOCK = 2048, 512  # points of a block at most
-LEAF = 64  # points of a leaf at most
+LEAF, FEWEST = 64, 8  # points of a leaf at most; so few are not split however far apart
 CHILDREN, BASE = 16, 1.3  # a node's children at most; the factor by which their radii shrink
 FIRST_BLOCKS = 2  # data blocks that a query block searches first
 EXACT = 1 << 53  # integers below it are exact in floating point
@@ -59,7 +59,7 @@ class Tree:
             self.radius.append(far)
             self.children.append([])
             self.leaf.append(None)
-            if len(own) <= LEAF or far == 0:
+            if len(own) <= FEWEST or far == 0:
                 self.leaf[node] = own
                 continue
             nearest, which = away, np.zeros(len(own), np.int64)
@@ -71,6 +71,9 @@ class Tree:
                 nearest, which = np.where(closer, to_new, nearest), np.where(
                     closer, len(centres) - 1, which
                 )
+            if len(own) <= LEAF and nearest.max() > far / 2:
+                self.leaf[node] = own  # few points that do not fall into clusters
+                continue
             for i, c in enumerate(centres):
                 waiting.append((node, own[which == i], c))
 
