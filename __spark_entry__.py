@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
+from tickloom.functions import framing
 from tickloom.operators.asof import asof_join
 from tickloom.operators.bars import bars, bars_by_size
 from tickloom.operators.imbalance import pane_imbalance
@@ -21,7 +22,7 @@ from tickloom.operators.spread import decode_oracle, spread_records, spread_sign
 from tickloom.plans import event_feeds as feeds
 from tickloom.plans import panels
 from tickloom.schemas import BAR, PEG_ALERT
-from tickloom.session import work_dir
+from tickloom.session import stage, work_dir
 from tickloom.settings import BAR_SIZES, SOL_USD_FEED, USDC_USD_FEED, Settings
 from tickloom.sinks.tables import TABLES, write_table
 from tickloom.sinks.topics import json_messages, routed_ticker, routed_trades
@@ -42,6 +43,7 @@ from tickloom.streaming.windows import bar_messages, stream_bars, stream_imbalan
 Query = Callable[[SparkSession, str], DataFrame]
 
 NUDGE = 3.7e-9
+SCHEMA_ID = 100_003
 ID_BITS = 43  # event ids are dense row numbers; 1 s windows leave room for 8.8e12 of them
 RANGE = ("1970-01-01 00:00:00", "2099-12-31 23:59:59")  # covers every row
 
@@ -178,6 +180,19 @@ def _spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(_signal(spark, sf_dir))
 
 
+TINY = 1e-10  # brings the prices to about 1e-8
+
+
+def _spread_tiny(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The analytic on very small prices; its results are scaled up again."""
+    ev = _events(spark, sf_dir)
+    quotes = ("best_bid", "best_ask")
+    ticks = feeds.ticker(ev).withColumns({c: F.col(c) * TINY for c in quotes})
+    oracle = feeds.oracle(ev).withColumn("expo", F.col("expo") - 10)
+    signal = spread_signal(ticks, oracle, tick_id=["tick_id"], oracle_id=["update_id"])
+    return _scores(signal.withColumns({c: F.col(c) / TINY for c in SPREAD_VALUES}))
+
+
 def _spread_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     signal = spread_signal(
@@ -222,6 +237,21 @@ def _oracle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return known_feeds(accepted(read_oracle(lines)), Settings().feed_topics)
 
 
+def _framing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Message bytes through the registry's frame and back; every fourth value has no frame."""
+    ev = _events(spark, sf_dir)
+    body = F.encode(F.col("props"), "UTF-8")
+    framed_by_id = framing.framed(body, SCHEMA_ID)
+    value = F.when(F.col("event_id") % 4 == 0, body).otherwise(framed_by_id)
+    raw = spark.read.schema(feeds.EVENTS).parquet(f"{sf_dir}/events.parquet")
+    sent = raw.select("event_id", value.alias("value"))
+    return sent.select(
+        "event_id",
+        framing.frame_id(F.col("value")).alias("schema_id"),
+        F.decode(framing.unframed(F.col("value")), "UTF-8").alias("body"),
+    )
+
+
 def _topic_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir)
     ticker = routed_ticker(accepted(read_ticker(feeds.ticker_messages(ev))))
@@ -266,9 +296,12 @@ def _store(records: DataFrame, name: str) -> DataFrame:
     return read_table(records.sparkSession, table, path)
 
 
-def _stored_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trades = feeds.trades(_events(spark, sf_dir))
-    return _plain_times(_store(bars(trades, 60), "ohlcv_1m"))
+def _stored_bars(size_s: int, name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        trades = feeds.trades(_events(spark, sf_dir))
+        return _plain_times(_store(bars(trades, size_s, id_bits=ID_BITS), name))
+
+    return query
 
 
 def _panel_close(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -298,6 +331,58 @@ def _panel_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(panels.panel_spread(table, *RANGE))
 
 
+FAR_ZONE = "America/New_York"
+NIGHT = ("1970-07-17 22:30:00", "1970-07-18 01:45:00")  # part of the shifted feed, over midnight
+
+
+def _later(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events 15 hours later, so that they lie on both sides of midnight."""
+    return _events(spark, sf_dir).withColumn("ts", F.col("ts") + F.expr("INTERVAL 15 HOURS"))
+
+
+def _far_away(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """What ``make`` gives in a session of another zone."""
+    spark.conf.set("spark.sql.session.timeZone", FAR_ZONE)
+    try:
+        rows = stage(make(), "far-away")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    return _plain_times(rows)
+
+
+def _panel_close_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A night's bars, stored in one zone and read in another."""
+    bars_1s = bars(feeds.trades(_later(spark, sf_dir)), 1, id_bits=ID_BITS)
+    table = _store(bars_1s, "ohlcv_1s")
+    return _far_away(spark, lambda: panels.panel_close(table, *NIGHT))
+
+
+def _panel_spread_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A night's spreads, written and read in another zone than the events'."""
+    ev = _later(spark, sf_dir)
+    signal = spread_signal(
+        feeds.ticker(ev), feeds.oracle(ev), tick_id=["tick_id"], oracle_id=["update_id"]
+    )
+    records = stage(spread_records(_nudged(signal)), "records")
+    return _far_away(
+        spark, lambda: panels.panel_spread(_store(records, "cross_source_spread"), *NIGHT)
+    )
+
+
+def _panel_spread_by_symbol(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several symbols in one stored table, of which the panel shows the hot one."""
+    ev = _events(spark, sf_dir)
+    signal = spread_signal(
+        feeds.several_symbols(feeds.ticker(ev)),
+        feeds.several_symbols(feeds.oracle(ev)),
+        tick_id=["tick_id"],
+        oracle_id=["update_id"],
+    )
+    records = spread_records(_nudged(signal), with_symbol=True)
+    table = _store(records, "cross_source_spread")
+    return _plain_times(panels.panel_spread(table, *RANGE, symbol="HOT"))
+
+
 def _panel_zscore(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _store(spread_records(_nudged(_signal(spark, sf_dir))), "cross_source_spread")
     return _plain_times(panels.panel_zscore(table, *RANGE))
@@ -346,6 +431,31 @@ def _live_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _scores(scored(spark, path))
 
 
+def _lagging_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All prices at once, and the ticks in six later files, one to a micro-batch."""
+    ev = _events(spark, sf_dir)
+    ticks, oracle = feeds.ticker(ev), feeds.oracle(ev)
+    path, sources = work_dir(spark, "lagging"), work_dir(spark, "feeds")
+    oracle.write.parquet(f"{sources}/oracle")
+    at = F.unix_micros("ts")
+    lo, hi = ticks.agg(F.min(at), F.max(at)).first()
+    piece = F.floor((at - lo) * 6 / (hi - lo + 1))
+    cut = stage(ticks.withColumn("piece", piece), "cut")
+    files = 4  # of a piece, which are one micro-batch
+    for number in range(6):
+        rows = cut.where(F.col("piece") == number).drop("piece")
+        rows.repartition(files).write.mode("append").parquet(f"{sources}/ticks")
+    streams = [
+        spark.readStream.schema(df.schema).option("maxFilesPerTrigger", most).parquet(folder)
+        for df, most, folder in (
+            (ticks, files, f"{sources}/ticks"),
+            (oracle, 10_000, f"{sources}/oracle"),
+        )
+    ]
+    _run(live_spread(*streams, path, tick_id=["tick_id"], oracle_id=["update_id"]), "lagging")
+    return _scores(scored(spark, path))
+
+
 def _stream_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trades stream to bar topics; the 1 m topic then streams into its stored table."""
     trades = feeds.trades(_stream(spark, sf_dir))
@@ -366,8 +476,8 @@ def entry(spark: SparkSession) -> DataFrame:
 def reference_queries() -> dict[str, Query]:
     return {
         "ohlcv_1s": _bars(1, ID_BITS),
-        "ohlcv_10s": _bars(10),
-        "ohlcv_1m": _bars(60),
+        "ohlcv_10s": _bars(10, ID_BITS),
+        "ohlcv_1m": _bars(60, ID_BITS),
         "ohlcv_10s_text_ids": _ranked_bars,
         "ohlcv_all_sizes": _all_bars,
         "imbalance_hop": _imbalance,
@@ -376,6 +486,7 @@ def reference_queries() -> dict[str, Query]:
         "asof_latest": _asof(None),
         "asof_stale_filtered": _asof(10),
         "spread_zscore": _spread,
+        "spread_zscore_tiny": _spread_tiny,
         "spread_zscore_by_symbol": _spread_by_symbol,
         "spread_zscore_without_ids": _spread_without_ids,
         "trades_normalised": _trade_feed,
@@ -386,10 +497,16 @@ def reference_queries() -> dict[str, Query]:
         "json_round_trip": _bars_through_json,
         "landing_alerts": _landing_alerts,
         "landing_dead_letters": _landing_dead_letters,
-        "stored_ohlcv_1m": _stored_bars,
+        "avro_framing": _framing,
+        "stored_ohlcv_1s": _stored_bars(1, "ohlcv_1s"),
+        "stored_ohlcv_10s": _stored_bars(10, "ohlcv_10s"),
+        "stored_ohlcv_1m": _stored_bars(60, "ohlcv_1m"),
         "panel_close": _panel_close,
         "panel_imbalance": _panel_imbalance,
         "panel_imbalance_bands": _panel_bands,
+        "panel_close_range": _panel_close_range,
+        "panel_spread_range": _panel_spread_range,
+        "panel_spread_by_symbol": _panel_spread_by_symbol,
         "panel_spread": _panel_spread,
         "panel_zscore": _panel_zscore,
         "panel_peg": _panel_peg,
@@ -399,6 +516,7 @@ def reference_queries() -> dict[str, Query]:
         "stream_peg_alerts": _stream_peg,
         "stream_spread_zscore": _stream_spread,
         "stream_spread_live": _live_spread,
+        "stream_spread_lagging": _lagging_spread,
         "stream_to_stored_ohlcv_1m": _stream_to_store,
     }
 
@@ -480,7 +598,7 @@ s AS (
   FROM fresh
   WINDOW w AS (PARTITION BY symbol ORDER BY ts, tick_id ROWS BETWEEN 99 PRECEDING AND CURRENT ROW)),
 z AS (
-  SELECT *, CASE WHEN sample_count >= 2 AND rolling_std > 1e-9
+  SELECT *, CASE WHEN sample_count >= 2 AND rolling_std > abs(coinbase_mid) * 1e-13
                  THEN (spread - rolling_mean) / rolling_std ELSE 0.0 END AS z_score
   FROM s),
 scores AS (
@@ -530,11 +648,21 @@ UNION ALL
 SELECT 'coinbase.' || event_type || '.trades', event_type, count(*)
 FROM fx WHERE k <> 7 AND k <> 13 AND k % 10 <> 0 GROUP BY ALL"""
 
-_STORED_BARS = f"""{_FX}, b AS ({_bars_sql(60)})
+_LATER = _FX.replace("// 100) AS ts", "// 100) + INTERVAL 15 HOURS AS ts")
+_NIGHT = f"BETWEEN TIMESTAMP '{NIGHT[0]}' AND TIMESTAMP '{NIGHT[1]}'"
+_FRAMING = f"""
+SELECT event_id, CASE WHEN event_id % 4 <> 0 THEN CAST({SCHEMA_ID} AS BIGINT) END AS schema_id,
+       CASE WHEN event_id % 4 <> 0 THEN props END AS body
+FROM events"""
+
+
+def _stored_sql(size_s: int) -> str:
+    return f"""{_FX}, b AS ({_bars_sql(size_s)})
 SELECT window_start, product_id, open, high, low, close, volume, trade_count,
        CAST(strftime(window_start, '%Y%m%d') AS INTEGER) AS day
 FROM b"""
 
+
 _BANDS = _IMBALANCE + """
 SELECT window_start AS time, avg_imbalance,
        CASE WHEN avg_imbalance >= 0.5 THEN 'yellow' WHEN avg_imbalance >= 0.2 THEN 'green'
@@ -570,7 +698,19 @@ def reference_sql() -> dict[str, str]:
         "landing_dead_letters": _FX
         + """ SELECT '{"publish_time": "at ' || CAST(event_id AS VARCHAR) || '"}' AS value
               FROM fx WHERE k = 7""",
-        "stored_ohlcv_1m": _STORED_BARS,
+        "avro_framing": _FRAMING,
+        "stored_ohlcv_1s": _stored_sql(1),
+        "stored_ohlcv_10s": _stored_sql(10),
+        "stored_ohlcv_1m": _stored_sql(60),
+        "spread_zscore_tiny": _ONE + f" SELECT {scores} FROM scores",
+        "panel_close_range": f"""{_LATER}, b AS ({_bars_sql(1)})
+            SELECT window_start AS time, close FROM b WHERE window_start {_NIGHT}""",
+        "panel_spread_range": _ONE.replace(_FX, _LATER)
+        + f""" SELECT make_timestamp(ts_ms * 1000) AS time, spread, rolling_mean FROM scores
+              WHERE make_timestamp(ts_ms * 1000) {_NIGHT}""",
+        "panel_spread_by_symbol": _MANY
+        + """ SELECT make_timestamp(ts_ms * 1000) AS time, spread, rolling_mean FROM scores
+              WHERE symbol = 'HOT'""",
         "panel_close": f"{_FX}, b AS ({_bars_sql(1)}) SELECT window_start AS time, close FROM b",
         "panel_imbalance": _IMBALANCE + " SELECT window_start AS time, avg_imbalance FROM imb",
         "panel_imbalance_bands": _BANDS,
@@ -590,6 +730,7 @@ def reference_sql() -> dict[str, str]:
         "stream_peg_alerts": "peg_alerts",
         "stream_spread_zscore": "spread_zscore",
         "stream_spread_live": "spread_zscore",
+        "stream_spread_lagging": "spread_zscore",
         "stream_to_stored_ohlcv_1m": "stored_ohlcv_1m",
     }
     return sql | {name: sql[twin] for name, twin in same.items()}

@@ -1,0 +1,147 @@
+"""Feeds that lag, zones that differ, tiny prices, framed bytes."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import functions as F
+
+from tickloom.functions.framing import frame_id, framed, unframed
+from tickloom.functions.times import day_number
+from tickloom.operators.bars import bars
+from tickloom.operators.spread import spread_signal
+from tickloom.sinks.tables import TABLES, write_table
+from tickloom.sources.files import stream_parquet
+from tickloom.sources.tables import read_table, time_range
+from tickloom.streaming.folders import batch_ids
+from tickloom.streaming.spread import live_spread, missed, scored
+
+START = 1_704_412_800
+
+
+def feeds(spark, n=300, scale=1.0):
+    at = F.timestamp_seconds(F.lit(START) + F.col("id"))
+    ticks = spark.range(n).select(
+        F.lit("S").alias("symbol"), at.alias("ts"), F.col("id").alias("tick_id"),
+        ((F.lit(100.0) + F.col("id") % 7) * scale).alias("best_bid"),
+        ((F.lit(100.5) + F.col("id") % 7) * scale).alias("best_ask"),
+    )
+    oracle = spark.range(n).select(
+        F.lit("S").alias("symbol"), at.alias("ts"), F.col("id").alias("update_id"),
+        (F.lit(10_000_000_000) + F.col("id") * 1000).alias("price_raw"), F.lit(-8).alias("expo"),
+    )
+    return ticks, oracle
+
+
+def run_live(spark, tmp_path, ticks, oracle, tick_parts, oracle_parts):
+    for name, df, parts in (("ticks", ticks, tick_parts), ("oracle", oracle, oracle_parts)):
+        for part in parts:
+            df.where(part).coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+    streams = [
+        stream_parquet(spark, str(tmp_path / name), df.schema, files_per_batch=1)
+        for name, df in (("ticks", ticks), ("oracle", oracle))
+    ]
+    out = str(tmp_path / "out")
+    writer = live_spread(*streams, out, tick_id=["tick_id"], oracle_id=["update_id"], rows=20)
+    query = writer.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True)
+    query.start().awaitTermination()
+    return out
+
+
+@pytest.mark.parametrize("files, price_files", [(3, 1), (6, 3)])
+def test_ticks_of_a_lagging_feed_are_all_scored(spark, tmp_path, files, price_files):
+    ticks, oracle = feeds(spark)
+
+    def cut(column, parts):
+        return [f"{column} div {300 // parts} = {i}" for i in range(parts)]
+
+    out = run_live(
+        spark, tmp_path, ticks, oracle, cut("tick_id", files), cut("update_id", price_files)
+    )
+    got = {r.tick_id: r for r in scored(spark, out).collect()}
+    assert len(got) == 300 and missed(spark, out).count() == 0
+    batch = spread_signal(ticks, oracle, tick_id=["tick_id"], oracle_id=["update_id"], rows=20)
+    for r in batch.collect():
+        assert got[r.tick_id].pyth_price == r.pyth_price
+        assert abs(got[r.tick_id].z_score - r.z_score) < 1e-9
+    assert len(batch_ids(spark, f"{out}/prices")) <= 3
+
+
+def test_a_tick_far_behind_its_own_feed_is_counted(spark, tmp_path):
+    ticks, oracle = feeds(spark)
+    parts = ["tick_id BETWEEN 200 AND 250", "tick_id > 250", "tick_id < 5"]
+    out = run_live(spark, tmp_path, ticks, oracle, parts, ["true"])
+    late = {r.tick_id for r in missed(spark, out).collect()}
+    assert {r.tick_id for r in scored(spark, out).collect()} == set(range(200, 300)) | (set(range(5)) - late)
+    assert late == set(range(5))
+
+
+def test_nothing_scored_yet(spark, tmp_path):
+    assert scored(spark, str(tmp_path)).count() == 0
+    assert missed(spark, str(tmp_path)).count() == 0
+
+
+def test_days_and_ranges_are_utc_in_any_session(spark, tmp_path):
+    table, path = TABLES["ohlcv_1s"], str(tmp_path / "bars")
+    rows = spark.range(0, 3 * 86_400, 3600).select(
+        F.timestamp_seconds(F.lit(START) + F.col("id")).alias("window_start"),
+        F.lit("A").alias("product_id"),
+        *[F.lit(1.0).alias(c) for c in ("open", "high", "low", "close", "volume")],
+        F.lit(1).cast("bigint").alias("trade_count"),
+    )
+    write_table(rows, table, path)
+    bounds = ("2024-01-05 00:00:00", "2024-01-06 02:00:00")
+    aware = tuple(dt.datetime.fromisoformat(b).replace(tzinfo=dt.timezone.utc) for b in bounds)
+    for zone in ("UTC", "America/New_York", "Asia/Tokyo"):
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        try:
+            for start, end in (bounds, aware):
+                found = time_range(read_table(spark, table, path), "window_start", start, end)
+                assert found.count() == 27
+            plan = found._jdf.queryExecution().toString()
+            assert "PartitionFilters: [isnotnull(day" in plan and "20240105" in plan
+            day = spark.range(1).select(day_number(F.timestamp_seconds(F.lit(START - 1)))).first()[0]
+            assert day == 20240104
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_z_scores_of_tiny_prices(spark):
+    ticks, oracle = feeds(spark, 60)
+    small = feeds(spark, 60, 1e-10)[0]
+    ids = {"tick_id": ["tick_id"], "oracle_id": ["update_id"]}
+    plain = {r.tick_id: r.z_score for r in spread_signal(ticks, oracle, **ids).collect()}
+    tiny_oracle = oracle.withColumn("expo", F.col("expo") - 10)
+    tiny = {r.tick_id: r.z_score for r in spread_signal(small, tiny_oracle, **ids).collect()}
+    assert max(map(abs, tiny.values())) > 1
+    assert all(abs(tiny[i] - plain[i]) < 1e-6 for i in plain)
+
+
+def test_constant_spread_scores_zero(spark):
+    ticks, oracle = feeds(spark, 50)
+    level = {"best_bid": F.col("best_bid") * 0 + 0.1, "best_ask": F.col("best_bid") * 0 + 0.3}
+    flat = oracle.withColumns({"price_raw": F.lit(3), "expo": F.lit(-1)})
+    rows = spread_signal(ticks.withColumns(level), flat, tick_id=["tick_id"], oracle_id=["update_id"])
+    assert {r.z_score for r in rows.collect()} == {0.0}
+
+
+def test_framing(spark):
+    rows = spark.createDataFrame([(bytearray(b"\x02hello"),), (bytearray(b""),), (None,)], "b binary")
+    out = rows.select(framed(F.col("b"), 258).alias("f")).collect()
+    assert [None if r.f is None else bytes(r.f) for r in out] == [
+        b"\x00\x00\x00\x01\x02\x02hello", b"\x00\x00\x00\x01\x02", None]
+    values = [b"\x00\x00\x00\x01\x02body", b"\x00\x00\x00\x00\x07", b"\x01\x00\x00\x00\x01x", b"\x00\x00", b"", None]
+    df = spark.createDataFrame([(None if v is None else bytearray(v),) for v in values], "v binary")
+    got = df.select(frame_id(F.col("v")).alias("i"), unframed(F.col("v")).alias("b")).collect()
+    assert [(r.i, None if r.b is None else bytes(r.b)) for r in got] == [
+        (258, b"body"), (7, b""), (None, None), (None, None), (None, None), (None, None)]
+
+
+def test_long_bars_aggregate_raw_trades_by_hash(spark):
+    trades = spark.range(100).select(
+        F.lit("A").alias("product_id"), F.col("id").alias("trade_id"), F.lit(1.5).alias("price"),
+        F.lit(2.0).alias("size"), F.timestamp_seconds(F.lit(START) + F.col("id")).alias("time"),
+    )
+    for size_s in (10, 60):
+        packed, pairs = bars(trades, size_s, id_bits=43), bars(trades, size_s)
+        assert "SortAggregate" not in packed._jdf.queryExecution().executedPlan().toString()
+        assert sorted(packed.collect()) == sorted(pairs.collect())

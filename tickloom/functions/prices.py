@@ -10,8 +10,9 @@ CRITICAL_ABOVE = 0.01
 WARNING_ABOVE = 0.005
 IMBALANCE_STEPS = ((-0.5, "red"), (-0.2, "yellow"), (0.2, "green"), (0.5, "yellow"))
 
-# A standard deviation below this is rounding noise of equal samples; outputs keep 6 decimals.
-STD_NOISE = 1e-9
+# A standard deviation below this share of the price is rounding noise of equal samples: a double
+# carries a price to about 2e-16 of itself, and a frame adds up a hundred of them.
+STD_NOISE = 1e-13
 
 
 def fixed_point(raw: Column, expo: Column) -> Column:
@@ -53,6 +54,14 @@ def imbalance_band(value: Column) -> Column:
     return F.when(value.isNotNull(), band)
 
 
-def z_score(value: Column, mean: Column, std: Column, count: Column) -> Column:
-    """Distance from the mean in deviations; 0 for a lone sample or for equal samples."""
-    return F.when((count >= 2) & (std > STD_NOISE), (value - mean) / std).otherwise(F.lit(0.0))
+def z_score(
+    value: Column, mean: Column, std: Column, count: Column, price: Column | None = None
+) -> Column:
+    """Distance from the mean in deviations; 0 for a lone sample or for equal samples.
+
+    ``price`` is one of the prices whose difference ``value`` is: its size says how far equal
+    samples may differ by rounding. Without it the values themselves say so.
+    """
+    size = F.greatest(F.abs(value), F.abs(mean)) if price is None else F.abs(price)
+    noise = size * STD_NOISE
+    return F.when((count >= 2) & (std > noise), (value - mean) / std).otherwise(F.lit(0.0))

@@ -48,7 +48,7 @@ def asof_join(
     updates = _one_update_per_instant(oracle, key, oracle_time, carry, order)
     at = epoch_micros(F.col(tick_time))
     if max_age_s is None:
-        tick_slots = ticks.select(key, _whole(at, slot_us).alias("_slot"))
+        tick_slots = ticks.select(key, _whole(at, slot_us).alias("_slot")).distinct()
         intervals = _unbounded_intervals(updates, tick_slots, key, slot_us)
     else:
         intervals = _bounded_intervals(updates, key, max_age_s, slot_us)

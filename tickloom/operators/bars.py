@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Collection, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,8 +27,14 @@ def bars(
     A (time, id) pair as the order makes Spark sort rows before it aggregates them. When the ids
     are known to be whole numbers of at most ``id_bits`` bits, both fit in one BIGINT and Spark
     aggregates by hash instead, about three times as fast; an id that breaks the promise fails the
-    job. Works on batch and streaming input alike.
+    job. Works on batch and streaming input alike. Windows too long to pack their times beside the
+    ids are built from one-second bars, which batch input alone allows.
     """
+    packable = id_bits is not None and _fits(1, id_bits)
+    if packable and not _fits(size_s, id_bits) and not trades.isStreaming:
+        sizes = {"fine": 1, "asked": size_s}
+        options = {"time_col": time_col, "id_col": id_col, "id_bits": id_bits}
+        return bars_by_size(trades, sizes, only=("asked",), **options).drop("bar")
     if id_bits is None:
         order = _pair_order(trades, time_col, id_col)
     else:
@@ -57,9 +63,13 @@ def _pair_order(trades: DataFrame, time_col: str, id_col: str) -> Column:
     return F.struct(time_col, id_col)
 
 
+def _fits(size_s: int, id_bits: int) -> bool:
+    return (size_s * 1_000_000).bit_length() + id_bits <= 63
+
+
 def _packed_order(size_s: int, time_col: str, id_col: str, id_bits: int) -> Column:
     window_us = size_s * 1_000_000
-    if window_us.bit_length() + id_bits > 63:
+    if not _fits(size_s, id_bits):
         raise ValueError(f"{size_s} s windows leave {63 - window_us.bit_length()} bits for ids")
     trade_id = F.col(id_col).cast("bigint")
     offset = F.pmod(epoch_micros(F.col(time_col)), F.lit(window_us))
@@ -69,10 +79,16 @@ def _packed_order(size_s: int, time_col: str, id_col: str, id_bits: int) -> Colu
 
 
 def bars_by_size(
-    trades: DataFrame, sizes: Mapping[str, int] = BAR_SIZES, **options
+    trades: DataFrame,
+    sizes: Mapping[str, int] = BAR_SIZES,
+    *,
+    only: Collection[str] | None = None,
+    **options,
 ) -> DataFrame:
     """Bars of all sizes in one table, labelled in ``bar``, from one pass over the trades.
 
+    ``only`` names the sizes to return, all if it is left out.
+
     Trades are aggregated to the smallest size only. Each of those bars then counts into one window
     per size, so the second aggregate and its shuffle see bars, never trades. The smallest size
     must divide the others. Write it with ``partitionBy("bar")`` to feed several outputs at once.
@@ -83,6 +99,8 @@ def bars_by_size(
     start_us = epoch_micros(F.col("window_start"))
     slots = []
     for label, size_s in sizes.items():
+        if only is not None and label not in only:
+            continue
         first = start_us - F.pmod(start_us, F.lit(size_s * 1_000_000))
         slots.append(F.struct(
             F.lit(label).alias("bar"),

@@ -11,6 +11,7 @@ from tickloom.functions.prices import fixed_point, mid_price, z_score
 from tickloom.functions.times import epoch_millis
 from tickloom.operators.asof import asof_join
 from tickloom.operators.rolling import BLOCK_ROWS, rolling_stats
+from tickloom.session import stage
 from tickloom.settings import MAX_AGE_S, ZSCORE_ROWS
 
 
@@ -75,7 +76,8 @@ def with_z_score(
         copies="copies" if "copies" in df.columns else None,
         block_rows=block_rows,
     )
-    score = z_score(*[F.col(c) for c in ("spread", "rolling_mean", "rolling_std", "sample_count")])
+    inputs = ("spread", "rolling_mean", "rolling_std", "sample_count", "coinbase_mid")
+    score = z_score(*[F.col(c) for c in inputs])
     return stats.withColumn("z_score", score)
 
 
@@ -91,8 +93,9 @@ def spread_signal(
 ) -> DataFrame:
     """The whole analytic, unrounded: as-of join with staleness limit, then rolling z-score.
 
-    ``tick_id`` names columns that identify a tick; leave it out if there are none. Numbering the
-    rows runs a job at once and stages its result, see ``tickloom.session.staging``.
+    ``tick_id`` names columns that identify a tick; leave it out if there are none. The joined rows
+    are staged, as the range sort that numbers them reads its input twice, and so are the numbered
+    ones; both jobs run at once, see ``tickloom.session.staging``.
     """
     joined = spreads(
         ticks,
@@ -102,11 +105,14 @@ def spread_signal(
         max_age_s=max_age_s,
         slots_per_s=slots_per_s,
     )
-    return with_z_score(joined, tick_id=tick_id, rows=rows)
+    return with_z_score(stage(joined, "joined"), tick_id=tick_id, rows=rows)
 
 
-def spread_records(signal: DataFrame) -> DataFrame:
-    """The published record: event time in milliseconds, 6 decimals, 4 for the z-score."""
+def spread_records(signal: DataFrame, *, with_symbol: bool = False) -> DataFrame:
+    """The published record: event time in milliseconds, 6 decimals, 4 for the z-score.
+
+    It was made for one symbol; ``with_symbol`` puts the symbol beside its eight fields.
+    """
     rounded = [
         F.round(c, 6).alias(c)
         for c in ("coinbase_mid", "pyth_price", "spread", "rolling_mean", "rolling_std")
@@ -116,4 +122,5 @@ def spread_records(signal: DataFrame) -> DataFrame:
         *rounded,
         F.round("z_score", 4).alias("z_score"),
         "sample_count",
+        *(["symbol"] if with_symbol else []),
     )

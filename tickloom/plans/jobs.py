@@ -10,6 +10,7 @@ Jobs read and write Kafka topics. With ``--files DIR`` they read typed Parquet f
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,7 +43,7 @@ from tickloom.sources.feeds import (
 )
 from tickloom.sources.files import stream_parquet, stream_text
 from tickloom.sources.kafka import decode_avro, stream_topic
-from tickloom.streaming.spread import live_spread, score_stream, stream_spreads
+from tickloom.streaming.spread import SALTS, live_spread, score_stream, stream_spreads
 from tickloom.streaming.store import store_stream
 from tickloom.streaming.windows import (
     bar_messages,
@@ -86,7 +87,7 @@ class Topics:
         else:
             servers = self.config.bootstrap_servers
             raw = stream_topic(self.spark, servers, topic, start=self.args.start)
-            rows = decode_avro(raw, record, columns)
+            rows = accepted(decode_avro(raw, record, columns))
             if self.args.arrival_time:
                 return rows.withColumn("event_time", F.col("arrived_at"))
         at = F.col(time_col)
@@ -160,14 +161,14 @@ def _spread(topics: Topics, args: argparse.Namespace, config: Settings) -> DataS
     message_id = ["partition", "offset"]
 
     def publish(scored: DataFrame) -> None:
-        topics.publish(json_messages(spread_records(scored), settings.SPREAD_TOPIC))
+        topics.publish(json_messages(spread_records(scored, with_symbol=True), settings.SPREAD_TOPIC))
 
     path = f"{args.work}/spread"
     ids = {"tick_id": message_id, "oracle_id": message_id, "max_age_s": config.max_age_s}
     output = {"rows": config.zscore_rows, "publish": publish}
     if args.live:
-        return live_spread(ticks, oracle, path, **ids, **output)
-    joined = stream_spreads(ticks, oracle, lateness=args.lateness, **ids)
+        return live_spread(ticks, oracle, path, slots_per_s=args.slots_per_s, **ids, **output)
+    joined = stream_spreads(ticks, oracle, lateness=args.lateness, salts=args.salts, **ids)
     return score_stream(joined, path, tick_id=message_id, **output)
 
 
@@ -184,11 +185,11 @@ def _ingest(
             writer = typed.writeStream.format("parquet").option("path", f"{args.files}/{feed}")
         elif feed == "oracle":
             routed = known_feeds(typed, config.feed_topics)
-            writer = topics.write(_avro(routed, "oracle", "feed_id"), "")
+            writer = topics.write(_avro(routed, "oracle", "feed_id", args), "")
         elif feed == "ticker":
-            writer = topics.write(_avro(routed_ticker(typed), "ticker", "product_id"), "")
+            writer = topics.write(_avro(routed_ticker(typed), "ticker", "product_id", args), "")
         else:
-            writer = topics.write(_avro(routed_trades(typed), "trade", "product_id"), "")
+            writer = topics.write(_avro(routed_trades(typed), "trade", "product_id", args), "")
         checkpoint = f"{args.work}/checkpoint/{feed}"
         queries.append(writer.option("checkpointLocation", checkpoint))
         letters = dead_letters(records).writeStream.format("text")
@@ -199,8 +200,8 @@ def _ingest(
     return queries
 
 
-def _avro(routed: DataFrame, record: str, key: str) -> DataFrame:
-    return avro_messages(routed, record, F.col("topic"), key)
+def _avro(routed: DataFrame, record: str, key: str, args: argparse.Namespace) -> DataFrame:
+    return avro_messages(routed, record, F.col("topic"), key, args.schema_ids[record])
 
 
 def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
@@ -209,12 +210,22 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--work", required=True, help="shared folder for state and results")
     parser.add_argument("--files", help="use files below this folder instead of Kafka")
     parser.add_argument("--raw", help="folder of captured raw messages, for ingest")
+    parser.add_argument(
+        "--schema-ids", type=json.loads, default={"trade": 1, "ticker": 2, "oracle": 3},
+        help="ingest to Kafka: the registry's schema ids as JSON, by record",
+    )
     parser.add_argument("--start", default="latest", choices=("latest", "earliest"))
     parser.add_argument("--lateness", default="10 seconds", help="watermark delay")
     parser.add_argument("--arrival-time", action="store_true", help="Kafka time as event time")
     parser.add_argument(
         "--live", action="store_true", help="spread: score ticks as they arrive, no watermark"
     )
+    parser.add_argument(
+        "--slots-per-s", type=int, default=1, help="spread --live: raise for a dense oracle"
+    )
+    parser.add_argument(
+        "--salts", type=int, default=SALTS, help="spread: tasks for the live ticks of a symbol"
+    )
     parser.add_argument("--tables", nargs="+", default=list(STORED_TOPICS), help="for store")
     parser.add_argument("--every", help="interval of the micro-batches, such as '1 minute'")
     parser.add_argument("--once", action="store_true", help="handle what is there, then stop")

@@ -20,11 +20,18 @@ def last_range(now: datetime | None = None) -> tuple[datetime, datetime]:
 
 
 def _series(
-    rows: DataFrame, time_col: str, columns: list[str], start, end, product_id: str | None = None
+    rows: DataFrame,
+    time_col: str,
+    columns: list[str],
+    start,
+    end,
+    product_id: str | None = None,
+    symbol: str | None = None,
 ) -> DataFrame:
     rows = time_range(rows, time_col, start, end)
-    if product_id is not None:
-        rows = rows.where(F.col("product_id") == product_id)
+    for name, wanted in (("product_id", product_id), ("symbol", symbol)):
+        if wanted is not None:
+            rows = rows.where(F.col(name) == wanted)
     return rows.select(F.col(time_col).alias("time"), *columns).orderBy("time")
 
 
@@ -45,12 +52,12 @@ def panel_imbalance_bands(
     return series.withColumn("band", imbalance_band(F.col("avg_imbalance")))
 
 
-def panel_spread(spread: DataFrame, start, end) -> DataFrame:
-    return _series(spread, "ts", ["spread", "rolling_mean"], start, end)
+def panel_spread(spread: DataFrame, start, end, symbol: str | None = None) -> DataFrame:
+    return _series(spread, "ts", ["spread", "rolling_mean"], start, end, symbol=symbol)
 
 
-def panel_zscore(spread: DataFrame, start, end) -> DataFrame:
-    return _series(spread, "ts", ["z_score"], start, end)
+def panel_zscore(spread: DataFrame, start, end, symbol: str | None = None) -> DataFrame:
+    return _series(spread, "ts", ["z_score"], start, end, symbol=symbol)
 
 
 def panel_peg(alerts: DataFrame, start, end) -> DataFrame:

@@ -68,6 +68,10 @@ SPREAD = struct(
     "ts_ms bigint, coinbase_mid double, pyth_price double, spread double, rolling_mean double, "
     "rolling_std double, z_score double, sample_count bigint"
 )
+SPREAD_BY_SYMBOL = struct(
+    "ts_ms bigint, coinbase_mid double, pyth_price double, spread double, rolling_mean double, "
+    "rolling_std double, z_score double, sample_count bigint, symbol string"
+)
 PEG_ALERT = struct(
     "publish_time bigint, feed_id string, usdc_usd double, deviation double, severity string"
 )

@@ -35,8 +35,10 @@ def _windowed(landing: DataFrame) -> DataFrame:
 
 
 def _spread(landing: DataFrame) -> DataFrame:
+    """A record that names no symbol has an empty one."""
     kept = [name for name in schemas.SPREAD.names if name != "ts_ms"]
-    return landing.select(F.timestamp_millis("ts_ms").alias("ts"), *kept)
+    symbol = F.col("symbol") if "symbol" in landing.columns else F.lit("")
+    return landing.select(F.timestamp_millis("ts_ms").alias("ts"), *kept, symbol.alias("symbol"))
 
 
 def _peg(landing: DataFrame) -> DataFrame:
@@ -52,7 +54,9 @@ TABLES = {
         StoredTable("ohlcv_1s", schemas.BAR, _windowed, "window_start", _BY_PRODUCT),
         StoredTable("ohlcv_10s", schemas.BAR, _windowed, "window_start", _BY_PRODUCT),
         StoredTable("ohlcv_1m", schemas.BAR, _windowed, "window_start", _BY_PRODUCT),
-        StoredTable("cross_source_spread", schemas.SPREAD, _spread, "ts", ("ts",)),
+        StoredTable(
+            "cross_source_spread", schemas.SPREAD_BY_SYMBOL, _spread, "ts", ("symbol", "ts")
+        ),
         StoredTable("imbalance", schemas.IMBALANCE, _windowed, "window_start", _BY_PRODUCT),
         StoredTable("usdc_peg_alerts", schemas.PEG_ALERT, _peg, "ts", ("ts",)),
     ]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom import schemas
+from tickloom.functions.framing import framed
 from tickloom.functions.text import JSON_OPTIONS, ticker_topic, trades_topic
 
 
@@ -22,8 +23,13 @@ def json_messages(
     )
 
 
-def avro_messages(df: DataFrame, record: str, topic: str | Column, key: str) -> DataFrame:
-    """Key, Avro value and topic of typed events. Needs Spark's Avro package."""
+def avro_messages(
+    df: DataFrame, record: str, topic: str | Column, key: str, schema_id: int
+) -> DataFrame:
+    """Key, framed Avro value and topic of typed events. Needs Spark's Avro package.
+
+    ``schema_id`` is the id under which the registry knows the record's schema.
+    """
     from pyspark.sql.avro.functions import to_avro
 
     iso = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
@@ -35,7 +41,7 @@ def avro_messages(df: DataFrame, record: str, topic: str | Column, key: str) ->
     ]
     return df.select(
         F.col(key).alias("key"),
-        to_avro(F.struct(*fields), schemas.avro_schema(record)).alias("value"),
+        framed(to_avro(F.struct(*fields), schemas.avro_schema(record)), schema_id).alias("value"),
         (F.lit(topic) if isinstance(topic, str) else topic).alias("topic"),
     )
 

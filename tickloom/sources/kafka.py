@@ -12,11 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom import schemas
+from tickloom.functions.framing import unframed
 from tickloom.functions.text import iso_time
 
-# Registry framing: one magic byte and a four-byte schema id before the Avro body.
-REGISTRY_HEADER_BYTES = 5
-
 _ISO_FIELDS = {"trade": "time", "ticker": "received_at"}
 
 
@@ -48,21 +46,37 @@ def replay_topic(spark: SparkSession, bootstrap_servers: str, topic: str) -> Dat
     return spark.read.format("kafka").options(**options).load()
 
 
-def decode_avro(messages: DataFrame, record: str, columns: Sequence[str] = ()) -> DataFrame:
+def decode_avro(
+    messages: DataFrame,
+    record: str,
+    columns: Sequence[str] = (),
+    writer_schema: str | None = None,
+) -> DataFrame:
     """Registry-framed Avro values to typed columns; with ``columns`` only those are decoded.
 
     ``arrived_at`` is the Kafka timestamp, for jobs that want arrival time as event time;
-    ``partition`` and ``offset`` identify the message.
+    ``partition`` and ``offset`` identify the message. ``writer_schema`` is the Avro text the
+    values were written with, where it has gained fields since. A value that is not framed or does
+    not decode gives a row with ``_ok`` false and its bytes in ``_source``, see
+    ``tickloom.sources.feeds.accepted`` and ``dead_letters``.
     """
     from pyspark.sql.avro.functions import from_avro
 
-    body = F.expr(f"substring(value, {REGISTRY_HEADER_BYTES + 1})")
-    reader = {"avroSchema": schemas.avro_schema(record, columns)} if columns else {}
+    reader = {"mode": "PERMISSIVE"}
+    if columns or writer_schema:
+        reader["avroSchema"] = schemas.avro_schema(record, columns)
+    written = writer_schema or schemas.avro_schema(record)
+    names = [f.name for f in schemas.RECORDS[record].fields if not columns or f.name in columns]
+    required = [n for n in names if n not in schemas.OPTIONAL_TICKER_FIELDS]
+    ok = F.col("r").isNotNull()
+    for name in required:  # a value that does not decode has no fields
+        ok = ok & F.col(f"r.{name}").isNotNull()
     decoded = messages.select(
         F.col("timestamp").alias("arrived_at"),
         "partition",
         "offset",
-        from_avro(body, schemas.avro_schema(record), reader).alias("r"),
-    ).select("arrived_at", "partition", "offset", "r.*")
+        F.col("value").alias("_source"),
+        from_avro(unframed(F.col("value")), written, reader).alias("r"),
+    ).select("arrived_at", "partition", "offset", "r.*", "_source", ok.alias("_ok"))
     iso = _ISO_FIELDS.get(record)
     return decoded.withColumn(iso, iso_time(F.col(iso))) if iso in decoded.columns else decoded

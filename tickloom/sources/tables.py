@@ -6,9 +6,8 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tickloom.functions.times import day_number
+from tickloom.functions.times import day_number, instant
 from tickloom.sinks.tables import StoredTable
 
 
@@ -20,12 +19,11 @@ def read_table(spark: SparkSession, table: StoredTable, path: str) -> DataFrame:
 def time_range(
     rows: DataFrame, time_col: str, start: datetime | str, end: datetime | str
 ) -> DataFrame:
-    """Rows with ``start <= time <= end``.
+    """Rows with ``start <= time <= end``; bounds without a zone are UTC.
 
     Spark prunes day folders only by a predicate on ``day`` itself, so that one is added.
     """
-    first = F.lit(start).cast(T.TimestampType())
-    last = F.lit(end).cast(T.TimestampType())
+    first, last = instant(start), instant(end)
     return rows.where(F.col("day").between(day_number(first), day_number(last))).where(
         F.col(time_col).between(first, last)
     )

@@ -34,9 +34,17 @@ def drop_older(spark: SparkSession, path: str, batch_id: int, keep: int) -> None
         delete(spark, f"{path}/{_PREFIX}{old}")
 
 
-def written(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """All batch folders below ``path`` as one table; the schema is read from files if not given."""
+def written(
+    spark: SparkSession, path: str, schema: T.StructType, *, known: bool = True
+) -> DataFrame:
+    """The completely written batch folders below ``path`` as one table, empty if there is none.
+
+    With ``known`` false the folders' own schema may have more columns than ``schema``.
+    """
+    ids = batch_ids(spark, path)
+    if not ids:
+        return spark.createDataFrame([], schema)
     reader = spark.read.option("basePath", path)
-    if schema is not None:
+    if known:
         reader = reader.schema(schema)
-    return reader.parquet(f"{path}/{_PREFIX}*").drop("batch_id")
+    return reader.parquet(*[f"{path}/{_PREFIX}{i}" for i in ids]).drop("batch_id")

@@ -11,10 +11,18 @@ from pyspark.sql.streaming import DataStreamWriter
 from tickloom.functions.prices import mid_price
 from tickloom.functions.times import epoch_seconds
 from tickloom.operators.spread import decode_oracle, spreads, with_z_score
+from tickloom.schemas import struct
 from tickloom.session import stage, staging
 from tickloom.settings import MAX_AGE_S, ZSCORE_ROWS
 from tickloom.streaming.folders import drop_older, newest_before, written
 
+SCORED = struct(
+    "symbol string, ts timestamp, coinbase_mid double, pyth_price double, spread double, "
+    "rolling_mean double, rolling_std double, sample_count bigint, z_score double"
+)
+CLOCKS = struct("symbol string, _ticks bigint, _prices bigint, _horizon bigint")
+MISSED = struct("symbol string, ts timestamp, best_bid double, best_ask double")
+
 # Tasks over which the ticks of one symbol spread; every oracle update is copied to each.
 SALTS = 4
 
@@ -124,6 +132,7 @@ def live_spread(
     max_age_s: int = MAX_AGE_S,
     rows: int = ZSCORE_ROWS,
     publish: Callable[[DataFrame], None] | None = None,
+    slots_per_s: int = 1,
     slack_s: int = 60,
 ) -> DataStreamWriter:
     """The whole analytic without a watermark: a tick is scored in the micro-batch it arrives in.
@@ -131,8 +140,14 @@ def live_spread(
     For live use, where an answer now matters more than the same answer on a replay. Both feeds
     come in one stream. A tick sees the oracle prices of its own and earlier micro-batches; a
     price that arrives later than that does not change it. Rolling windows follow arrival: by
-    micro-batch, then by time. Prices are kept until they are ``slack_s`` older than they could
-    matter to the newest one, so that ticks of a feed that lags behind still find them.
+    micro-batch, then by time.
+
+    Prices expire by the clock of the feed that lags: they are kept until they are ``slack_s`` older
+    than they could matter to the newest tick of their symbol or to its newest price, whichever is
+    older. So a tick feed may lag by any time and in any number of files. Only a tick that comes
+    more than ``slack_s`` behind a later one of its symbol may find its prices gone; if it gets no
+    price then, it is kept in the table that ``missed`` reads, not lost unseen. Prices of a symbol
+    without ticks are all kept.
     """
     feed = ticks.select(
         F.lit(True).alias("_tick"), "symbol", "ts", *tick_id, "best_bid", "best_ask"
@@ -155,17 +170,28 @@ def live_spread(
             prices = prices.unionByName(
                 spark.read.parquet(f"{path}/prices/batch_id={prices_id}")
             )
+        arriving = arrived.where("_tick")
         joined = spreads(
-            arrived.where("_tick"), prices, tick_id=tick_id, oracle_id=oracle_id,
-            max_age_s=max_age_s,
+            arriving, prices, tick_id=tick_id, oracle_id=oracle_id, max_age_s=max_age_s,
+            slots_per_s=slots_per_s,
         )
+        clocks = _clocks(spark, f"{path}/clocks", batch_id)
         with staging(spark):
-            new = _score(stage(joined, "joined"), path, batch_id, tick_id, rows)
-        newest = prices.groupBy("symbol").agg(F.max("ts").alias("_newest"))
-        age = epoch_seconds(F.col("_newest")) - epoch_seconds(F.col("ts"))
-        recent = prices.join(newest, "symbol").where(age <= max_age_s + slack_s)
-        _write(recent.drop("_newest"), f"{path}/prices/batch_id={batch_id}")
-        for folder in ("staged", "prices"):
+            matched = stage(joined, "joined")
+            late = arriving.join(clocks.select("symbol", "_horizon"), "symbol").where(
+                epoch_seconds(F.col("ts")) < F.col("_horizon") - slack_s
+            )
+            unpriced = late.join(matched.select("symbol", "ts", *tick_id),
+                                 ["symbol", "ts", *tick_id], "left_anti")
+            kept = ["symbol", "ts", *tick_id, "best_bid", "best_ask"]
+            _write(unpriced.select(*kept), f"{path}/missed/batch_id={batch_id}")
+            new = _score(matched, path, batch_id, tick_id, rows)
+        now = _advanced(clocks, arrived)
+        now = _write(now, f"{path}/clocks/batch_id={batch_id}")
+        behind = F.coalesce("_horizon", epoch_seconds(F.col("ts"))) - epoch_seconds(F.col("ts"))
+        recent = prices.join(now, "symbol", "left").where(behind <= max_age_s + slack_s)
+        _write(recent.select(*oracle_columns), f"{path}/prices/batch_id={batch_id}")
+        for folder in ("staged", "prices", "clocks"):
             drop_older(spark, f"{path}/{folder}", batch_id, keep=2)
         if publish is not None:
             publish(new)
@@ -173,9 +199,40 @@ def live_spread(
     return feed.writeStream.foreachBatch(score)
 
 
+def _clocks(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """Newest tick and newest price per symbol before a batch, in seconds, and the older of both.
+
+    The horizon is null while one of the feeds has not begun.
+    """
+    before = newest_before(spark, path, batch_id)
+    if before is None:
+        return spark.createDataFrame([], CLOCKS)
+    return spark.read.schema(CLOCKS).parquet(f"{path}/batch_id={before}")
+
+
+def _advanced(clocks: DataFrame, arrived: DataFrame) -> DataFrame:
+    """The clocks after a batch."""
+    seconds = epoch_seconds(F.col("ts"))
+    seen = arrived.groupBy("symbol").agg(
+        F.max(F.when(F.col("_tick"), seconds)).alias("_ticks"),
+        F.max(F.when(~F.col("_tick"), seconds)).alias("_prices"),
+    )
+    both = clocks.select("symbol", "_ticks", "_prices").unionByName(seen)
+    newest = both.groupBy("symbol").agg(
+        F.max("_ticks").alias("_ticks"), F.max("_prices").alias("_prices")
+    )
+    begun = F.col("_ticks").isNotNull() & F.col("_prices").isNotNull()
+    return newest.withColumn("_horizon", F.when(begun, F.least("_ticks", "_prices")))
+
+
 def scored(spark: SparkSession, path: str) -> DataFrame:
-    """All scored rows."""
-    return written(spark, f"{path}/scored")
+    """All scored rows; none, without the ticks' own ids, before the first batch is scored."""
+    return written(spark, f"{path}/scored", SCORED, known=False)
+
+
+def missed(spark: SparkSession, path: str) -> DataFrame:
+    """Ticks of ``live_spread`` that came so late that prices of their time were gone."""
+    return written(spark, f"{path}/missed", MISSED, known=False)
 
 
 def _score(
