@@ -31,7 +31,7 @@ def hop_imbalance(
 ) -> DataFrame:
     """Averages per product and sliding window, every tick copied into each window it falls in.
 
-    The form for streams: one stateful operator. ``pane_imbalance`` is the cheaper batch form.
+    The plain form, one aggregate. ``pane_imbalance`` is cheaper.
     """
     hop = F.window(time_col, f"{size_s} seconds", f"{slide_s} seconds")
     averages = [F.avg(expr).alias(name) for name, expr in _measures().items()]
@@ -49,9 +49,10 @@ def pane_imbalance(
     slide_s: int = HOP_SLIDE_S,
     time_col: str = "received_at",
 ) -> DataFrame:
-    """The same result for batch input, from panes: sums and counts of non-overlapping pieces.
+    """The same result from panes: sums and counts of non-overlapping pieces.
 
-    A tick is aggregated once; only panes are copied into the windows they belong to.
+    A tick is aggregated once; only panes are copied into the windows they belong to. On a stream
+    these are two stateful operators, the second of which sees closed panes.
     """
     pane = F.window(time_col, f"{gcd(size_s, slide_s)} seconds")
     partials = []
@@ -60,11 +61,11 @@ def pane_imbalance(
     panes = (
         ticks.groupBy("product_id", pane)
         .agg(*partials, F.count("*").alias("tick_count"))
-        .withColumn("pane_start", F.col("window.start"))
-        .drop("window")
+        .withColumnRenamed("window", "pane")
     )
-    # A pane start lies in a window exactly when the whole pane does: panes divide both bounds.
-    hop = F.window("pane_start", f"{size_s} seconds", f"{slide_s} seconds")
+    # The end of a pane, less a microsecond, lies in a window exactly when the whole pane does:
+    # panes divide both bounds. On a stream it also carries the watermark on.
+    hop = F.window(F.window_time("pane"), f"{size_s} seconds", f"{slide_s} seconds")
     averages = [
         F.try_divide(F.sum(f"{name}_sum"), F.sum(f"{name}_n")).alias(name) for name in _measures()
     ]

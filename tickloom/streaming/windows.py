@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tickloom.operators.bars import bars
-from tickloom.operators.imbalance import hop_imbalance
+from tickloom.operators.imbalance import pane_imbalance
 from tickloom.operators.peg import peg_alerts
 from tickloom.settings import (
     BAR_SIZES,
@@ -59,7 +59,7 @@ def stream_imbalance(
     slide_s: int = HOP_SLIDE_S,
 ) -> DataFrame:
     ticks = ticks.withWatermark(time_col, lateness)
-    return hop_imbalance(ticks, size_s=size_s, slide_s=slide_s, time_col=time_col)
+    return pane_imbalance(ticks, size_s=size_s, slide_s=slide_s, time_col=time_col)
 
 
 def bar_messages(labelled: DataFrame) -> DataFrame:
