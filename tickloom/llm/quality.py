@@ -318,7 +318,7 @@ def good_documents(
                 if loaded:
                     score = loaded[0].score([line_features(text) for text in distinct])
                 kept.extend(bool(score[distinct[text]] >= 0.5) for text in part)
-            yield pd.Series(kept)
+            yield pd.Series(kept, dtype=bool)
 
     (mark,) = fresh(docs, "good")
     return docs.withColumn(mark, good(text_of(text_col))).where(F.col(mark)).drop(mark)

@@ -49,8 +49,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(urls.RULES, "key string, verdict string")
-    blocked = spark.createDataFrame([(key,) for key in urls.BLOCKED], "key string")
+    rules = urls.rows_of(spark, urls.RULES, "key", "verdict")
+    blocked = urls.rows_of(spark, tuple((key,) for key in urls.BLOCKED), "key")
     return urls.judge(table(spark, sf_dir, "pages"), rules, blocked)
 
 

@@ -15,7 +15,7 @@ import math
 from dataclasses import dataclass
 from string import ascii_lowercase, ascii_uppercase
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import col, stage
@@ -177,6 +177,12 @@ def judge(
     )
 
 
+def rows_of(spark: SparkSession, rows: tuple, *names: str) -> DataFrame:
+    """A small table of texts, written out in the plan."""
+    structs = [F.struct(*(F.lit(v).alias(n) for n, v in zip(names, row))) for row in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 RULES = (
     ("net/", "block"),
     ("example.net/en/", "allow"),

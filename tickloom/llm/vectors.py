@@ -398,15 +398,23 @@ def top_k(
     def described(blocks: DataFrame, side: str) -> DataFrame:
         return blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in ("block", "size", "centre", "radius")))
 
-    # one row for each block of the query set and each block of the data
+    # One row for each block of the query set and each block of the data. Almost all vectors have one
+    # length, so a salt spreads the data blocks; the query blocks go to every salt.
+    salts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asking = described(query_blocks, "q").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    )
+    answering = described(data_blocks, "x").withColumn(
+        "salt", F.pmod(F.xxhash64("x_block"), F.lit(salts)).cast("int")
+    )
     centre = F.aggregate(
         F.zip_with("q_centre", "x_centre", lambda a, b: a * b), F.lit(0.0), lambda t, x: t + x
     )
     nq, nx = _reach_of("q"), _reach_of("x")
     spread = F.col("q_radius") * nx + F.col("x_radius") * nq + F.col("q_radius") * F.col("x_radius")
     pairs = stage(
-        described(query_blocks, "q")
-        .join(described(data_blocks, "x"), F.col("q_size") == F.col("x_size"))
+        asking.withColumnRenamed("q_size", "size")
+        .join(answering.withColumnRenamed("x_size", "size"), ["size", "salt"])
         .select(
             "q_block",
             "x_block",
