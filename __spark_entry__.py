@@ -34,10 +34,11 @@ from tickloom.sources.feeds import (
     read_ticker,
     read_trades,
 )
+from tickloom.sources.files import stream_topic_text
 from tickloom.sources.landing import read_landing
 from tickloom.sources.tables import read_table
 from tickloom.streaming.spread import live_spread, score_stream, scored, stream_spreads
-from tickloom.streaming.store import store_stream, stored
+from tickloom.streaming.store import compact, store_stream, stored
 from tickloom.streaming.windows import bar_messages, stream_bars, stream_imbalance
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -463,8 +464,9 @@ def _stream_to_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     topics, path = work_dir(spark, "topics"), work_dir(spark, "stored")
     writer = messages.select("value", "topic").writeStream.format("text").partitionBy("topic")
     _run(writer.option("path", topics), "topics")
-    topic = spark.readStream.text(f"{topics}/topic=analytics.sol_usd.ohlcv_1m")
+    topic = stream_topic_text(spark, topics, "analytics.sol_usd.ohlcv_1m")
     _run(store_stream(topic, TABLES["ohlcv_1m"], path), "stored")
+    compact(spark, TABLES["ohlcv_1m"], path, keep=0)
     return _plain_times(stored(spark, TABLES["ohlcv_1m"], path))
 
 

@@ -15,7 +15,7 @@ from tickloom.sinks.topics import json_messages, stream_topic_files
 from tickloom.sources.files import stream_parquet, stream_text
 from tickloom.streaming.folders import batch_ids, drop_older
 from tickloom.streaming.spread import live_spread, score_stream, scored, stream_spreads
-from tickloom.streaming.store import broken, store_stream, stored
+from tickloom.streaming.store import broken, compact, store_stream, stored
 from tickloom.streaming.windows import (
     bar_messages,
     peg_messages,
@@ -256,6 +256,28 @@ def test_alerts_stream_into_their_table(spark, tmp_path):
     assert same(stored(spark, table, path).drop("day"), expected)
 
 
+def test_stored_batches_are_merged_by_day(spark, tmp_path):
+    prices = alerts(spark)
+    source = in_files(prices, str(tmp_path / "in"), "publish_time", 6)
+    stream = stream_parquet(spark, source, prices.schema, files_per_batch=1)
+    topics, topic = str(tmp_path / "topics"), str(tmp_path / "topics/topic=alerts.usdc_peg")
+    run(stream_topic_files(peg_messages(stream), topics, str(tmp_path / "c")), tmp_path / "c")
+    table, path = TABLES["usdc_peg_alerts"], str(tmp_path / "stored")
+    run(store_stream(stream_text(spark, topic, files_per_batch=1), table, path), tmp_path / "c2")
+    expected = table.project(peg_alerts(prices))
+    batches = batch_ids(spark, f"{path}/rows")
+    assert len(batches) > 4
+    for keep in (3, 2, 2, 0):
+        compact(spark, table, path, keep)
+        assert batch_ids(spark, f"{path}/rows") == batches[len(batches) - keep :]
+        assert batch_ids(spark, f"{path}/merged") == [batches[len(batches) - keep - 1]]
+        assert same(stored(spark, table, path).drop("day"), expected)
+    # folders of an unfinished attempt are not read
+    stored(spark, table, path).drop("day").write.parquet(f"{path}/rows/batch_id=999")
+    (tmp_path / "stored/rows/batch_id=999/_SUCCESS").unlink()
+    assert same(stored(spark, table, path).drop("day"), expected)
+
+
 def test_old_batch_folders_are_dropped(spark, tmp_path):
     for i in (1, 2, 5, 9):
         spark.range(1).write.parquet(f"{tmp_path}/batch_id={i}")

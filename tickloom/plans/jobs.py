@@ -41,10 +41,10 @@ from tickloom.sources.feeds import (
     read_ticker,
     read_trades,
 )
-from tickloom.sources.files import stream_parquet, stream_text
+from tickloom.sources.files import stream_parquet, stream_text, stream_topic_text
 from tickloom.sources.kafka import decode_avro, stream_topic
 from tickloom.streaming.spread import SALTS, live_spread, score_stream, stream_spreads
-from tickloom.streaming.store import store_stream
+from tickloom.streaming.store import compact, store_stream
 from tickloom.streaming.windows import (
     bar_messages,
     imbalance_messages,
@@ -59,10 +59,16 @@ STORED_TOPICS = {
     "imbalance": settings.IMBALANCE_TOPIC,
     "usdc_peg_alerts": settings.PEG_TOPIC,
 }
+TOPIC_JOBS = {
+    **{settings.BARS_TOPIC.format(label=label): "bars" for label in settings.BAR_SIZES},
+    settings.SPREAD_TOPIC: "spread",
+    settings.IMBALANCE_TOPIC: "imbalance",
+    settings.PEG_TOPIC: "peg",
+}
 EVENT_TIME = {"trade": "time", "ticker": "received_at", "oracle": "publish_time"}
 QUOTE = ["product_id", "best_bid", "best_ask"]
 PRICE = ["feed_id", "price_raw", "expo"]
-JOBS = ("bars", "imbalance", "spread", "peg", "store", "ingest")
+JOBS = ("bars", "imbalance", "spread", "peg", "store", "ingest", "compact")
 
 
 class Topics:
@@ -97,7 +103,9 @@ class Topics:
 
     def text(self, topic: str) -> DataFrame:
         if self.args.files:
-            return stream_text(self.spark, f"{self.args.files}/topics/*/topic={topic}")
+            return stream_topic_text(
+                self.spark, f"{self.args.files}/topics/{TOPIC_JOBS[topic]}", topic
+            )
         return stream_topic(
             self.spark, self.config.bootstrap_servers, topic, start=self.args.start
         )
@@ -226,7 +234,7 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     parser.add_argument(
         "--salts", type=int, default=SALTS, help="spread: tasks for the live ticks of a symbol"
     )
-    parser.add_argument("--tables", nargs="+", default=list(STORED_TOPICS), help="for store")
+    parser.add_argument("--tables", nargs="+", default=list(STORED_TOPICS), help="for store and compact")
     parser.add_argument("--every", help="interval of the micro-batches, such as '1 minute'")
     parser.add_argument("--once", action="store_true", help="handle what is there, then stop")
     return parser.parse_args(argv)
@@ -246,5 +254,10 @@ def start(
 
 def main(argv: Sequence[str] | None = None) -> None:
     args = parse(argv)
-    for query in start(build_session(f"tickloom-{args.job}"), args):
+    spark = build_session(f"tickloom-{args.job}")
+    if args.job == "compact":  # a batch job, to be run now and then
+        for name in args.tables:
+            compact(spark, TABLES[name], f"{args.work}/{name}")
+        return
+    for query in start(spark, args):
         query.awaitTermination()

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -24,5 +25,14 @@ def stream_text(spark: SparkSession, path: str, files_per_batch: int | None = No
     return reader.text(path)
 
 
+def stream_topic_text(spark: SparkSession, root: str, topic: str) -> DataFrame:
+    """The messages of one topic below ``root``, which holds ``topic=<name>/`` folders.
+
+    The root is read, not the topic's folder: there a stream's commit log says which files count.
+    """
+    rows = spark.readStream.schema("value string, topic string").text(root)
+    return rows.where(F.col("topic") == topic).select("value")
+
+
 def read_text(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)

@@ -41,7 +41,13 @@ def written(
 
     With ``known`` false the folders' own schema may have more columns than ``schema``.
     """
-    ids = batch_ids(spark, path)
+    return read_batches(spark, path, schema, batch_ids(spark, path), known=known)
+
+
+def read_batches(
+    spark: SparkSession, path: str, schema: T.StructType, ids: list[int], *, known: bool = True
+) -> DataFrame:
+    """The folders of the batches ``ids`` as one table."""
     if not ids:
         return spark.createDataFrame([], schema)
     reader = spark.read.option("basePath", path)

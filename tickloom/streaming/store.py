@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from tickloom.schemas import struct
+from tickloom.session import delete
 from tickloom.sinks.tables import StoredTable, write_table
 from tickloom.sources.feeds import accepted, dead_letters
 from tickloom.sources.landing import read_landing
-from tickloom.streaming.folders import written
+from tickloom.streaming.folders import batch_ids, read_batches, written
 
 
 def store_stream(topic: DataFrame, table: StoredTable, path: str) -> DataStreamWriter:
@@ -35,7 +38,35 @@ def store_stream(topic: DataFrame, table: StoredTable, path: str) -> DataStreamW
 
 def stored(spark: SparkSession, table: StoredTable, path: str) -> DataFrame:
     """The rows of a table kept by ``store_stream``, with their ``day``."""
-    return written(spark, f"{path}/rows", table.schema(spark))
+    schema = table.schema(spark)
+    merged = batch_ids(spark, f"{path}/merged")[-1:]
+    fresh = [i for i in batch_ids(spark, f"{path}/rows") if not merged or i > merged[0]]
+    parts = [read_batches(spark, f"{path}/rows", schema, fresh)]
+    parts += [read_batches(spark, f"{path}/merged", schema, merged)] if merged else []
+    return reduce(DataFrame.unionByName, parts)
+
+
+def compact(spark: SparkSession, table: StoredTable, path: str, keep: int = 2) -> None:
+    """Rewrites the folders of all but the newest ``keep`` micro-batches as one table by day.
+
+    Safe beside a running ``store_stream``: a batch may be repeated only while it is the newest. The
+    merged table is named by the last batch in it; readers take it in place of that batch and those
+    before it from the moment it is complete, and only then are the merged folders deleted.
+    """
+    ids = batch_ids(spark, f"{path}/rows")
+    before = batch_ids(spark, f"{path}/merged")[-1:]
+    ready = [i for i in ids[: len(ids) - keep] if not before or i > before[0]]
+    if ready:
+        schema = table.schema(spark)
+        rows = read_batches(spark, f"{path}/rows", schema, ready)
+        if before:
+            rows = rows.unionByName(read_batches(spark, f"{path}/merged", schema, before))
+        write_table(rows.drop("day"), table, f"{path}/merged/batch_id={ready[-1]}")
+    last = batch_ids(spark, f"{path}/merged")[-1:]
+    for folder, keeps in (("rows", lambda i: i > last[0]), ("merged", lambda i: i == last[0])):
+        for i in batch_ids(spark, f"{path}/{folder}") if last else []:
+            if not keeps(i):
+                delete(spark, f"{path}/{folder}/batch_id={i}")
 
 
 def broken(spark: SparkSession, path: str) -> DataFrame:
