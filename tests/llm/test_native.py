@@ -81,11 +81,11 @@ def test_long_lists_are_exact(spark):
 def test_cascade_levels_end(spark):
     universe = spark.range(5000).select(F.col("id").cast("string").alias("key"))
     keys = universe.where("key % 3 = 0")
-    levels = urls.cascade(keys, universe)
+    levels = urls.cascade(keys, universe, 5000)
     assert len(levels) > 1
     got = universe.select("key", urls.listed(levels, F.col("key")).alias("in")).collect()
     assert all(r["in"] == (int(r.key) % 3 == 0) for r in got)
-    assert urls.cascade(keys.where("false"), universe) == []
+    assert urls.cascade(keys.where("false"), universe, 5000) == []
     with pytest.raises(ValueError):
         urls._level(keys, 10**9, 0.01, 1)
 

@@ -75,16 +75,16 @@ def listed(levels: list[Level], key: Column) -> Column:
     return answer
 
 
-def cascade(keys: DataFrame, universe: DataFrame) -> list[Level]:
+def cascade(keys: DataFrame, universe: DataFrame, size: int) -> list[Level]:
     """The levels for the listed ``keys`` over the ``universe``, both with a column ``key``.
 
+    ``size`` is about the number of distinct keys in the universe; the first level is made for it.
     Only what the first level lets through of the universe is made distinct.
     """
     keys = stage(keys.where("key IS NOT NULL").distinct(), "listed-keys")
     count = keys.count()
     if not count:
         return []
-    size = universe.select(F.approx_count_distinct("key")).first()[0]
     rate = min(0.5, max(2.0**-40, count / max(1, size) / math.sqrt(2)))
     levels = [_level(keys, count, rate, 1)]
     inside = keys
@@ -154,9 +154,10 @@ def judge(
     every = rules.select("key").unionByName(blocked.select("key"))
     keys = _keys(F.col("host"), F.col("path"), *_shapes(every))
     universe = rows.select(F.explode(keys).alias("key"))
-    allow = cascade(rules.where("verdict = 'allow'").select("key"), universe)
-    block = cascade(rules.where("verdict <> 'allow'").select("key"), universe)
-    more = cascade(blocked.select("key"), universe)
+    size = universe.select(F.approx_count_distinct("key")).first()[0]
+    allow = cascade(rules.where("verdict = 'allow'").select("key"), universe, size)
+    block = cascade(rules.where("verdict <> 'allow'").select("key"), universe, size)
+    more = cascade(blocked.select("key"), universe, size)
     fitting = rows.withColumn("keys", keys).select(
         "page_id",
         "host",
