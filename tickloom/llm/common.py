@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.session import stage
+from tickloom.session import stage as stage
 
 WITHOUT_ID = 1 << 62  # keys from here on belong to rows without an id
 
@@ -54,6 +54,39 @@ def id_of(key: Column) -> Column:
     return F.when(key < WITHOUT_ID, key)
 
 
+def hash_filter(keys: DataFrame, most_bits: int = 1 << 24) -> Callable[[Column], Column]:
+    """A test that every key of the table passes, and of other values few: 16 bits a key, 3 probes.
+
+    The filter is an array in a table of one row, which is handed to all tasks as a scalar subquery;
+    ``most_bits`` bounds it. With more keys it lets more values through, none is ever refused wrongly.
+    ``keys`` has one column.
+    """
+    name, spark = keys.columns[0], keys.sparkSession
+    bits = max(64, min(most_bits, 16 * keys.count() // 64 * 64))
+
+    def places(key: Column) -> list[Column]:
+        return [F.pmod(F.xxhash64(F.lit(i), key), F.lit(bits)) for i in range(3)]
+
+    words = (
+        keys.select(F.explode(F.array(*places(col(name)))).alias("at"))
+        .groupBy(F.shiftright("at", 6).alias("id"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(at & 63 AS int))")).alias("word"))
+    )
+    dense = spark.range(bits // 64).join(words, "id", "left")
+    pair = F.struct("id", F.coalesce("word", F.lit(0).cast("bigint")).alias("word"))
+    array = F.transform(F.sort_array(F.collect_list(pair)), lambda x: x["word"])
+    table = stage(dense.agg(array.alias("words")), "hash-filter")
+
+    def passes(key: Column) -> Column:
+        result = F.lit(True)
+        for at in places(key):
+            word = F.get(table.scalar(), F.shiftright(at, 6).cast("int"))
+            result = result & (F.getbit(word, at.bitwiseAND(F.lit(63)).cast("int")) == 1)
+        return result
+
+    return passes
+
+
 def slices(batches: Iterator[pa.RecordBatch], text_col: str, most: int = 4 << 20):
     """Cuts Arrow batches so that a piece holds about ``most`` bytes of text or one row."""
     for batch in batches:
@@ -66,6 +99,3 @@ def slices(batches: Iterator[pa.RecordBatch], text_col: str, most: int = 4 << 20
             size += n or 0
         if start < batch.num_rows:
             yield batch.slice(start)
-
-
-__all__ = ["WITHOUT_ID", "col", "fresh", "id_of", "row_key", "slices", "stage", "table", "text_of"]
