@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.llm import vectors
-from tickloom.llm.vectors import Best, Block, Tree, bounds, search, top_k
+from tickloom.llm.vectors import Best, Block, Ids, Tree, bounds, search, top_k
 
 
 def brute(points, k, every):
@@ -53,7 +53,7 @@ def test_search_prunes_and_is_exact():
     rng = np.random.default_rng(3)
     centres = rng.normal(0, 200, (12, 6))
     x = np.unique(np.rint(centres[rng.integers(0, 12, 1500)] + rng.normal(0, 4, (1500, 6))).astype(int), axis=0)
-    block = Block.load(Block(x, [np.array([i]) for i in range(len(x))]).save())
+    block = Block.load(Block(x, Ids(np.arange(len(x)), np.ones(len(x), int))).save())
     queries = Tree(x[::7])
     best = Best(len(x[::7]), 5, np.full(len(x[::7]), vectors._NONE))
     compared = search(queries, block.tree, block.ids, best)

@@ -9,7 +9,8 @@ way. For a node of a query tree and one of a data tree,
 
 bounds every inner product between their points; the pair is pruned if that lies below the worst kth
 score of the node's queries. The same bound is applied to whole blocks first: each query block
-searches the blocks that look best, and then all others that its worst kth score does not rule out.
+searches the blocks that look best, and then all others that its worst kth score does not rule out. A node whose points would not fall into at most CHILDREN clusters
+of smaller radius is a leaf, and two leaves are compared by one matrix product.
 """
 
 from __future__ import annotations
@@ -28,9 +29,10 @@ from tickloom.llm.common import col, stage
 
 MOST_PIVOTS = 4096  # a bounded sample; beyond it cells hold several blocks
 DATA_BLOCK, QUERY_BLOCK = 2048, 512  # points of a block at most
-LEAF, FEWEST = 64, 8  # points of a leaf at most; so few are not split however far apart
-CHILDREN, BASE = 16, 1.3  # a node's children at most; the factor by which their radii shrink
-FIRST_BLOCKS = 2  # data blocks that a query block searches first
+LEAF, FEWEST = 64, 8  # so few points are split only into much smaller clusters, or not at all
+CHILDREN, BASE = 16, 1.3  # a node's children at most; the factor by which their radii should shrink
+WORTH = 1.15  # the factor from which a split of many points is worth while
+FIRST_BLOCKS = 64  # the best of which a query block searches first, as many as hold DATA_BLOCK points
 EXACT = 1 << 53  # integers below it are exact in floating point
 SLACK = 1 + 1e-9  # for rounding of bounds
 _NONE = -(1 << 62)  # below every score
@@ -71,8 +73,8 @@ class Tree:
                 nearest, which = np.where(closer, to_new, nearest), np.where(
                     closer, len(centres) - 1, which
                 )
-            if len(own) <= LEAF and nearest.max() > far / 2:
-                self.leaf[node] = own  # few points that do not fall into clusters
+            if nearest.max() > far / (2 if len(own) <= LEAF else WORTH):
+                self.leaf[node] = own  # points that do not fall into clusters
                 continue
             for i, c in enumerate(centres):
                 waiting.append((node, own[which == i], c))
@@ -92,55 +94,79 @@ def bounds(a: Tree, b: Tree) -> np.ndarray:
     return ca @ cb.T + spread * SLACK + 1e-6 * (1 + na * nb)
 
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact integer inner products, by floating point where that is exact."""
-    if a.size and b.size:
-        most = float(np.abs(a).max()) * float(np.abs(b).max()) * a.shape[1]
-        if most < EXACT:
-            return np.rint(a.astype(float) @ b.astype(float).T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
-
-
 class Best:
-    """The ``k`` best (score, id) of every query, the greater score and then the smaller id first."""
+    """The ``k`` best (score, id) of every query, the greater score and then the smaller id first.
+
+    Candidates gather until there are eight times as many as results, then all are ranked at once. ``least`` and
+    ``last`` are the score and the id that a candidate of each query has to beat.
+    """
 
     def __init__(self, queries: int, k: int, least: np.ndarray):
         self.k, self.least = k, least.copy()
+        self.last = np.full(queries, np.iinfo(np.int64).max)
         self.scores = np.full((queries, k), _NONE, np.int64)
         self.ids = np.full((queries, k), np.iinfo(np.int64).max, np.int64)
-
-    def offer(self, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """Candidates ``ids`` with their scores (queries, ids) for some of the queries."""
-        hit = scores >= self.least[queries][:, None]
-        for row in np.flatnonzero(hit.any(axis=1)):
-            q, passed = queries[row], hit[row]
-            s = np.concatenate([self.scores[q], scores[row, passed]])
-            i = np.concatenate([self.ids[q], ids[passed]])
-            order = np.lexsort((i, -s))[: self.k]
-            self.scores[q], self.ids[q] = s[order], i[order]
-            self.least[q] = max(self.least[q], self.scores[q, -1])
-
-
-def search(queries: Tree, data: Tree, ids: list[np.ndarray], best: Best) -> int:
+        self.waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.size = 0
+
+    def offer(self, queries: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> bool:
+        """Scores (queries, ids) of candidates for some queries; whether the scores to beat rose."""
+        least, last = self.least[queries][:, None], self.last[queries][:, None]
+        ties, raised = ids[None, :] < last, False
+        if scores.shape[1] > self.k:  # only the best of these can be among the best of all
+            own = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, [-self.k]]
+            better = own > least
+            ties |= better
+            raised = better.any()
+            least = np.maximum(least, own)
+            self.least[queries] = least[:, 0]
+            self.last[queries[better[:, 0]]] = np.iinfo(np.int64).max
+        row, column = np.nonzero((scores > least) | ((scores == least) & ties))
+        if not len(row):
+            return False  # then none is better either
+        self.waiting.append((queries[row], scores[row, column], ids[column]))
+        self.size += len(row)
+        if self.size < 8 * self.ids.size:
+            return bool(raised)
+        self.rank()
+        return True
+
+    def rank(self) -> None:
+        if not self.waiting:
+            return
+        found = self.scores > _NONE
+        self.waiting.append((np.nonzero(found)[0], self.scores[found], self.ids[found]))
+        query, score, number = (np.concatenate(x) for x in zip(*self.waiting))
+        self.waiting, self.size = [], 0
+        order = np.lexsort((number, -score, query))
+        query, score, number = query[order], score[order], number[order]
+        place = np.arange(len(query)) - np.searchsorted(query, query)
+        kept = place < self.k
+        self.scores[query[kept], place[kept]] = score[kept]
+        self.ids[query[kept], place[kept]] = number[kept]
+        full = self.scores[:, -1] > _NONE
+        better = full & (self.scores[:, -1] >= self.least)
+        self.least[better], self.last[better] = self.scores[better, -1], self.ids[better, -1]
+
+
+def search(queries: Tree, data: Tree, ids: Ids, best: Best) -> int:
     """Finds each query's best among the data, given the ids of every point; pairs compared."""
     limit = bounds(queries, data)
-    flat = [np.concatenate([ids[p] for p in leaf]) if leaf is not None else None for leaf in data.leaf]
-    copies = [
-        np.repeat(np.arange(len(leaf)), [len(ids[p]) for p in leaf]) if leaf is not None else None
-        for leaf in data.leaf
-    ]
+    largest = [float(np.abs(t.points).max(initial=0)) for t in (queries, data)]
+    exact = largest[0] * largest[1] * queries.points.shape[1] < EXACT
+    kind = float if exact else np.int64  # floating point is faster, and exact below EXACT
+    q_points, x_points = queries.points.astype(kind), data.points.astype(kind)
+    leaves = [None if leaf is None else ids.of(leaf) for leaf in data.leaf]
     worst = np.full(len(queries.centre), float(_NONE))
 
+    parent = {c: n for n, cs in enumerate(queries.children) for c in cs}
+
     def settle(node: int) -> None:
-        leaf = queries.leaf[node]
-        if leaf is not None:
-            worst[node] = best.least[leaf].min()
-        else:
-            worst[node] = min(worst[c] for c in queries.children[node])
+        leaf, children = queries.leaf[node], queries.children[node]
+        worst[node] = best.least[leaf].min() if leaf is not None else worst[children].min()
 
     for node in range(len(queries.centre) - 1, -1, -1):
         settle(node)
-    parent = {c: n for n, cs in enumerate(queries.children) for c in cs}
     compared = 0
     waiting = [(0, 0)]
     while waiting:
@@ -150,19 +176,41 @@ def search(queries: Tree, data: Tree, ids: list[np.ndarray], best: Best) -> int:
         q_leaf, x_leaf = queries.leaf[q], data.leaf[x]
         if q_leaf is not None and x_leaf is not None:
             compared += len(q_leaf) * len(x_leaf)
-            scores = _products(queries.points[q_leaf], data.points[x_leaf])
-            best.offer(q_leaf, scores[:, copies[x]], flat[x])
-            node = q
-            while node is not None:
-                settle(node)
-                node = parent.get(node)
+            scores = (q_points[q_leaf] @ x_points[x_leaf].T).astype(np.int64)
+            numbers, copies = leaves[x]
+            if best.offer(q_leaf, scores if copies is None else scores[:, copies], numbers):
+                node = q
+                while node is not None:
+                    settle(node)
+                    node = parent.get(node)
         elif x_leaf is not None or (q_leaf is None and queries.radius[q] > data.radius[x]):
             waiting.extend((c, x) for c in queries.children[q])
         else:  # the most promising child is looked at first
             waiting.extend((q, c) for c in sorted(data.children[x], key=lambda c: limit[q, c]))
+    best.rank()
     return compared
 
 
+class Ids:
+    """The ids of every point, one behind the other."""
+
+    def __init__(self, flat: np.ndarray, counts: np.ndarray):
+        self.flat, self.counts = flat, counts
+        self.starts = np.cumsum(counts) - counts
+
+    def of(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray | None]:
+        """Ids of some points, and the place of each id's point among them; None if it is its own."""
+        counts = self.counts[points]
+        if (counts == 1).all():
+            return self.flat[self.starts[points]], None
+        copies = np.repeat(np.arange(len(points)), counts)
+        within = np.arange(len(copies)) - np.repeat(np.cumsum(counts) - counts, counts)
+        return self.flat[self.starts[points][copies] + within], copies
+
+    def first(self) -> np.ndarray:
+        return self.flat[self.starts]
+
+
 def _pack(**arrays: np.ndarray) -> bytes:
     out = io.BytesIO()
     np.savez(out, **arrays)
@@ -179,22 +227,21 @@ def _small(x: np.ndarray) -> np.ndarray:
 class Block:
     """Points, the ids of each, and their tree, as one binary value."""
 
-    def __init__(self, points: np.ndarray, ids: list[np.ndarray]):
+    def __init__(self, points: np.ndarray, ids: Ids, tree: Tree | None = None):
         self.ids = ids
-        self.tree = Tree(points)
+        self.tree = tree or Tree(points)
 
     def save(self) -> bytes:
         t = self.tree
         leaves = [np.empty(0, np.int64) if leaf is None else leaf for leaf in t.leaf]
+        parents = sorted((c, p) for p, cs in enumerate(t.children) for c in cs)
         return _pack(
             points=_small(t.points),
-            ids=np.concatenate(self.ids),
-            id_counts=np.array([len(x) for x in self.ids]),
+            ids=self.ids.flat,
+            id_counts=self.ids.counts,
             centre=np.array(t.centre),
             radius=np.array(t.radius),
-            parent=np.array(
-                [-1, *(p for _, p in sorted((c, p) for p, cs in enumerate(t.children) for c in cs))]
-            ),
+            parent=np.array([-1, *(p for _, p in parents)]),
             leaf=np.concatenate(leaves),
             leaf_counts=np.array([-1 if t.leaf[i] is None else len(x) for i, x in enumerate(leaves)]),
         )
@@ -203,8 +250,8 @@ class Block:
     def load(data: bytes) -> Block:
         with np.load(io.BytesIO(data)) as z:
             part = {k: z[k] for k in z.files}
-        block, tree = Block.__new__(Block), Tree.__new__(Tree)
-        tree.points = part["points"]
+        tree = Tree.__new__(Tree)
+        tree.points = part["points"].astype(np.int64)
         tree.centre, tree.radius = part["centre"].tolist(), part["radius"].tolist()
         tree.children = [[] for _ in tree.centre]
         for node, parent in enumerate(part["parent"].tolist()):
@@ -213,9 +260,7 @@ class Block:
         counts = part["leaf_counts"]
         leaves = np.split(part["leaf"], np.cumsum(np.maximum(counts, 0))[:-1])
         tree.leaf = [None if n < 0 else x for n, x in zip(counts.tolist(), leaves)]
-        block.tree = tree
-        block.ids = np.split(part["ids"], np.cumsum(part["id_counts"])[:-1])
-        return block
+        return Block(tree.points, Ids(part["ids"], part["id_counts"]), tree)
 
 
 def integer_vectors(
@@ -292,7 +337,9 @@ def _choose_pivots(points: DataFrame) -> dict[int, tuple[np.ndarray, int]]:
     return pivots
 
 
-BLOCK = "block bigint, size int, centre array<double>, radius double, data binary"
+BLOCK = (
+    "block bigint, size int, points int, centre array<double>, radius double, data binary"
+)
 
 
 def _blocks(points: DataFrame, most: int, name: str) -> DataFrame:
@@ -305,17 +352,19 @@ def _blocks(points: DataFrame, most: int, name: str) -> DataFrame:
         def block() -> pa.RecordBatch:
             nonlocal number
             points = np.array([v for v, _ in held], np.int64).reshape(len(held), key[1])
-            made = Block(points, [np.array(i, np.int64) for _, i in held])
+            counts = np.array([len(i) for _, i in held])
+            made = Block(points, Ids(np.array([n for _, i in held for n in i], np.int64), counts))
             number += 1
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([number], pa.int64()),
                     pa.array([key[1]], pa.int32()),
+                    pa.array([len(held)], pa.int32()),
                     pa.array([points[0].astype(float)], pa.list_(pa.float64())),
                     pa.array([made.tree.radius[0]], pa.float64()),
                     pa.array([made.save()], pa.binary()),
                 ],
-                names=["block", "size", "centre", "radius", "data"],
+                names=["block", "size", "points", "centre", "radius", "data"],
             )
 
         for batch in batches:
@@ -338,11 +387,14 @@ FOUND = "rep bigint, score bigint, id bigint"
 
 def _searcher(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, data = None, None  # rows come sorted by data block
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                queries, data = Block.load(row["queries"]), Block.load(row["data"])
-                reps = np.array([x[0] for x in queries.ids])
+                if row["x_block"] != number:
+                    number, data = row["x_block"], Block.load(row["data"])
+                queries = Block.load(row["queries"])
+                reps = queries.ids.first()
                 least = np.full(len(reps), _NONE)
                 if row["reps"]:
                     known = dict(zip(row["reps"], row["leasts"]))
@@ -396,7 +448,8 @@ def top_k(
     query_blocks = _blocks(points.join(asked, "vec", "left_semi"), QUERY_BLOCK, "query-blocks")
 
     def described(blocks: DataFrame, side: str) -> DataFrame:
-        return blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in ("block", "size", "centre", "radius")))
+        columns = ("block", "size", "points", "centre", "radius")
+        return blocks.select(*(F.col(c).alias(f"{side}_{c}") for c in columns))
 
     # One row for each block of the query set and each block of the data. Almost all vectors have one
     # length, so a salt spreads the data blocks; the query blocks go to every salt.
@@ -418,13 +471,20 @@ def top_k(
         .select(
             "q_block",
             "x_block",
+            "x_points",
             centre.alias("middle"),
             (centre + spread * F.lit(SLACK) + F.lit(1e-6) * (1 + nq * nx)).alias("most"),
         ),
         "block-pairs",
     )
     order = Window.partitionBy("q_block").orderBy(F.desc("middle"), "x_block")
-    first = pairs.withColumn("n", F.row_number().over(order)).where(F.col("n") <= FIRST_BLOCKS)
+    seen = F.sum("x_points").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    first = (
+        pairs.withColumn("n", F.row_number().over(order))
+        .where(F.col("n") <= FIRST_BLOCKS)
+        .withColumn("seen", F.coalesce(seen, F.lit(0)))
+        .where(F.col("seen") < DATA_BLOCK)
+    )
     first = stage(first.select("q_block", "x_block"), "first-pairs")
 
     def searched(chosen: DataFrame, leasts: DataFrame) -> DataFrame:
@@ -433,7 +493,11 @@ def top_k(
             .join(query_blocks.select(F.col("block").alias("q_block"), F.col("data").alias("queries")), "q_block")
             .join(data_blocks.select(F.col("block").alias("x_block"), "data"), "x_block")
         )
-        return payload.select("queries", "data", "reps", "leasts").mapInArrow(_searcher(k + 1), FOUND)
+        return (
+            payload.select("x_block", "queries", "data", "reps", "leasts")
+            .sortWithinPartitions("x_block")
+            .mapInArrow(_searcher(k + 1), FOUND)
+        )
 
     def best_of(found: DataFrame) -> DataFrame:
         rank = Window.partitionBy("rep").orderBy(F.desc("score"), "id")
@@ -493,7 +557,7 @@ def _members(query_blocks: DataFrame) -> DataFrame:
     def members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, data in zip(batch.column("block").to_pylist(), batch.column("data").to_pylist()):
-                reps = [int(x[0]) for x in Block.load(data).ids]
+                reps = Block.load(data).ids.first().tolist()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([block] * len(reps), pa.int64()), pa.array(reps, pa.int64())],
                     names=["q_block", "rep"],
