@@ -184,6 +184,75 @@ def test_scan(spark):
     assert scan(docs.where("false")).count() == 0
 
 
+NOTICES = {
+    "GPL-3.0-or-later": """Copyright (C) 2020 Someone
+
+    This program is free software: you can redistribute it and/or modify
+    it under the terms of the GNU General Public License as published by
+    the Free Software Foundation, either version 3 of the License, or
+    (at your option) any later version.
+
+    This program is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY; without even the implied warranty of
+    MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+    GNU General Public License for more details.
+""",
+    "LGPL-2.1-or-later": """/* This library is free software; you can redistribute it and/or
+ * modify it under the terms of the GNU Lesser General Public
+ * License as published by the Free Software Foundation; either
+ * version 2.1 of the License, or (at your option) any later version.
+ */""",
+    "Apache-2.0": """Copyright 2020 Someone
+# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the License.
+# You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0
+#
+# Unless required by applicable law or agreed to in writing, software
+# distributed under the License is distributed on an "AS IS" BASIS,
+# WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+# See the License for the specific language governing permissions and
+# limitations under the License.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.""",
+    "MPL-2.0": """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at https://mozilla.org/MPL/2.0/.""",
+    "ISC": """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.""",
+    "GPL-2.0-only": "/* SPDX-License-Identifier: GPL-2.0-only */\nint main;",
+}
+
+
+def test_official_notices_as_they_are_wrapped(spark):
+    rows = list(enumerate(NOTICES.values()))
+    rows.append((100, "Some title\nAll rights reserved\nReleased under the MIT License.\nMIT\n1.\nthe"))
+    rows.append((101, "the\nlicense\n1. either\nWITHOUT"))
+    got = {r.doc_id: r for r in scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    expected = {i: (name, "") for i, name in enumerate(NOTICES)}
+    expected[100] = ("all-rights-reserved,MIT", "")
+    assert {k: (r.licenses, r.unmatched) for k, r in got.items()} == expected
+    assert (got[100].known_sentences, got[100].first_sentence, got[100].last_sentence) == (2, 1, 2)
+
+
 # The bounded filter
 
 

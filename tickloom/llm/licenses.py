@@ -4,10 +4,14 @@ A text is cut into sentences, which are normalised to their words in lower case.
 known from licence texts become identifiers; between them a break stands for any other sentences.
 The sequence of identifiers is then matched against an ordered list of rules: each rule is a
 sequence of identifiers, and what an earlier rule has matched is no longer there for a later one.
+
+A known sentence may be wrapped at any word, so the pieces of lines that make it up are put together
+again if no sentence ends between them. Lines that are known by themselves stay sentences.
 """
 
 from __future__ import annotations
 
+import re
 from string import ascii_lowercase, ascii_uppercase
 
 from pyspark.sql import Column, DataFrame
@@ -75,22 +79,186 @@ RULES = (
 )
 BREAK = "|"
 
+# The free software notices by licence name, "this program" or "this library" apart.
+_GNU = {
+    "GPL-2.0": "General Public License",
+    "GPL-3.0": "General Public License",
+    "LGPL-2.0": "Library General Public License",
+    "LGPL-2.1": "Lesser General Public License",
+    "LGPL-3.0": "Lesser General Public License",
+    "AGPL-3.0": "Affero General Public License",
+}
+_UNDER = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation"
+
+# Sentences of the licences' official texts and notices.
+NOTICES = {
+    "mit-as-is": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, "
+        "INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR "
+        "PURPOSE AND NONINFRINGEMENT."
+    ),
+    "mit-no-event": (
+        "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+        "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF "
+        "OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+    ),
+    "bsd-forms": (
+        "Redistribution and use in source and binary forms, with or without modification, are "
+        "permitted provided that the following conditions are met:"
+    ),
+    "bsd-source": (
+        "Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer."
+    ),
+    "bsd-binary": (
+        "Redistributions in binary form must reproduce the above copyright notice, this list of "
+        "conditions and the following disclaimer in the documentation and/or other materials "
+        "provided with the distribution."
+    ),
+    "bsd-names": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to "
+        "endorse or promote products derived from this software without specific prior written "
+        "permission."
+    ),
+    "bsd-as-is": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY "
+        "EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF "
+        "MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED."
+    ),
+    "isc-grant": (
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted, provided that the above copyright notice and this permission "
+        "notice appear in all copies."
+    ),
+    "isc-as-is": (
+        "THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO "
+        "THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS."
+    ),
+    "mpl-2": (
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."
+    ),
+    "mpl-copy": (
+        "If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "https://mozilla.org/MPL/2.0/."
+    ),
+    "mpl-copy-http": (
+        "If a copy of the MPL was not distributed with this file, You can obtain one at "
+        "http://mozilla.org/MPL/2.0/."
+    ),
+    "gnu-free-library": "This library is free software;",
+    "gnu-hope": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
+    "gnu-hope-library": "This library is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY;",
+    "gnu-implied": (
+        "without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE."
+    ),
+    "gnu-version-2-only": "version 2 of the License.",
+    "gnu-version-2-later": "either version 2 of the License, or (at your option) any later version.",
+    "gnu-version-2.1-later": "either version 2.1 of the License, or (at your option) any later version.",
+}
+NOTICES |= {f"gnu-under-{kind}": _UNDER.format(kind) + ";" for kind in _GNU.values() if kind != "General Public License"}
+NOTICES |= {f"gnu-see-{kind}": f"See the GNU {kind} for more details." for kind in _GNU.values()}
+NOTICES |= {
+    f"gnu-{name}-later": f"{_UNDER.format(kind)}, either version {name[-3:].removesuffix('.0')} of the License, or (at your option) any later version."
+    for name, kind in _GNU.items()
+}
+NOTICES |= {
+    f"gnu-{name}-only": f"{_UNDER.format(kind)}, version {name[-3:].removesuffix('.0')} of the License."
+    for name, kind in _GNU.items()
+}
+
+# Licences that a tag of one identifier names.
+_TAGGED = (
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause",
+    "BSL-1.0", "CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-2.0", "GPL-2.0-only",
+    "GPL-2.0-or-later", "GPL-3.0-only", "GPL-3.0-or-later", "ISC", "LGPL-2.0-only",
+    "LGPL-2.0-or-later", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only",
+    "LGPL-3.0-or-later", "MIT", "MPL-2.0", "Unlicense", "Zlib",
+)
+NOTICES |= {f"spdx-{name}": f"SPDX-License-Identifier: {name}" for name in _TAGGED}
+
+
+def _gnu_rules() -> list[tuple[str, tuple[str, ...]]]:
+    rules = []
+    for name, kind in _GNU.items():
+        version = name[-3:].removesuffix(".0")
+        under = "gpl-redistribute-3" if kind == "General Public License" else f"gnu-under-{kind}"
+        later = "gpl-version-3-later" if version == "3" else f"gnu-version-{version}-later"
+        heads = [("or-later", (f"gnu-{name}-later",)), ("or-later", (under, later)), ("only", (f"gnu-{name}-only",))]
+        if version == "2":
+            heads.append(("only", (under, "gnu-version-2-only")))
+        for which, head in heads:
+            for free, hope in (("gpl-free", "gnu-hope"), ("gnu-free-library", "gnu-hope-library")):
+                rules.append((f"{name}-{which}", (free, *head, hope, "gnu-implied", f"gnu-see-{kind}")))
+                rules.append((f"{name}-{which}", (free, *head)))
+    return rules
+
+
+# Licences by the sentences of their notices, the longest first; they come before RULES.
+NOTICE_RULES = (
+    ("MIT", ("mit-grant", "mit-notice", "mit-as-is", "mit-no-event")),
+    ("BSD-3-Clause", ("bsd-forms", "bsd-source", "bsd-binary", "bsd-names", "bsd-as-is")),
+    ("BSD-3-Clause", ("bsd-forms", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-2-Clause", ("bsd-forms", "bsd-source", "bsd-binary", "bsd-as-is")),
+    ("BSD-2-Clause", ("bsd-forms", "bsd-source", "bsd-binary")),
+    ("ISC", ("isc-grant", "isc-as-is")),
+    ("ISC", ("isc-grant",)),
+    ("MPL-2.0", ("mpl-2", "mpl-copy")),
+    ("MPL-2.0", ("mpl-2", "mpl-copy-http")),
+    ("MPL-2.0", ("mpl-2",)),
+    *_gnu_rules(),
+    *((name, (f"spdx-{name}",)) for name in _TAGGED),
+)
+
 COMMENT = "\n[ \t]*[#*/;]+[ \t]*"
 WRAPPED = "([^.!?;:\n])\n+[ \t]*([a-z])"
 END = "([.!?;:])[ \t]+"
+TAG = "((?i)SPDX-License-Identifier:[^\n]*)"  # ends with its line, whatever comes next
+# A line that does not end a sentence; the next one, if not blank, is marked as going on with it.
+GOES_ON, MARK = "([^.!?;:\\s])[ \t\r]*\n(?=[ \t\r]*[^ \t\r\n])", "\x01"
+LIST_SIGN = "(?:[0-9]{1,2}|[a-z])"
 
 
 def _sentences(text: Column) -> Column:
-    """Normalised sentences: they end at line feeds and at .!?;: before white space.
+    """Normalised sentences, with whether each may go on with the one before it.
 
-    A line that begins in lower case, comment signs aside, goes on with the line before it, unless
-    that one ends a sentence.
+    They end at line feeds and at .!?;: before white space. A line that begins in lower case,
+    comment signs aside, goes on with the line before it, unless that one ends a sentence; what
+    begins with any other sign may go on with it.
     """
-    for pattern, instead in ((COMMENT, "\n"), (WRAPPED, "$1 $2"), (END, "$1\n")):
+    steps = (
+        (COMMENT, "\n"), (TAG, "$1."), (WRAPPED, "$1 $2"), (END, "$1\n"), (GOES_ON, f"$1\n{MARK}")
+    )
+    for pattern, instead in steps:
         text = F.regexp_replace(text, pattern, instead)
     parts = F.split(F.translate(text, ascii_uppercase, ascii_lowercase), "\n")
-    words = F.transform(parts, lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    return F.filter(words, lambda s: s != "")
+    words = F.transform(
+        parts,
+        lambda s: F.struct(
+            F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")).alias("words"),
+            s.startswith(MARK).alias("goes_on"),
+        ),
+    )
+    return F.filter(words, lambda s: s["words"] != "")
+
+
+def _fragments(sentences: dict[str, str]) -> set[str]:
+    """What a line can hold of a known sentence, and the signs that number a list."""
+    found = {*map(str, range(100)), *ascii_lowercase}
+    for text in sentences.values():
+        words = normalised(text).split()
+        ends = range(1, len(words) + 1)
+        found |= {" ".join(words[a:b]) for b in ends for a in range(b)}
+    return found
+
+
+def _pattern(sentence: str) -> str:
+    """Finds a known sentence among lines that are numbered like ``\\n7#words`` or ``~8#words``.
+
+    A tilde stands before a line that goes on with the one before it.
+    """
+    parts = [normalised(part) for part in re.sub(END, r"\1\n", sentence).split("\n")]
+    inner = "[~\n][0-9]+#".join(p.replace(" ", "(?: |~[0-9]+#)") for p in parts if p)
+    return f"[~\n]([0-9]+)#{inner}(?=[~\n{BREAK}]|$)"
 
 
 def normalised(sentence: str) -> str:
@@ -110,42 +278,55 @@ def scan(
 
     ``doc_id``; ``licenses``, the licences in their order in the text, joined by commas, empty if no
     rule matches; ``unmatched``, the identifiers that no rule took, likewise; ``known_sentences``,
-    their number; ``first_sentence`` and ``last_sentence``, where the first and last of them stand
-    among the text's sentences, from 0. Null and empty texts have no sentences and give no row, nor
+    their number; ``first_sentence`` and ``last_sentence``, where the first and last of them
+    begin among the text's sentences, from 0; a wrapped sentence counts with each of its lines that
+    does not begin in lower case. Null and empty texts have no sentences and give no row, nor
     does an empty table; rows without an id are told apart by their text; rows with the same id and
     text are one document. Other columns are not read.
     """
-    sentences = SENTENCES if sentences is None else sentences
-    rules = RULES if rules is None else rules
+    sentences = SENTENCES | NOTICES if sentences is None else sentences
+    rules = NOTICE_RULES + RULES if rules is None else rules
     spark = docs.sparkSession
-    known = spark.createDataFrame(
-        [(name, normalised(text)) for name, text in sentences.items()], "name string, sentence string"
-    )
+    known = spark.createDataFrame([(f,) for f in sorted(_fragments(sentences))], "words string")
     # hashed before the sentences are taken apart, so that these do not carry the text along
     parts = docs.select(
         row_key(id_col, text_col).alias("key"),
         F.xxhash64(text_of(text_col)).alias("mark"),
         _sentences(text_of(text_col)).alias("parts"),
     )
-    rows = parts.select("key", "mark", F.posexplode("parts").alias("at", "sentence"))
-    # the known sentences are the arguments' own few rows
-    found = rows.join(F.broadcast(known), "sentence").select("key", "mark", "at", "name").distinct()
-    hits = found.groupBy("key", "mark").agg(
-        F.sort_array(F.collect_list(F.struct("at", "name"))).alias("hits")
+    rows = parts.select("key", "mark", F.posexplode("parts").alias("at", "part"))
+    rows = rows.select("key", "mark", "at", "part.words", "part.goes_on")
+    # the known sentences' fragments are the arguments' own few rows
+    found = rows.join(F.broadcast(known), "words").distinct()
+    lines = found.groupBy("key", "mark").agg(
+        F.sort_array(F.collect_list(F.struct("at", "words", "goes_on"))).alias("lines")
     )
-    # consecutive sentences stand side by side, a break between others
+    # consecutive lines stand side by side, a break between others
     sequence = F.array_join(
         F.transform(
-            "hits",
+            "lines",
             lambda h, i: F.concat(
-                F.when((i > 0) & (F.get("hits", i - 1)["at"] == h["at"] - 1), "").otherwise(BREAK),
-                F.lit("<"),
-                h["name"],
-                F.lit(">"),
+                F.when((i == 0) | (F.get("lines", i - 1)["at"] != h["at"] - 1), f"{BREAK}\n")
+                .when(h["goes_on"], "~")
+                .otherwise("\n"),
+                h["at"].cast("string"),
+                F.lit("#"),
+                h["words"],
             ),
         ),
         "",
     )
+    # the longest first; then list signs go, and lines that make up no sentence are breaks
+    for name in sorted(sentences, key=lambda n: -len(normalised(sentences[n]).split())):
+        sequence = F.regexp_replace(sequence, _pattern(sentences[name]), f"\n<$1:{name}>")
+    sequence = F.regexp_replace(sequence, f"[~\n][0-9]+#{LIST_SIGN}(?=[~\n{BREAK}]|$)", "")
+    sequence = F.regexp_replace(sequence, "[~\n][0-9]+#[a-z0-9 ]+", BREAK)
+    sequence = F.translate(sequence, "\n", "")
+    # out of a generator it is not computed again for every column
+    placed = lines.select("key", "mark", F.explode(F.array(sequence)).alias("sequence"))
+    at = F.regexp_extract_all("sequence", F.lit("<([0-9]+):"), F.lit(1))
+    hits = placed.withColumn("at", at).where(F.size("at") > 0)
+    sequence = F.regexp_replace("sequence", "<[0-9]+:", "<")
     for name, parts in rules:
         wanted = "".join(f"<{p}>" for p in parts)
         sequence = F.replace(sequence, F.lit(wanted), F.lit(f"{{{name}}}"))
@@ -159,13 +340,14 @@ def scan(
         id_of(F.col("key")).alias("doc_id"),
         joined("{", "}").alias("licenses"),
         joined("<", ">").alias("unmatched"),
-        F.size("hits").alias("known_sentences"),
-        F.element_at("hits", 1)["at"].alias("first_sentence"),
-        F.element_at("hits", -1)["at"].alias("last_sentence"),
+        F.size("at").alias("known_sentences"),
+        F.element_at("at", 1).cast("int").alias("first_sentence"),
+        F.element_at("at", -1).cast("int").alias("last_sentence"),
     )
 
 
 def _scan_sql() -> str:
+    """The rules for sentences of one line. Wrapped notices and NOTICES are the operator's alone."""
     known = ", ".join(f"('{name}', '{normalised(text)}')" for name, text in SENTENCES.items())
     sequence = "string_agg(gap || '<' || name || '>', '' ORDER BY at_)"
     for name, parts in RULES:
