@@ -42,7 +42,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def pack_windows(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into training windows; one row per piece of a document."""
-    return packing.digest(packing.pack(docs, public_tokenizers.path(TOKENIZER)))
+    return packing.digest(packing.pack(docs, public_tokenizers.path(TOKENIZER), added_tokens=True))
 
 
 STAGES = [

@@ -8,6 +8,8 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
+from tickloom.llm import queries
 from tickloom.llm.packing import Encoder, Piece, SumOfSquares, Window, digest, pack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
@@ -49,6 +51,37 @@ def test_other_tokenizer_file():
     ).ids
 
 
+ADDED = [
+    *TEXTS, "a <|endoftext|> b", "<|endoftext|>", "<|endoftext|><|endoftext|>\n", "x<|endoftext|>  <|endoftext",
+    "<|startoftext|>Hello <|endoftext|>", "a b " * 500 + "<|endoftext|>" + " c" * 500,
+]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_inside_texts_get_their_own_ids(name):
+    path = public_tokenizers.path(name)
+    plain = Tokenizer.from_file(path)
+    encoder = Encoder(path, added_tokens=True)
+    texts = ADDED if name.startswith("byte") else [t for t in ADDED if "<|endoftext|>" in t]
+    for _ in range(2):  # the second time from memory
+        for text, ids in zip(texts, encoder.encode(texts, 1)):
+            assert ids.tolist() == plain.encode(text, add_special_tokens=False).ids + [1]
+
+
+@pytest.mark.parametrize("query", [queries.op2_packing, lambda spark, sf_dir: corpus_pipeline.STAGES[-1][1](
+    spark, spark.read.parquet(f"{sf_dir}/documents.parquet"), sf_dir)])
+def test_queries_keep_added_tokens(spark, tmp_path, query):
+    docs = spark.createDataFrame([(1, "a <|endoftext|> b")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = sorted(query(spark, str(tmp_path)).collect(), key=lambda r: r.start)
+    ids, at = [64, 220, 50256, 275, 1], 0
+    for r in rows:
+        assert (r.start, r.doc_tokens) == (at, 5)
+        assert r.ids_crc32 == zlib.crc32(np.array(ids[at : at + r.length], "<u4").tobytes())
+        at += r.length
+    assert at == 5
+
+
 def check_pieces(rows, docs, tokenizer, window=2048):
     """Every id of every document in exactly one piece, every sequence gapless and full."""
     ids = {}

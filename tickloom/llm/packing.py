@@ -100,12 +100,50 @@ def _chunk_encoder(path: str) -> Callable[[str], list[int]]:
     return lambda text: tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def _added_tokens(path: str) -> tuple[re.Pattern | None, Callable[[str], list[int]] | None]:
+    """A pattern that cuts the file's added tokens out of texts, and an encoder of whole texts.
+
+    The encoder is none where the texts between the tokens can be encoded each by itself, as in a
+    byte-level vocabulary whose tokens take no white space with them. Texts that hold a token are
+    encoded as a whole elsewhere, and all texts if a token is sought in what a normalizer returns.
+    """
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    added, split = spec.get("added_tokens") or [], spec.get("pre_tokenizer") or {}
+    if not added:
+        return None, None
+    longest_first = sorted((t["content"] for t in added), key=len, reverse=True)
+    pattern = "(" + "|".join(map(re.escape, longest_first)) + ")"
+    normalizer = spec.get("normalizer")
+    if normalizer and any(t.get("normalized") for t in added):
+        pattern = "()"
+    apart = (
+        (split.get("type"), split.get("add_prefix_space"), normalizer) == ("ByteLevel", False, None)
+        and not any(t.get(flag) for t in added for flag in ("single_word", "lstrip", "rstrip"))
+    )
+    if apart:
+        return re.compile(pattern), None
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    return re.compile(pattern), lambda text: tokenizer.encode(text, add_special_tokens=False).ids
+
+
 class Encoder(dict):
-    """Token ids of texts; remembers what recurring chunks encode to, by a number for each."""
+    """Token ids of texts; remembers what recurring chunks encode to, by a number for each.
 
-    def __init__(self, path: str):
+    With ``added_tokens`` the file's added tokens inside a text become their own ids, as in
+    ``Tokenizer.encode`` with ``add_special_tokens=False``; otherwise they are ordinary text.
+    """
+
+    def __init__(self, path: str, added_tokens: bool = False):
         super().__init__()
         self.chunk_ids = _chunk_encoder(path)
+        self.added, self.whole_ids, self.added_id = None, None, {}
+        if added_tokens:
+            self.added, self.whole_ids = _added_tokens(path)
+            with open(path, encoding="utf-8") as file:
+                self.added_id = {t["content"]: t["id"] for t in json.load(file).get("added_tokens") or []}
         self._forget()
 
     def _forget(self) -> None:
@@ -122,6 +160,28 @@ class Encoder(dict):
 
     def encode(self, texts: list[str], end_id: int) -> list[np.ndarray]:
         """The ids of each text, ``end_id`` behind them."""
+        if self.added is None or not any(map(self.added.search, texts)):
+            return self._ordinary(texts, end_id)
+        cut = [self.added.split(text) for text in texts]
+        if self.whole_ids:
+            plain = iter(self._ordinary([p[0] for p in cut if len(p) == 1], end_id))
+            return [
+                next(plain) if len(p) == 1 else np.array([*self.whole_ids(text), end_id], np.uint32)
+                for text, p in zip(texts, cut)
+            ]
+        # every second part is an added token
+        plain = iter(self._ordinary([part for parts in cut for part in parts[::2]], end_id))
+        result = []
+        for parts in cut:
+            ids = [next(plain)]
+            for token in parts[1::2]:
+                ids[-1][-1] = self.added_id[token]  # in place of the end
+                ids.append(next(plain))
+            result.append(np.concatenate(ids))
+        return result
+
+    def _ordinary(self, texts: list[str], end_id: int) -> list[np.ndarray]:
+        """The same, added tokens being ordinary text."""
         if len(self.starts) > CACHED_CHUNKS or len(self.ids) > CACHED_IDS:
             self._forget()
         heads, numbers = [], []
@@ -142,13 +202,13 @@ class Encoder(dict):
         return result
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, bool], Encoder] = {}
 
 
-def _encoder(path: str) -> Encoder:
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+def _encoder(path: str, added_tokens: bool) -> Encoder:
+    if (path, added_tokens) not in _encoders:
+        _encoders[path, added_tokens] = Encoder(path, added_tokens)
+    return _encoders[path, added_tokens]
 
 
 class Piece:
@@ -253,9 +313,9 @@ def _powers_of_two(window: Window) -> Iterator[Window]:
         yield part
 
 
-def _packer(path: str, size: int, end_id: int):
+def _packer(path: str, size: int, end_id: int, added_tokens: bool):
     def pack_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, open_windows = _encoder(path), SumOfSquares(size)
+        encoder, open_windows = _encoder(path, added_tokens), SumOfSquares(size)
         number = TaskContext.get().partitionId() << SEQUENCE_BITS
         done: list[Window] = []
 
@@ -308,10 +368,13 @@ def pack(
     end_id: int = 1,
     id_col: str = "doc_id",
     text_col: str = "text",
+    added_tokens: bool = False,
 ) -> DataFrame:
     """One row per piece of a document: where it lies in the document and in its sequence.
 
-    ``tokenizer`` is the path of a ``tokenizers`` file that every executor can read. ``ids`` holds a
+    ``tokenizer`` is the path of a ``tokenizers`` file that every executor can read. With
+    ``added_tokens`` the file's added tokens inside a text become their own ids, as that library
+    gives them without further settings; otherwise they are spelled out. ``ids`` holds a
     piece's ids as little-endian unsigned 32-bit numbers; ``doc_tokens`` counts the document's ids
     with its ``end_id``. Sequences are full windows but for the last few of a task, whose lengths
     are powers of two. A null or empty text is a document of ``end_id`` alone; rows without an id
@@ -322,7 +385,7 @@ def pack(
     rows = docs.select(
         col(id_col).cast("bigint").alias("doc_id"), text_of(text_col).alias("text")
     )
-    return rows.mapInArrow(_packer(tokenizer, window, end_id), PIECES)
+    return rows.mapInArrow(_packer(tokenizer, window, end_id, added_tokens), PIECES)
 
 
 def digest(pieces: DataFrame) -> DataFrame:

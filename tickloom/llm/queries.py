@@ -31,7 +31,7 @@ def op1_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return packing.digest(packing.pack(docs, public_tokenizers.path(TOKENIZER)))
+    return packing.digest(packing.pack(docs, public_tokenizers.path(TOKENIZER), added_tokens=True))
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
