@@ -2,12 +2,13 @@
 
 import itertools
 import os
+from collections import Counter
 
 import numpy as np
 import pytest
 
 from tickloom.llm import language, quality
-from tickloom.llm.learning import bounded, train
+from tickloom.llm.learning import bounded, bounded_by_label, train
 
 SF_DIR = "/root/testdata/sf0.01"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -134,3 +135,19 @@ def test_training_sees_rows_in_one_order(spark):
     learn = lambda got: ",".join(str(r["key"]) for r in got).encode()
     assert train(rows, learn, ["key"]) == ",".join(map(str, range(50))).encode()
     assert train(rows.where("false"), learn, ["key"]) is None
+
+
+def test_rare_language_is_in_the_sample(spark):
+    rows = [(i, f"the text {i} of many", "en") for i in range(6000)]
+    rows += [(i, "une copie", "fr") for i in range(6000, 9000)]
+    rows += [(i, f"ett ord {i}", "sv") for i in range(9000, 9003)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    chosen = bounded_by_label(docs, "doc_id", "lang", "text", 400).collect()
+    count = Counter(r.lang for r in chosen)
+    assert count["sv"] == 3 and count["fr"] == 1 and 300 < count["en"] < 500
+    assert [r.doc_id for r in chosen if r.lang == "fr"] == [6000]
+    found = language.Model.load(language.learn_languages(docs, sample=40))
+    assert list(found.languages) == ["en", "fr", "sv"]
+    assert bounded_by_label(docs.where("false"), "doc_id", "lang", "text", 400).count() == 0
+    for text in ("\u00bd \u00b2 \u2167", "12", ""):
+        assert found.predict(text) == ("und", 0.0, False)

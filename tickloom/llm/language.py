@@ -9,7 +9,6 @@ the probabilities, and the least probability at which a prediction is accepted.
 from __future__ import annotations
 
 import io
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,11 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import col, id_of, row_key, slices, text_of
-from tickloom.llm.learning import bounded, fold, held_out, train
+from tickloom.llm.learning import bounded_by_label, fold, held_out, train
 
 BUCKETS = 1 << 13
 WIDTH = 16
-SAMPLE = 4000  # labelled rows to learn from at most, about
+SAMPLE = 4000  # labelled texts to learn from at most, about, shared among the languages
 EPOCHS, BATCH, RATE = 6, 64, 0.5
 SNIPPETS = (12, 40, 160)  # characters; short pieces of each text are learnt beside the whole
 CHECKED = 5  # every fifth text of the sample calibrates
@@ -30,13 +29,17 @@ PRECISION = 0.99  # of accepted predictions on those
 UNKNOWN = "und"
 AT_ONCE = 1 << 20  # bytes of a text that are hashed at once
 
-_LETTER = re.compile(r"[^\W\d_]")
 _TO_SPACE = bytes(
     b if b >= 128 or chr(b).isalpha() else 32 for b in range(256)
 )
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
+def _has_letter(text: str) -> bool:
+    """Whether a text has a character of the Unicode category L."""
+    return any(map(str.isalpha, text))
+
+
 def subwords(text: str) -> np.ndarray:
     """How often each bucket of the table occurs in a text."""
     data = b" " + text.lower().encode().translate(_TO_SPACE) + b" "
@@ -66,7 +69,7 @@ def _mean(counts: np.ndarray) -> np.ndarray:
 
 def _snippets(text: str) -> list[str]:
     middle = len(text) // 2
-    return [text[middle : middle + n] for n in SNIPPETS if _LETTER.search(text[middle : middle + n])]
+    return [text[middle : middle + n] for n in SNIPPETS if _has_letter(text[middle : middle + n])]
 
 
 def _softmax(x: np.ndarray) -> np.ndarray:
@@ -102,7 +105,7 @@ class Model:
         return means @ self.embeddings @ self.weights + self.bias
 
     def predict(self, text: str) -> tuple[str, float, bool]:
-        if not _LETTER.search(text):
+        if not _has_letter(text):
             return UNKNOWN, 0.0, False
         p = _softmax(self.logits(_mean(subwords(text))) / self.temperature)
         i = int(np.argmax(p))
@@ -173,16 +176,16 @@ def learn_languages(
     lang_col: str = "lang",
     sample: int = SAMPLE,
 ) -> bytes | None:
-    """A model learnt from at most about ``sample`` rows that have a language and letters.
+    """A model learnt from about ``sample`` distinct texts that have a language and letters.
 
-    Rows of the held-out fold, rows without an id and the language ``und`` are not learnt from. None
+    Languages share the sample evenly; a rare one has all its texts in it, or 200 of them. Rows of the held-out fold, rows without an id and the language ``und`` are not learnt from. None
     if no rows are left.
     """
     key, lang = row_key(id_col, text_col).alias("key"), col(lang_col).alias("lang")
     text = text_of(text_col)
     usable = (fold(id_col) != 1) & (col(lang_col) != UNKNOWN) & text.rlike(r"\p{L}")
     labelled = docs.where(usable).select(key, lang, text.alias("text"))
-    return train(bounded(labelled, "key", sample), _learn, ["key", "lang", "text"])
+    return train(bounded_by_label(labelled, "key", "lang", "text", sample), _learn, ["key", "lang", "text"])
 
 
 def identify(

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import col
 
 _GRAIN = 1 << 30
+LEAST_OF_A_LABEL = 200  # distinct texts a label has in a sample at least, if there are as many
 
 
 def fold(id_col: str) -> Column:
@@ -31,6 +32,39 @@ def bounded(labelled: DataFrame, key: str, most: int) -> DataFrame:
     return labelled.where(grain < int(_GRAIN * most / count))
 
 
+def _level(counts: list[int], most: int, least: int) -> int:
+    """The bound for each label at which a sample has ``most`` rows in all, but at least ``least``."""
+    left = most
+    for i, n in enumerate(sorted(counts)):
+        share = left // (len(counts) - i)
+        if n > share:
+            return max(share, least)
+        left -= n
+    return max([*counts, least])
+
+
+def bounded_by_label(
+    labelled: DataFrame, key: str, label: str, text: str, most: int, least: int = LEAST_OF_A_LABEL
+) -> DataFrame:
+    """The distinct texts of each label, with their least key, in about ``most`` rows.
+
+    Labels share these evenly, and what a rare one leaves goes to the others; each has about
+    ``least`` texts or all it has, so many labels may make more rows. A label's texts are those with
+    the least hashes, so a text takes one place however often it is repeated.
+    """
+    grain = F.pmod(F.xxhash64(F.lit("sample"), text), F.lit(_GRAIN))
+    counts = dict(
+        labelled.groupBy(label).agg(F.approx_count_distinct(F.xxhash64(text), 0.02)).collect()
+    )
+    level = _level(list(counts.values()), most, least) if counts else 0
+    cut = {name: int(_GRAIN * level / n) for name, n in counts.items() if n > level}
+    chosen = labelled
+    if cut:
+        bounds = F.create_map(*(F.lit(x) for pair in cut.items() for x in pair))
+        chosen = labelled.where(grain < F.coalesce(F.try_element_at(bounds, label), F.lit(_GRAIN)))
+    return chosen.groupBy(label, text).agg(F.min(key).alias(key))
+
+
 def train(
     examples: DataFrame, learn: Callable[[list[dict]], bytes | None], order: list[str]
 ) -> bytes | None:
