@@ -21,6 +21,7 @@ def test_registered():
     assert sorted(QUERIES, key=lambda n: int(n[2:].split("_")[0])) == [
         "op1_licenses", "op2_packing", "op3_sharding", "op4_simhash", "op5_decontamination",
         "op6_url_filter", "op7_line_dedup", "op8_language", "op9_quality", "op10_top_k",
+        "op11_conversation_trie", "op12_whitening", "op13_quality_rules",
     ]
     assert set(repo.queries()) >= {*QUERIES, "pipeline"}
     assert set(SQL) < set(QUERIES)

@@ -15,10 +15,13 @@ from tickloom.llm import (
     lines,
     packing,
     quality,
+    rules,
     sharding,
     simhash,
+    trie,
     urls,
     vectors,
+    whitening,
 )
 from tickloom.llm.common import table
 
@@ -73,6 +76,18 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0, k=20)
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.forked_conversations(table(spark, sf_dir, "conversations"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), most=4, scale=256)
+
+
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judged(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_licenses": op1_licenses,
     "op2_packing": op2_packing,
@@ -84,6 +99,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_language": op8_language,
     "op9_quality": op9_quality,
     "op10_top_k": op10_top_k,
+    "op11_conversation_trie": op11_conversation_trie,
+    "op12_whitening": op12_whitening,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 SQL: dict[str, str] = {
@@ -92,4 +110,5 @@ SQL: dict[str, str] = {
     "op6_url_filter": urls.JUDGED_SQL,
     "op7_line_dedup": lines.CLEANED_SQL,
     "op10_top_k": vectors.TOP_SQL,
+    "op11_conversation_trie": trie.TRIE_SQL,
 }
