@@ -37,7 +37,7 @@ from tickloom.sources.feeds import (
 from tickloom.sources.files import stream_topic_text
 from tickloom.sources.landing import read_landing
 from tickloom.sources.tables import read_table
-from tickloom.streaming.spread import live_spread, score_stream, scored, stream_spreads
+from tickloom.streaming.spread import held_spread, live_spread, scored
 from tickloom.streaming.store import compact, store_stream, stored
 from tickloom.streaming.windows import bar_messages, stream_bars, stream_imbalance
 
@@ -420,7 +420,7 @@ def _stream_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = {"tick_id": ["tick_id"], "oracle_id": ["update_id"]}
     ticks, oracle = (f(_stream(spark, sf_dir)) for f in (feeds.ticker, feeds.oracle))
     path = work_dir(spark, "spread")
-    _run(score_stream(stream_spreads(ticks, oracle, **ids), path, tick_id=["tick_id"]), "spread")
+    _run(held_spread(ticks, oracle, path, **ids), "spread")
     return _scores(scored(spark, path))
 
 

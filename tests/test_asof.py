@@ -6,7 +6,12 @@ from bisect import bisect_right
 import pytest
 from pyspark.sql import functions as F
 
-from tickloom.operators.asof import asof_join
+from tickloom.operators.asof import (
+    _bounded_intervals,
+    _one_update_per_instant,
+    _slot_width,
+    asof_join,
+)
 
 BASE = 1_700_000_000_000_000
 
@@ -47,9 +52,9 @@ def brute_force(ticks, oracle, max_age_s):
 
 
 @pytest.mark.parametrize("max_age_s", [None, 0, 1, 10, 75])
-@pytest.mark.parametrize("slots_per_s", [1, 8])
+@pytest.mark.parametrize("slots_per_s", [1, 8, None])
 def test_equals_brute_force(spark, max_age_s, slots_per_s):
-    rng = random.Random(slots_per_s)
+    rng = random.Random(slots_per_s or 3)
 
     def instant():
         # Coarse steps make ties; a third falls in one second, some at one instant.
@@ -99,3 +104,37 @@ def test_unbounded_reaches_over_hours_and_days(spark):
     day = 86_400_000_000
     ticks = [("A", BASE + 3 * day, 1), ("A", BASE + 3 * day + 7_200_000_000, 2)]
     assert joined(spark, ticks, [("A", BASE, 4, 1.0)], None) == {1: 4, 2: 4}
+
+
+@pytest.mark.parametrize("max_age_s", [10, None])
+@pytest.mark.parametrize("per_s, fewest, most", [(0.2, 1, 2), (1, 1, 2), (30, 20, 50), (900, 500, 2000)])
+def test_slots_follow_the_oracle(spark, per_s, fewest, most, max_age_s):
+    """A few updates in a slot, however many come in a second; sparse ones are not cut up."""
+    oracle = spark.range(6000).select(
+        F.lit("S").alias("symbol"),
+        F.timestamp_micros((F.col("id") * (1_000_000 / per_s)).cast("bigint")).alias("ts"),
+    )
+    width = _slot_width(oracle, "symbol", "ts", max_age_s)
+    found = spark.range(1).select(width.alias("us")).first()["us"]
+    assert fewest <= 1_000_000 / found <= most
+
+
+def test_dense_oracle_without_a_parameter(spark):
+    """Of 2,000 updates a second a tick meets the few of its slot."""
+    oracle = spark.range(8000).select(
+        F.lit("S").alias("symbol"), F.timestamp_micros(F.col("id") * 500).alias("ts"),
+        F.col("id").cast("double").alias("price"),
+    )
+    ticks = spark.range(500).select(
+        F.lit("S").alias("symbol"), F.timestamp_micros(F.col("id") * 7919 + 3).alias("ts"),
+        F.col("id"),
+    )
+    rows = asof_join(ticks, oracle, carry=["price"], max_age_s=10)
+    got = {r["id"]: r.price for r in rows.collect()}
+    assert got == {i: float((i * 7919 + 3) // 500) for i in range(500)}
+    intervals = _bounded_intervals(
+        _one_update_per_instant(oracle, "symbol", "ts", ["price"], []), "symbol", 10,
+        _slot_width(oracle, "symbol", "ts", 10),
+    )
+    in_slot, copies = intervals.groupBy("_slot").count().agg(F.max("count"), F.sum("count")).first()
+    assert in_slot <= 8 and copies < 4 * 8000 + 11 * 2000

@@ -7,6 +7,7 @@ import pytest
 from tickloom.plans import jobs
 from tickloom.settings import SOL_USD_FEED, USDC_USD_FEED, Settings
 from tickloom.sinks.tables import TABLES
+from tickloom.streaming.ingest import dead_letters_of
 from tickloom.streaming.store import stored
 
 
@@ -56,8 +57,10 @@ def test_jobs_from_raw_messages_to_tables(spark, tmp_path):
     seconds = raw_messages(tmp_path / "raw")
     work = run(spark, tmp_path, "ingest", "--raw", str(tmp_path / "raw"))
     assert spark.read.parquet(str(tmp_path / "files/trades")).count() == len(seconds)
-    letters = spark.read.text(f"{work}/dead_letters/trades").collect()
-    assert [r.value for r in letters] == ["{broken"]
+    letters = dead_letters_of(spark, f"{work}/trades").collect()
+    assert [(r.value, r.records[0].reason) for r in letters] == [
+        ("{broken", "no message of this feed")
+    ]
 
     run(spark, tmp_path, "bars")
     minute = topic(spark, tmp_path, "bars", "analytics.sol_usd.ohlcv_1m")

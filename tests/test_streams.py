@@ -14,7 +14,7 @@ from tickloom.sinks.tables import TABLES
 from tickloom.sinks.topics import json_messages, stream_topic_files
 from tickloom.sources.files import stream_parquet, stream_text
 from tickloom.streaming.folders import batch_ids, drop_older
-from tickloom.streaming.spread import live_spread, score_stream, scored, stream_spreads
+from tickloom.streaming.spread import held_spread, live_spread, missed, scored
 from tickloom.streaming.store import broken, compact, store_stream, stored
 from tickloom.streaming.windows import (
     bar_messages,
@@ -153,9 +153,9 @@ def spread_case(spark, tmp_path):
             stream_parquet(spark, str(tmp_path / name), df.schema, files_per_batch=1)
             for name, df in (("ticks", ticks), ("oracle", oracle))
         ]
-        spreads = stream_spreads(
-            *streams, tick_id=["tick_id"], oracle_id=["update_id"], lateness="30 seconds")
-        return score_stream(spreads, str(tmp_path / "out"), tick_id=["tick_id"], rows=20)
+        return held_spread(
+            *streams, str(tmp_path / "out"), tick_id=["tick_id"], oracle_id=["update_id"], rows=20,
+            lateness_s=30, piece_s=40)
 
     # Arrival is out of order by up to 20 seconds.
     jitter = F.unix_millis("ts") + F.pmod(F.xxhash64("ts"), F.lit(20_000))
@@ -170,6 +170,10 @@ def test_spread_equals_batch(spark, spread_case):
     got = rounded_scores(scored(spark, str(tmp_path / "out")))
     assert got.count() > 200 and same(got, expected)
     assert len(batch_ids(spark, str(tmp_path / "out/tail"))) <= 3
+    assert missed(spark, str(tmp_path / "out")).count() == 0
+    # what lies behind the watermark and the reach of a price is not kept
+    kept = {int(f.name.split("=")[1]) * 40 - START for f in tmp_path.glob("out/held/*/piece=*")}
+    assert min(kept) > 100
 
 
 def test_spread_survives_a_failed_batch(spark, spread_case, monkeypatch):
@@ -198,7 +202,8 @@ def live(spark, tmp_path, ticks, oracle):
         for name, df in (("ticks", ticks), ("oracle", oracle))
     ]
     writer = live_spread(
-        *streams, str(tmp_path / "out"), tick_id=["tick_id"], oracle_id=["update_id"], rows=20)
+        *streams, str(tmp_path / "out"), tick_id=["tick_id"], oracle_id=["update_id"], rows=20,
+        piece_s=30, slack_s=20)
     run(writer, tmp_path / "c")
     return scored(spark, str(tmp_path / "out"))
 
@@ -213,7 +218,8 @@ def test_live_spread_equals_batch_when_nothing_is_late(spark, tmp_path):
             part.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
     got = live(spark, tmp_path, ticks, oracle)
     batch = spread_signal(ticks, oracle, tick_id=["tick_id"], oracle_id=["update_id"], rows=20)
-    assert len(batch_ids(spark, str(tmp_path / "out/prices"))) <= 3
+    kept = {int(f.name.split("=")[1]) * 30 - START for f in tmp_path.glob("out/prices/*/piece=*")}
+    assert min(kept) >= 120  # earlier prices have passed and are gone
     assert same(rounded_scores(got), rounded_scores(batch))
 
 
@@ -270,7 +276,7 @@ def test_stored_batches_are_merged_by_day(spark, tmp_path):
     for keep in (3, 2, 2, 0):
         compact(spark, table, path, keep)
         assert batch_ids(spark, f"{path}/rows") == batches[len(batches) - keep :]
-        assert batch_ids(spark, f"{path}/merged") == [batches[len(batches) - keep - 1]]
+        assert batch_ids(spark, f"{path}/manifest")[-1] == batches[len(batches) - keep - 1]
         assert same(stored(spark, table, path).drop("day"), expected)
     # folders of an unfinished attempt are not read
     stored(spark, table, path).drop("day").write.parquet(f"{path}/rows/batch_id=999")
@@ -278,6 +284,44 @@ def test_stored_batches_are_merged_by_day(spark, tmp_path):
     assert same(stored(spark, table, path).drop("day"), expected)
 
 
+def test_merging_leaves_other_days_alone(spark, tmp_path):
+    """Rows of one day come in six batches, then another day's: the first is not written again."""
+    table, path = TABLES["usdc_peg_alerts"], str(tmp_path / "stored")
+    topic, checkpoint = str(tmp_path / "topic"), tmp_path / "c"
+    prices = peg_alerts(alerts(spark)).withColumn(
+        "day", F.floor((F.col("publish_time") - START) / 86_400)
+    )
+
+    def arrive(day):
+        rows = prices.where(F.col("day") == day).drop("day")
+        for part in (rows.where("publish_time % 2 = 0"), rows.where("publish_time % 2 = 1")):
+            messages = json_messages(part, "alerts.usdc_peg", key="feed_id").select("value")
+            messages.coalesce(1).write.mode("append").text(topic)
+        run(store_stream(stream_text(spark, topic, files_per_batch=1), table, path), checkpoint)
+        compact(spark, table, path, keep=0)
+
+    def files():
+        return {
+            (f.parent.parent.name, f.parent.name, f.name, f.stat().st_mtime_ns)
+            for f in (tmp_path / "stored/merged").rglob("*.parquet")
+        }
+
+    arrive(0)
+    before = files()
+    arrive(2)
+    assert before and before < files()  # another day: only added to
+    arrive(0)
+    now = files()
+    kept = {f for f in before if f in now}
+    assert kept == before  # replaced folders stay for one more merge
+    again = table.project(peg_alerts(alerts(spark)).where(
+        F.floor((F.col("publish_time") - START) / 86_400).isin(0, 2)))
+    day_0 = table.project(prices.where("day = 0").drop("day"))
+    assert same(stored(spark, table, path).drop("day"), again.unionAll(day_0))
+    arrive(1)
+    assert not any(f in files() for f in before)
+
+
 def test_old_batch_folders_are_dropped(spark, tmp_path):
     for i in (1, 2, 5, 9):
         spark.range(1).write.parquet(f"{tmp_path}/batch_id={i}")

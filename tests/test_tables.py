@@ -13,7 +13,7 @@ from tickloom.sinks.tables import TABLES, write_table
 from tickloom.sinks.topics import json_messages, write_topic_files
 from tickloom.sources.feeds import accepted, dead_letters
 from tickloom.sources.landing import read_landing
-from tickloom.sources.tables import read_table
+from tickloom.sources.tables import read_table, time_range
 
 
 def bars_frame(spark, n=4000):
@@ -113,3 +113,36 @@ def test_panel_reads_only_its_days(spark, stored_bars):
 def test_default_range_is_a_quarter_of_an_hour():
     now = dt.datetime(2024, 1, 5, 12, tzinfo=dt.timezone.utc)
     assert panels.last_range(now) == (now - dt.timedelta(minutes=15), now)
+
+
+def test_files_of_a_heavy_day_cover_disjoint_ranges(spark, tmp_path):
+    table, path = TABLES["ohlcv_1s"], str(tmp_path / "bars")
+    rows = spark.range(40_000).select(
+        F.timestamp_seconds(F.lit(1_704_412_800) + F.pmod(F.xxhash64("id"), F.lit(80_000)))
+        .alias("window_start"),
+        F.concat(F.lit("P"), F.col("id") % 3).alias("product_id"),
+        *[F.rand(1).alias(c) for c in ("open", "high", "low", "close", "volume")],
+        F.lit(1).cast("bigint").alias("trade_count"),
+    )
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.shuffle.partitions": "16"}
+    before = {name: spark.conf.get(name) for name in conf}
+    try:
+        for name, value in conf.items():
+            spark.conf.set(name, value)
+        write_table(rows, table, path, ranged=True)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    files = read_table(spark, table, path).groupBy(F.input_file_name().alias("file"))
+    ends = [F.min(F.struct(*table.sort)).alias("low"), F.max(F.struct(*table.sort)).alias("high")]
+    ranges = sorted((r.low, r.high) for r in files.agg(*ends).collect())
+    assert len(ranges) > 8
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+    product, start, end = "P1", "2024-01-05 05:00:00", "2024-01-05 05:10:00"
+    hour = time_range(read_table(spark, table, path), "window_start", start, end)
+    hour = hour.where(F.col("product_id") == product)
+    low, high = hour.agg(F.min("window_start"), F.max("window_start")).first()
+    assert hour.count() > 50
+    needed = [r for r in ranges if (product, low) <= tuple(r[1]) and tuple(r[0]) <= (product, high)]
+    assert len(needed) <= 2

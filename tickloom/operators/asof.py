@@ -30,7 +30,7 @@ def asof_join(
     carry: Sequence[str],
     order: Sequence[str] = (),
     max_age_s: int | None = None,
-    slots_per_s: int = 1,
+    slots_per_s: int | None = None,
 ) -> DataFrame:
     """Ticks plus the oracle's ``carry`` columns and its time as ``oracle_ts``.
 
@@ -38,13 +38,17 @@ def asof_join(
     ranked by ``order``, then by the carried values, the last one wins. Ticks without an oracle
     price are dropped, and with ``max_age_s`` also those whose price is more whole seconds old.
 
-    A tick is compared with the updates of its slot. One slot a second suits prices stamped in
-    whole seconds; for an oracle that updates many times a second, raise ``slots_per_s`` (a
-    divisor of 1,000,000) until a slot holds a few. The result is the same.
+    A tick is compared with the updates of its slot. The width of slots follows the oracle: one that
+    updates u times in a second of the time it covers gets about u slots a second, so that slots
+    hold a few updates each and updates are copied to a few slots each. The counts are approximate
+    and change nothing in the result. ``slots_per_s`` (a divisor of 1,000,000) fixes the width.
     """
-    if 1_000_000 % slots_per_s:
+    if slots_per_s is None:
+        slot_us = _slot_width(oracle, key, oracle_time, max_age_s)
+    elif 1_000_000 % slots_per_s:
         raise ValueError(f"{slots_per_s} slots do not divide a second into whole microseconds")
-    slot_us = 1_000_000 // slots_per_s
+    else:
+        slot_us = F.lit(1_000_000 // slots_per_s)
     updates = _one_update_per_instant(oracle, key, oracle_time, carry, order)
     at = epoch_micros(F.col(tick_time))
     if max_age_s is None:
@@ -61,9 +65,31 @@ def asof_join(
     )
 
 
-def _whole(micros: Column, unit: int) -> Column:
+def _whole(micros: Column, unit: Column | int) -> Column:
     """Whole units since the epoch, rounded down."""
-    return F.call_function("div", micros - F.pmod(micros, F.lit(unit)), F.lit(unit))
+    unit = F.lit(unit) if isinstance(unit, int) else unit
+    return F.call_function("div", micros - F.pmod(micros, unit), unit)
+
+
+# Slots a second that divide it into whole microseconds.
+WIDTHS = (1, 2, 5, 10, 20, 50, 100, 200, 500, 1000, 2000, 5000, 10_000)
+
+
+def _slot_width(oracle: DataFrame, key: str, oracle_time: str, max_age_s: int | None) -> Column:
+    """Microseconds of a slot, as a scalar subquery over the oracle.
+
+    Instants with an update, over the seconds that they cover: each block of the age limit's length
+    that has an update counts in full.
+    """
+    at = epoch_micros(F.col(oracle_time))
+    block_s = 1 if max_age_s is None else max_age_s + 1
+    instants = F.approx_count_distinct(F.xxhash64(key, at))
+    blocks = F.approx_count_distinct(F.xxhash64(key, _whole(at, block_s * 1_000_000)))
+    density = instants / F.greatest(blocks * block_s, F.lit(1))
+    width = F.lit(1_000_000 // WIDTHS[-1])
+    for fewer, slots in reversed(list(zip((0, *WIDTHS), WIDTHS))):
+        width = F.when(density <= (fewer + slots) / 2 + 0.5, 1_000_000 // slots).otherwise(width)
+    return oracle.agg(width.cast("bigint").alias("slot_us")).scalar()
 
 
 def _one_update_per_instant(oracle, key, oracle_time, carry, order) -> DataFrame:
@@ -79,7 +105,7 @@ def _one_update_per_instant(oracle, key, oracle_time, carry, order) -> DataFrame
 
 
 def _bounded_intervals(
-    updates: DataFrame, key: str, max_age_s: int, slot_us: int
+    updates: DataFrame, key: str, max_age_s: int, slot_us: Column
 ) -> DataFrame:
     """Each update from its instant to the next one or to its age limit, once per slot it reaches.
 
@@ -104,7 +130,7 @@ def _bounded_intervals(
 
 
 def _unbounded_intervals(
-    updates: DataFrame, tick_slots: DataFrame, key: str, slot_us: int
+    updates: DataFrame, tick_slots: DataFrame, key: str, slot_us: Column
 ) -> DataFrame:
     """The updates of each slot, and before them the last update of any earlier slot.
 
@@ -112,7 +138,7 @@ def _unbounded_intervals(
     slots within an hour, hours within a key. A group holds at most an hour's slots or, per year
     of data, 8,784 hours, however many ticks there are.
     """
-    hour = _whole(F.col("_slot"), 3_600_000_000 // slot_us)
+    hour = _whole(F.col("_slot"), F.call_function("div", F.lit(3_600_000_000), slot_us))
     updates = updates.withColumn("_slot", _whole(F.col("_from"), slot_us))
     slots = (
         updates.select(key, "_slot", F.struct("_from", "_update").alias("_last"))

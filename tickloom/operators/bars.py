@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Collection, Mapping
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -24,11 +25,11 @@ def bars(
     Open and close follow event time, ties by trade id, so the result does not depend on the order
     in which shuffled rows arrive. One shuffle on (product, window), after a partial aggregate.
 
-    A (time, id) pair as the order makes Spark sort rows before it aggregates them. When the ids
-    are known to be whole numbers of at most ``id_bits`` bits, both fit in one BIGINT and Spark
-    aggregates by hash instead, about three times as fast; an id that breaks the promise fails the
-    job. Works on batch and streaming input alike. Windows too long to pack their times beside the
-    ids are built from one-second bars, which batch input alone allows.
+    Time and id are packed into one number, so that Spark aggregates by hash; a pair would make it
+    sort the rows first. Ids of any kind take a DECIMAL. When the ids are known to be whole numbers
+    of at most ``id_bits`` bits, a BIGINT holds both, which is faster; an id that breaks the promise
+    fails the job. Works on batch and streaming input alike. Windows too long to pack their times
+    beside the ids are built from one-second bars, which batch input alone allows.
     """
     packable = id_bits is not None and _fits(1, id_bits)
     if packable and not _fits(size_s, id_bits) and not trades.isStreaming:
@@ -36,7 +37,7 @@ def bars(
         options = {"time_col": time_col, "id_col": id_col, "id_bits": id_bits}
         return bars_by_size(trades, sizes, only=("asked",), **options).drop("bar")
     if id_bits is None:
-        order = _pair_order(trades, time_col, id_col)
+        order = _wide_order(trades, size_s, time_col, id_col)
     else:
         order = _packed_order(size_s, time_col, id_col, id_bits)
     return (
@@ -56,11 +57,19 @@ def bars(
 _BAR_COLUMNS = ("product_id", "open", "high", "low", "close", "volume", "trade_count")
 
 
-def _pair_order(trades: DataFrame, time_col: str, id_col: str) -> Column:
-    if trades.schema[id_col].dataType.simpleString() == "string":
-        # Numeric ids compare as numbers; anything else falls back to the text itself.
-        return F.struct(time_col, F.col(id_col).try_cast("bigint"), id_col)
-    return F.struct(time_col, id_col)
+def _wide_order(trades: DataFrame, size_s: int, time_col: str, id_col: str) -> Column:
+    """Time and id of any width in one DECIMAL, which Spark can aggregate by hash.
+
+    Ids that are whole numbers, as text or not, follow their value. Others come before them and
+    follow a hash of their text; which of two trades of one instant comes first then says nothing,
+    but it is the same in every run.
+    """
+    at = epoch_micros(F.col(time_col))
+    offset = F.pmod(at, F.lit(size_s * 1_000_000)).cast("decimal(18,0)")
+    trade_id, half = F.col(id_col), F.lit(Decimal(1 << 63))
+    by_value = trade_id.try_cast("bigint").cast("decimal(20,0)") + half + F.lit(Decimal(1 << 64))
+    by_text = F.xxhash64(trade_id.cast("string")).cast("decimal(20,0)") + half
+    return offset * F.lit(Decimal(1 << 66)) + F.coalesce(by_value, by_text)
 
 
 def _fits(size_s: int, id_bits: int) -> bool:
@@ -92,6 +101,10 @@ def bars_by_size(
     Trades are aggregated to the smallest size only. Each of those bars then counts into one window
     per size, so the second aggregate and its shuffle see bars, never trades. The smallest size
     must divide the others. Write it with ``partitionBy("bar")`` to feed several outputs at once.
+
+    On a stream, whose ``time_col`` needs a watermark, the source is read once as well: a closed
+    bar of the smallest size is folded into the open bars of the others, which are the state of
+    the second aggregate. Every bar appears once the watermark passes its own end.
     """
     finest = min(sizes.values())
     if any(size_s % finest for size_s in sizes.values()):
@@ -109,10 +122,18 @@ def bars_by_size(
         ))
     fine = bars(trades, finest, **options)
     kind = fine.schema["window_start"].dataType
+    rows = fine.withColumn("slot", F.explode(F.array(*slots)))
+    window = F.struct("slot.start", "slot.end")
+    if trades.isStreaming:
+        # the windows carry the trades' watermark on, by which the second aggregate closes them
+        marked = _watermark(trades, options.get("time_col", "time"))
+        window = window.alias("window", metadata=marked)
+    else:
+        window = window.alias("window")
     # Fine bars of a product never share a start, so the start alone orders open and close.
     return (
-        fine.withColumn("slot", F.explode(F.array(*slots)))
-        .groupBy("slot.bar", "slot.start", "slot.end", "product_id")
+        rows.select("*", "slot.bar", window)
+        .groupBy("bar", "window", "product_id")
         .agg(
             F.min_by("open", "window_start").alias("open"),
             F.max("high").alias("high"),
@@ -123,8 +144,16 @@ def bars_by_size(
         )
         .select(
             "bar",
-            F.col("start").cast(kind).alias("window_start"),
-            F.col("end").cast(kind).alias("window_end"),
+            F.col("window.start").cast(kind).alias("window_start"),
+            F.col("window.end").cast(kind).alias("window_end"),
             *_BAR_COLUMNS,
         )
     )
+
+
+def _watermark(trades: DataFrame, time_col: str) -> dict:
+    """What ``withWatermark`` has noted on a stream's time column."""
+    marked = trades.schema[time_col].metadata
+    if not marked:
+        raise ValueError(f"bars of several sizes need a watermark on {time_col}")
+    return marked

@@ -64,6 +64,7 @@ def rolling_stats(
     rows: int,
     copies: str | None = None,
     block_rows: int = BLOCK_ROWS,
+    few: bool = False,
 ) -> DataFrame:
     """Adds rolling_mean, rolling_std (population) and sample_count over the last ``rows`` rows.
 
@@ -74,7 +75,14 @@ def rolling_stats(
 
     ``copies`` names a column with the number of equal rows a row stands for: such a group is
     unfolded only inside the blocks it covers, so a mass of copies spreads like any other rows.
+
+    ``few`` says that all rows of a key fit one task easily, as those of a micro-batch do: one
+    shuffle then numbers and frames them, and nothing is staged. It does not go with ``copies``.
     """
+    if few:
+        place = Window.partitionBy(key).orderBy(*order)
+        numbered = df.withColumns({"_n": F.row_number().over(place) - 1, "_block": F.lit(0)})
+        return _frame_stats(numbered, key, value, rows).drop("_n", "_block")
     halo = rows - 1
     count = F.lit(1) if copies is None else F.col(copies)
     last = F.col("_n") + count - 1

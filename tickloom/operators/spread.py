@@ -27,7 +27,7 @@ def spreads(
     tick_id: Sequence[str] = (),
     oracle_id: Sequence[str] = (),
     max_age_s: int | None = MAX_AGE_S,
-    slots_per_s: int = 1,
+    slots_per_s: int | None = None,
 ) -> DataFrame:
     """symbol, ts, tick ids, coinbase_mid, pyth_price, spread for ticks with a fresh oracle price.
 
@@ -61,10 +61,12 @@ def with_z_score(
     rows: int = ZSCORE_ROWS,
     arrival: Sequence[str] = (),
     block_rows: int = BLOCK_ROWS,
+    few: bool = False,
 ) -> DataFrame:
     """Adds the rolling statistics of ``spread`` per symbol and the z-score of each row.
 
-    Rows follow event time, within the ``arrival`` columns if there are any.
+    Rows follow event time, within the ``arrival`` columns if there are any. ``few`` is for
+    micro-batches whose rows fit one task, see ``rolling_stats``.
     """
     # Rows that tie on all of these have equal output, so their order cannot matter.
     stats = rolling_stats(
@@ -75,6 +77,7 @@ def with_z_score(
         rows=rows,
         copies="copies" if "copies" in df.columns else None,
         block_rows=block_rows,
+        few=few,
     )
     inputs = ("spread", "rolling_mean", "rolling_std", "sample_count", "coinbase_mid")
     score = z_score(*[F.col(c) for c in inputs])
@@ -89,7 +92,7 @@ def spread_signal(
     oracle_id: Sequence[str] = (),
     max_age_s: int = MAX_AGE_S,
     rows: int = ZSCORE_ROWS,
-    slots_per_s: int = 1,
+    slots_per_s: int | None = None,
 ) -> DataFrame:
     """The whole analytic, unrounded: as-of join with staleness limit, then rolling z-score.
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import argparse
 import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -43,7 +43,9 @@ from tickloom.sources.feeds import (
 )
 from tickloom.sources.files import stream_parquet, stream_text, stream_topic_text
 from tickloom.sources.kafka import decode_avro, stream_topic
-from tickloom.streaming.spread import SALTS, live_spread, score_stream, stream_spreads
+from tickloom.streaming.ingest import add_once, ingest_stream
+from tickloom.streaming.running import LateRows, await_all
+from tickloom.streaming.spread import held_spread, live_spread
 from tickloom.streaming.store import compact, store_stream
 from tickloom.streaming.windows import (
     bar_messages,
@@ -66,6 +68,8 @@ TOPIC_JOBS = {
     settings.PEG_TOPIC: "peg",
 }
 EVENT_TIME = {"trade": "time", "ticker": "received_at", "oracle": "publish_time"}
+AVRO = {"trades": ("trade", "product_id"), "ticker": ("ticker", "product_id"),
+        "oracle": ("oracle", "feed_id")}
 QUOTE = ["product_id", "best_bid", "best_ask"]
 PRICE = ["feed_id", "price_raw", "expo"]
 JOBS = ("bars", "imbalance", "spread", "peg", "store", "ingest", "compact")
@@ -77,6 +81,7 @@ class Topics:
     def __init__(self, spark: SparkSession, args: argparse.Namespace, config: Settings):
         self.spark, self.args, self.config = spark, args, config
         self.folder = f"{args.files}/topics/{args.job}"
+        self.undecodable: list[DataStreamWriter] = []  # queries beside the job's own
 
     def records(self, record: str, topic: str, columns: Sequence[str]) -> DataFrame:
         """``columns`` with ``event_time`` and the unique ``partition`` and ``offset``."""
@@ -89,13 +94,24 @@ class Topics:
                 *columns,
                 F.col("_metadata.file_path").alias("partition"),
                 F.col("_metadata.row_index").alias("offset"),
+                # the nearest that a file has to the time at which a broker got a message
+                F.col("_metadata.file_modification_time").alias("arrived_at"),
             )
         else:
             servers = self.config.bootstrap_servers
-            raw = stream_topic(self.spark, servers, topic, start=self.args.start)
-            rows = accepted(decode_avro(raw, record, columns))
-            if self.args.arrival_time:
-                return rows.withColumn("event_time", F.col("arrived_at"))
+            raw = stream_topic(
+                self.spark, servers, topic, start=self.args.start, group=self.args.group
+            )
+            decoded = decode_avro(raw, record, columns, self.args.writer_schema.get(record))
+            rows = accepted(decoded)
+            letters = dead_letters(decoded).writeStream.format("parquet")
+            self.undecodable.append(
+                letters.option("path", f"{self.args.work}/undecodable/{record}").option(
+                    "checkpointLocation", f"{self.args.work}/checkpoint/undecodable-{record}"
+                )
+            )
+        if self.args.arrival_time:
+            return rows.withColumn("event_time", F.col("arrived_at"))
         at = F.col(time_col)
         return rows.withColumn(
             "event_time", F.timestamp_seconds(at) if time_col == "publish_time" else at
@@ -125,8 +141,15 @@ class Topics:
 def writers(
     spark: SparkSession, args: argparse.Namespace, config: Settings
 ) -> list[DataStreamWriter]:
-    """The job's queries, ready to start."""
-    topics, checkpoint = Topics(spark, args, config), f"{args.work}/checkpoint"
+    """The job's queries, ready to start; on Kafka also those that keep undecodable messages."""
+    topics = Topics(spark, args, config)
+    return _own_writers(spark, topics, args, config) + topics.undecodable
+
+
+def _own_writers(
+    spark: SparkSession, topics: Topics, args: argparse.Namespace, config: Settings
+) -> list[DataStreamWriter]:
+    checkpoint = f"{args.work}/checkpoint"
     if args.job == "bars":
         columns = ["product_id", "trade_id", "price", "size"]
         trades = topics.records("trade", settings.TRADES_TOPIC, columns)
@@ -139,8 +162,9 @@ def writers(
         return [topics.write(imbalance_messages(rows), checkpoint)]
     if args.job == "peg":
         prices = topics.records("oracle", settings.USDC_ORACLE_TOPIC, PRICE)
-        feeds = [f for f, t in config.feed_topics.items() if t == settings.USDC_ORACLE_TOPIC]
-        prices = prices.where(F.col("feed_id").isin(feeds))
+        if args.files:  # one folder holds the prices of all feeds; a topic holds one feed's
+            feeds = [f for f, t in config.feed_topics.items() if t == settings.USDC_ORACLE_TOPIC]
+            prices = prices.where(F.col("feed_id").isin(feeds))
         return [topics.write(peg_messages(prices, config.peg_threshold), checkpoint)]
     if args.job == "spread":
         return [_spread(topics, args, config).option("checkpointLocation", checkpoint)]
@@ -172,42 +196,61 @@ def _spread(topics: Topics, args: argparse.Namespace, config: Settings) -> DataS
         topics.publish(json_messages(spread_records(scored, with_symbol=True), settings.SPREAD_TOPIC))
 
     path = f"{args.work}/spread"
-    ids = {"tick_id": message_id, "oracle_id": message_id, "max_age_s": config.max_age_s}
-    output = {"rows": config.zscore_rows, "publish": publish}
+    options = {
+        "tick_id": message_id, "oracle_id": message_id, "max_age_s": config.max_age_s,
+        "rows": config.zscore_rows, "publish": publish, "slots_per_s": args.slots_per_s,
+    }
     if args.live:
-        return live_spread(ticks, oracle, path, slots_per_s=args.slots_per_s, **ids, **output)
-    joined = stream_spreads(ticks, oracle, lateness=args.lateness, salts=args.salts, **ids)
-    return score_stream(joined, path, tick_id=message_id, **output)
+        return live_spread(ticks, oracle, path, slack_s=args.slack_s, **options)
+    return held_spread(ticks, oracle, path, lateness_s=_seconds(args.lateness), **options)
+
+
+def _seconds(interval: str) -> int:
+    """Whole seconds of an interval such as '10 seconds' or '1 minute', rounded up."""
+    spark = SparkSession.active()
+    micros = spark.sql(
+        "SELECT unix_micros(TIMESTAMP_LTZ '2000-01-01 00:00:00Z' + CAST(:interval AS INTERVAL))"
+        " - unix_micros(TIMESTAMP_LTZ '2000-01-01 00:00:00Z')",
+        args={"interval": interval},
+    ).first()[0]
+    return -(-micros // 1_000_000)
 
 
 def _ingest(
     spark: SparkSession, topics: Topics, args: argparse.Namespace, config: Settings
 ) -> list[DataStreamWriter]:
-    """Captured raw messages in ``--raw DIR/<feed>`` to typed records, the rest to dead letters."""
+    """Captured raw messages in ``--raw DIR/<feed>`` to typed records, the rest to dead letters.
+
+    One query per feed reads and parses each message once.
+    """
     readers = {"trades": read_trades, "ticker": read_ticker, "oracle": read_oracle}
+
+    def to_files(feed: str) -> Callable[[DataFrame, int], None]:
+        return lambda typed, batch_id: add_once(_routed(feed, typed, config).drop("topic"),
+                                                f"{args.files}/{feed}", batch_id)
+
+    def to_kafka(feed: str) -> Callable[[DataFrame, int], None]:
+        record, key = AVRO[feed]
+        return lambda typed, _: topics.publish(
+            _avro(_routed(feed, typed, config), record, key, args)
+        )
+
     queries = []
     for feed, read in readers.items():
-        records = read(stream_text(spark, f"{args.raw}/{feed}"))
-        typed = accepted(records)
-        if args.files:
-            writer = typed.writeStream.format("parquet").option("path", f"{args.files}/{feed}")
-        elif feed == "oracle":
-            routed = known_feeds(typed, config.feed_topics)
-            writer = topics.write(_avro(routed, "oracle", "feed_id", args), "")
-        elif feed == "ticker":
-            writer = topics.write(_avro(routed_ticker(typed), "ticker", "product_id", args), "")
-        else:
-            writer = topics.write(_avro(routed_trades(typed), "trade", "product_id", args), "")
-        checkpoint = f"{args.work}/checkpoint/{feed}"
-        queries.append(writer.option("checkpointLocation", checkpoint))
-        letters = dead_letters(records).writeStream.format("text")
-        queries.append(
-            letters.option("path", f"{args.work}/dead_letters/{feed}")
-            .option("checkpointLocation", f"{checkpoint}_dead")
-        )
+        publish = to_files(feed) if args.files else to_kafka(feed)
+        raw = stream_text(spark, f"{args.raw}/{feed}")
+        writer = ingest_stream(raw, read, f"{args.work}/{feed}", publish)
+        queries.append(writer.option("checkpointLocation", f"{args.work}/checkpoint/{feed}"))
     return queries
 
 
+def _routed(feed: str, typed: DataFrame, config: Settings) -> DataFrame:
+    """Records with the ``topic`` they belong to; prices of feeds that are not followed are dropped."""
+    if feed == "oracle":
+        return known_feeds(typed, config.feed_topics)
+    return routed_ticker(typed) if feed == "ticker" else routed_trades(typed)
+
+
 def _avro(routed: DataFrame, record: str, key: str, args: argparse.Namespace) -> DataFrame:
     return avro_messages(routed, record, F.col("topic"), key, args.schema_ids[record])
 
@@ -224,15 +267,24 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     )
     parser.add_argument("--start", default="latest", choices=("latest", "earliest"))
     parser.add_argument("--lateness", default="10 seconds", help="watermark delay")
-    parser.add_argument("--arrival-time", action="store_true", help="Kafka time as event time")
+    parser.add_argument(
+        "--arrival-time", action="store_true",
+        help="event time is when a message arrived: Kafka's time, or that of its file",
+    )
+    parser.add_argument("--group", help="Kafka consumer group, a label only")
+    parser.add_argument(
+        "--writer-schema", type=json.loads, default={},
+        help="Avro schemas that values were written with, as JSON by record",
+    )
     parser.add_argument(
         "--live", action="store_true", help="spread: score ticks as they arrive, no watermark"
     )
     parser.add_argument(
-        "--slots-per-s", type=int, default=1, help="spread --live: raise for a dense oracle"
+        "--slots-per-s", type=int, help="spread: slots of the oracle's history, else as it needs"
     )
     parser.add_argument(
-        "--salts", type=int, default=SALTS, help="spread: tasks for the live ticks of a symbol"
+        "--slack-s", type=int, default=60,
+        help="spread --live: how far a tick may lie behind the newest and surely find its price",
     )
     parser.add_argument("--tables", nargs="+", default=list(STORED_TOPICS), help="for store and compact")
     parser.add_argument("--every", help="interval of the micro-batches, such as '1 minute'")
@@ -243,13 +295,17 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
 def start(
     spark: SparkSession, args: argparse.Namespace, config: Settings | None = None
 ) -> list[StreamingQuery]:
-    """Start the job's queries and return at once."""
+    """Start the job's queries and return at once; ``late_rows`` below ``--work`` counts what they drop."""
     ready = writers(spark, args, config or Settings.from_env())
     if args.once:
         ready = [writer.trigger(availableNow=True) for writer in ready]
     elif args.every:
         ready = [writer.trigger(processingTime=args.every) for writer in ready]
-    return [writer.start() for writer in ready]
+    listener = LateRows(spark, f"{args.work}/late_rows")
+    spark.streams.addListener(listener)
+    queries = [writer.start() for writer in ready]
+    listener.only = {str(query.id) for query in queries}
+    return queries
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -259,5 +315,4 @@ def main(argv: Sequence[str] | None = None) -> None:
         for name in args.tables:
             compact(spark, TABLES[name], f"{args.work}/{name}")
         return
-    for query in start(spark, args):
-        query.awaitTermination()
+    await_all(spark, start(spark, args))

@@ -63,17 +63,25 @@ TABLES = {
 }
 
 
-def write_table(rows: DataFrame, table: StoredTable, path: str) -> None:
+def write_table(rows: DataFrame, table: StoredTable, path: str, *, ranged: bool = False) -> None:
     """Write stored rows into ``day=YYYYMMDD/`` folders, each file sorted by the table's order.
 
     The rebalance hint sends a day's rows together and lets adaptive execution cut a heavy day into
     files of the advisory size, whatever its rows look like, copies included. Inside a file the
     sort makes row-group statistics selective. No sampling pass over the rows' own plan is needed.
+
+    A file of a heavy day then covers all keys and times of that day. With ``ranged`` the day is cut
+    at bounds of (key, time) instead, so that its files cover disjoint ranges and a narrow query
+    opens few of them. The bounds are sampled, which reads ``rows`` twice: for rows that are stored.
     """
+    dated = rows.withColumn("day", day_number(F.col(table.time_col)))
+    placed = (
+        dated.repartitionByRange("day", *table.sort)
+        if ranged
+        else dated.hint("rebalance", F.col("day"))
+    )
     (
-        rows.withColumn("day", day_number(F.col(table.time_col)))
-        .hint("rebalance", F.col("day"))
-        .sortWithinPartitions("day", *table.sort)
+        placed.sortWithinPartitions("day", *table.sort)
         .write.partitionBy("day")
         .mode("overwrite")
         .parquet(path)

@@ -1,9 +1,11 @@
 """Raw feed messages (one text per row, column ``value``) to typed records.
 
-Each reader returns the typed columns plus ``_source`` (the message text) and ``_ok``. Good records
-of a message are kept and a bad one never stops the job: ``accepted`` gives the records,
-``dead_letters`` the texts that could not be read. All are stateless projections, so they run on
-batch and streaming input alike and shuffle nothing.
+Each reader returns the typed columns plus ``_source`` (the message text), ``_ok``, ``_index`` (the
+record's place in its message) and ``_reason`` (why it could not be read). Good records of a message
+are kept and a bad one never stops the job: ``accepted`` gives the records, ``dead_letters`` the texts
+that could not be read. All are stateless projections, so they run on batch and streaming input alike
+and shuffle nothing. If the raw rows number their messages in MESSAGE, ``letters`` gives one letter
+for each message.
 """
 
 from __future__ import annotations
@@ -17,6 +19,8 @@ from tickloom import schemas
 from tickloom.functions.text import integer, iso_time, number, trade_side
 
 _CORRUPT = "_corrupt"
+MESSAGE = "_message"
+_NOTES = ("_ok", "_source", "_index", "_reason", MESSAGE)
 
 
 def read_trades(raw: DataFrame) -> DataFrame:
@@ -72,7 +76,7 @@ def read_oracle(raw: DataFrame) -> DataFrame:
 
 
 def accepted(records: DataFrame) -> DataFrame:
-    return records.where("_ok").drop("_ok", "_source")
+    return records.where("_ok").drop(*_NOTES)
 
 
 def dead_letters(records: DataFrame) -> DataFrame:
@@ -80,6 +84,21 @@ def dead_letters(records: DataFrame) -> DataFrame:
     return records.where("NOT _ok").select(F.col("_source").alias("value"))
 
 
+def letters(records: DataFrame) -> DataFrame:
+    """One letter per message with unreadable records: its text, their places and the reasons.
+
+    For batches whose messages are numbered. Only unreadable records are shuffled; a group is one
+    message.
+    """
+    record = F.struct(F.col("_index").alias("index"), F.col("_reason").alias("reason"))
+    return (
+        records.where("NOT _ok")
+        .groupBy(MESSAGE, F.col("_source").alias("value"))
+        .agg(F.sort_array(F.collect_list(record)).alias("records"))
+        .drop(MESSAGE)
+    )
+
+
 def known_feeds(oracle: DataFrame, feed_topics: Mapping[str, str]) -> DataFrame:
     """Oracle prices of the followed feeds with their ``topic``; other feeds are dropped.
 
@@ -112,6 +131,7 @@ def _messages(
         raw.withColumn("_source", F.col("value"))
         .withColumn("m", F.explode(F.array(parsed)))
         .withColumn("_broken", broken)
+        .withColumn("_index", F.lit(""))
     )
     if channel is None:
         return messages
@@ -121,14 +141,21 @@ def _messages(
 def _each(rows: DataFrame, path: str, name: str) -> DataFrame:
     """One row per element of a list; a broken message stays as one row without an element."""
     healthy = F.when(~F.col("_broken"), F.col(path))
-    return rows.withColumn(name, F.explode_outer(healthy)).where(
-        F.col("_broken") | F.col(name).isNotNull()
-    )
+    each = rows.select("*", F.posexplode_outer(healthy).alias("_at", name))
+    before = F.when(F.col("_index") != "", F.col("_index"))
+    index = F.concat_ws(".", before, F.col("_at"))
+    found = each.where(F.col("_broken") | F.col(name).isNotNull())
+    return found.withColumn("_index", index).drop("_at")
 
 
 def _typed(records: DataFrame, columns: Sequence[Column], required: Sequence[str]) -> DataFrame:
-    typed = records.select(*columns, "_source", "_broken")
+    numbered = [MESSAGE] if MESSAGE in records.columns else []
+    typed = records.select(*columns, "_source", "_broken", "_index", *numbered)
     ok = ~F.col("_broken")
     for name in required:
         ok = ok & F.col(name).isNotNull()
-    return typed.withColumn("_ok", ok).drop("_broken")
+    missing = F.concat_ws(", ", *(F.when(F.col(n).isNull(), F.lit(n)) for n in required))
+    reason = F.when(F.col("_broken"), F.lit("no message of this feed")).otherwise(
+        F.concat(F.lit("no readable "), missing)
+    )
+    return typed.withColumns({"_ok": ok, "_reason": F.when(~ok, reason)}).drop("_broken")

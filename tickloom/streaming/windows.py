@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tickloom.operators.bars import bars
+from tickloom.operators.bars import bars_by_size
 from tickloom.operators.imbalance import pane_imbalance
 from tickloom.operators.peg import peg_alerts
 from tickloom.settings import (
@@ -38,16 +37,13 @@ def stream_bars(
     time_col: str = "time",
     **options,
 ) -> DataFrame:
-    """Closed bars of all sizes, labelled in ``bar``; one query with a window state per size.
+    """Closed bars of all sizes, labelled in ``bar``; one query that reads its source once.
 
-    A bar appears once the watermark passes its end, so short bars do not wait for long ones.
+    A bar appears once the watermark passes its end, so short bars do not wait for long ones. The
+    sizes must be multiples of the smallest.
     """
     trades = trades.withWatermark(time_col, lateness)
-    labelled = [
-        bars(trades, size_s, time_col=time_col, **options).select(F.lit(label).alias("bar"), "*")
-        for label, size_s in sizes.items()
-    ]
-    return reduce(DataFrame.unionByName, labelled)
+    return bars_by_size(trades, sizes, time_col=time_col, **options)
 
 
 def stream_imbalance(
