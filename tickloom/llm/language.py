@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import col, id_of, row_key, slices, text_of
-from tickloom.llm.learning import bounded_by_label, fold, held_out, train
+from tickloom.llm.learning import LONGEST, bounded, fold, held_out, train
 
 BUCKETS = 1 << 13
 WIDTH = 16
@@ -178,14 +178,16 @@ def learn_languages(
 ) -> bytes | None:
     """A model learnt from about ``sample`` distinct texts that have a language and letters.
 
-    Languages share the sample evenly; a rare one has all its texts in it, or 200 of them. Rows of the held-out fold, rows without an id and the language ``und`` are not learnt from. None
-    if no rows are left.
+    Languages share the sample evenly, and a rare one has all its texts in it; see ``bounded`` for
+    its bounds. Rows of the held-out fold, rows without an id and the language ``und`` are not
+    learnt from. None if no rows are left.
     """
     key, lang = row_key(id_col, text_col).alias("key"), col(lang_col).alias("lang")
     text = text_of(text_col)
     usable = (fold(id_col) != 1) & (col(lang_col) != UNKNOWN) & text.rlike(r"\p{L}")
+    usable = usable & (F.length(text) <= LONGEST)
     labelled = docs.where(usable).select(key, lang, text.alias("text"))
-    return train(bounded_by_label(labelled, "key", "lang", "text", sample), _learn, ["key", "lang", "text"])
+    return train(bounded(labelled, "lang", "key", "text", sample), _learn, ["key", "lang", "text"])
 
 
 def identify(

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from tickloom.llm.common import col
 
 _GRAIN = 1 << 30
-LEAST_OF_A_LABEL = 200  # distinct texts a label has in a sample at least, if there are as many
+MOST_LABELS = 1000  # labels that are learnt, the commonest if there are more
+LONGEST = 200_000  # characters of a text to learn from
 
 
 def fold(id_col: str) -> Column:
@@ -23,45 +24,37 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(fold(id_col) == 1, F.lit(False))
 
 
-def bounded(labelled: DataFrame, key: str, most: int) -> DataFrame:
-    """About ``most`` rows of a table, all of a smaller one: those with the least hashes of a key."""
-    count = labelled.count()
-    if count <= most:
-        return labelled
-    grain = F.pmod(F.xxhash64(F.lit("sample"), key), F.lit(_GRAIN))
-    return labelled.where(grain < int(_GRAIN * most / count))
-
-
-def _level(counts: list[int], most: int, least: int) -> int:
-    """The bound for each label at which a sample has ``most`` rows in all, but at least ``least``."""
+def _level(counts: list[int], most: int) -> int:
+    """The bound for each label at which a sample has at most ``most`` rows in all."""
     left = most
     for i, n in enumerate(sorted(counts)):
         share = left // (len(counts) - i)
         if n > share:
-            return max(share, least)
+            return share
         left -= n
-    return max([*counts, least])
+    return max(counts, default=0)
 
 
-def bounded_by_label(
-    labelled: DataFrame, key: str, label: str, text: str, most: int, least: int = LEAST_OF_A_LABEL
-) -> DataFrame:
-    """The distinct texts of each label, with their least key, in about ``most`` rows.
+def bounded(labelled: DataFrame, label: str, key: str, text: str, most: int) -> DataFrame:
+    """Distinct texts of each label, with their least key, in about ``most`` rows at most.
 
-    Labels share these evenly, and what a rare one leaves goes to the others; each has about
-    ``least`` texts or all it has, so many labels may make more rows. A label's texts are those with
-    the least hashes, so a text takes one place however often it is repeated.
+    Labels share these evenly, and what a rare one leaves goes to the others. A label's texts are
+    those with the least hashes, so a text takes one place however often it is repeated. Of more
+    than MOST_LABELS labels only the commonest are learnt. Callers leave out texts of more than
+    LONGEST characters, so what one task gets is bounded in rows and in bytes. ``text`` may be a
+    hash of the text.
     """
+    known = labelled.where(col(label).isNotNull())
     grain = F.pmod(F.xxhash64(F.lit("sample"), text), F.lit(_GRAIN))
-    counts = dict(
-        labelled.groupBy(label).agg(F.approx_count_distinct(F.xxhash64(text), 0.02)).collect()
-    )
-    level = _level(list(counts.values()), most, least) if counts else 0
-    cut = {name: int(_GRAIN * level / n) for name, n in counts.items() if n > level}
-    chosen = labelled
-    if cut:
-        bounds = F.create_map(*(F.lit(x) for pair in cut.items() for x in pair))
-        chosen = labelled.where(grain < F.coalesce(F.try_element_at(bounds, label), F.lit(_GRAIN)))
+    count = F.approx_count_distinct(F.xxhash64(text), 0.02).alias("n")
+    common = known.groupBy(label).agg(count).orderBy(F.desc("n"), label).limit(MOST_LABELS)
+    counts = {row[label]: row["n"] for row in common.collect()}
+    level = _level(list(counts.values()), most)
+    cut = {name: max(1, int(_GRAIN * min(1, level / n))) for name, n in counts.items()}
+    if not cut:
+        return known.where("false").select(label, text, key)
+    bounds = F.create_map(*(F.lit(x) for pair in cut.items() for x in pair))
+    chosen = known.where(grain < F.coalesce(F.try_element_at(bounds, label), F.lit(0)))
     return chosen.groupBy(label, text).agg(F.min(key).alias(key))
 
 

@@ -18,8 +18,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import col, fresh, id_of, row_key, slices, text_of
-from tickloom.llm.learning import bounded, fold, held_out, train
+from tickloom.llm.common import col, fresh, id_of, row_key, slices, stage, text_of
+from tickloom.llm.learning import LONGEST, bounded, fold, held_out, train
 
 SAMPLE = 4000  # labelled documents to learn from at most, about
 SEGMENT = 32  # lines of a document that are trained on as one chain
@@ -228,8 +228,9 @@ def learn_quality(
 ) -> bytes | None:
     """A field learnt from at most about ``sample`` labelled documents outside the held-out fold.
 
-    Labels of one document that differ count as their mean, rounded up; rows without an id or a
-    label are not learnt from. None if no document is left.
+    The sample is one of distinct texts, see ``bounded`` for its bounds. Labels of one document that
+    differ count as their mean, rounded up; rows without an id or a label are not learnt from. None
+    if no document is left.
     """
     usable = col(label_col).isNotNull() & (fold(id_col) != 1)
     known = (
@@ -237,11 +238,16 @@ def learn_quality(
         .groupBy(col(id_col).cast("bigint").alias("key"))
         .agg((F.avg(col(label_col)) >= 0.5).cast("int").alias("label"))
     )
-    chosen = bounded(known, "key", sample)
-    rows = docs.select(row_key(id_col, text_col).alias("key"), text_of(text_col).alias("text"))
-    # about ``sample`` rows of two numbers
-    examples = rows.join(F.broadcast(chosen), "key").dropDuplicates(["key"])
-    return train(examples, _learn, ["key"])
+    text = text_of(text_col)
+    rows = docs.where(F.length(text) <= LONGEST).select(
+        row_key(id_col, text_col).alias("key"), F.xxhash64(text).alias("mark"), text.alias("text")
+    )
+    marks = rows.drop("text").join(known, "key").withColumn("of", F.lit("all"))
+    marks = stage(marks, "labelled-marks")  # read twice: counted, then chosen from
+    chosen = bounded(marks, "of", "key", "mark", sample).join(known, "key")
+    # about ``sample`` rows of a few numbers
+    examples = rows.join(F.broadcast(chosen.select("key", "mark", "label")), ["key", "mark"])
+    return train(examples.dropDuplicates(["key", "mark"]), _learn, ["key", "text"])
 
 
 def quality_scores(
