@@ -149,3 +149,15 @@ def test_keep_one(docs):
     assert sorted((r.doc_id or -1, r.key) for r in kept) == [(-1, "v"), (3, "y"), (7, "n"), (9, "z")]
     assert keep_one(docs.where("false")).count() == 0
     assert keep_one(docs).columns == docs.columns
+
+
+def test_keep_one_of_repeated_ids(spark):
+    rows = [
+        (1, "the river runs slowly home past the old mill and the bridge"),
+        (1, "quite another text that has nothing at all to do with rivers or mills"),
+        (2, "and a third one, in which neither of the two others can be found"),
+        (2, "and a third one, in which neither of the two others can be found"),
+        (3, "quite another text that has nothing at all to do with rivers or mills"),
+    ]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.text) for r in kept) == sorted(set(rows[:3]))

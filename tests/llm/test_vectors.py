@@ -96,3 +96,25 @@ def test_few_rows(many):
     rows = top_k(df.where("vec_id in (0, 1, 2)"), F.col("id") % 20 == 0, k=20).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in rows) == brute(few, 20, 20)
     assert top_k(df.where("false"), F.col("id") % 20 == 0).count() == 0
+
+
+def test_rows_that_repeat_an_id(spark):
+    """Every row is a candidate of the others, whatever its id; only a query's own row is not."""
+    rows = [(0, [1.0, 0.0]), (1, [0.5, 0.0]), (1, [2.0, 0.0]), (0, [3.0, 1.0]), (0, [3.0, 1.0]), (5, [0.0, 1.0])]
+    got = top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("id") % 20 == 0)
+    points = [(i, [int(64 * x) for x in v]) for i, v in rows]
+    expected = []
+    for n, (i, x) in enumerate(points):
+        if i % 20 == 0:
+            scores = sorted(
+                (-sum(a * b for a, b in zip(x, y)), j) for m, (j, y) in enumerate(points) if m != n
+            )
+            expected += [(i, r + 1, j, -s) for r, (s, j) in enumerate(scores)]
+    assert sorted(tuple(r) for r in got.collect()) == sorted(expected)
+    assert max(s for q, _, i, s in expected if (q, i) == (0, 1)) == 64 * 64 * 6
+
+
+def test_products_beyond_64_bits_are_refused(spark):
+    rows = spark.createDataFrame([(0, [1e9, 1.0]), (1, [1.0, 2.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="do not fit"):
+        top_k(rows, F.col("id") % 20 == 0).collect()

@@ -62,7 +62,7 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 def fingerprints(
     docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """``key`` and ``fp`` of every row of ``docs``; null texts count as empty ones."""
+    """``key``, ``mark`` (a hash of the text) and ``fp`` of every row; null texts count as empty ones."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text"):
@@ -73,11 +73,15 @@ def fingerprints(
                     known[text] = fingerprint(text, shingle)
                 out.append(known[text])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("key"), pa.array(out, pa.int64())], names=["key", "fp"]
+                [batch.column("key"), batch.column("mark"), pa.array(out, pa.int64())],
+                names=["key", "mark", "fp"],
             )
 
-    rows = docs.select(row_key(id_col, text_col).alias("key"), text_of(text_col).alias("text"))
-    return rows.mapInArrow(scan, "key bigint, fp bigint")
+    text = text_of(text_col)
+    rows = docs.select(
+        row_key(id_col, text_col).alias("key"), F.xxhash64(text).alias("mark"), text.alias("text")
+    )
+    return rows.mapInArrow(scan, "key bigint, mark bigint, fp bigint")
 
 
 TILE_ROWS = "a bigint, b bigint, part int, value bigint, tile bigint, lo int, hi int, fps binary"
@@ -249,13 +253,8 @@ def near_duplicates(
     null ones included, share fingerprint 0. Repeated rows stay rows; an empty table gives none;
     other columns are not read.
     """
-    found = stage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
-    firsts = stage(found.groupBy("fp").agg(F.min("key").alias("first")), "distinct-fingerprints")
-    roots = components(near_links(firsts, radius)).select(F.col("node").alias("fp"), "root")
-    rooted = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    groups = rooted.groupBy("root").agg(F.min("first").alias("component_key"))
-    member = rooted.join(groups, "root").select("fp", "component_key")
-    return found.join(member, "fp").select(
+    found = _grouped(docs, shingle, radius, id_col, text_col)
+    return found.select(
         "key",
         id_of(F.col("key")).alias("doc_id"),
         "fp",
@@ -264,6 +263,19 @@ def near_duplicates(
     )
 
 
+def _grouped(
+    docs: DataFrame, shingle: int, radius: int, id_col: str, text_col: str
+) -> DataFrame:
+    """``key``, ``mark``, ``fp``, ``root`` (which names the group) and ``component_key`` of every row."""
+    found = stage(fingerprints(docs, shingle, id_col, text_col), "fingerprints")
+    firsts = stage(found.groupBy("fp").agg(F.min("key").alias("first")), "distinct-fingerprints")
+    roots = components(near_links(firsts, radius)).select(F.col("node").alias("fp"), "root")
+    rooted = firsts.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
+    groups = rooted.groupBy("root").agg(F.min("first").alias("component_key"))
+    member = rooted.join(groups, "root").select("fp", "root", "component_key")
+    return found.join(member, "fp").select("key", "mark", "fp", "root", "component_key")
+
+
 def keep_one(
     docs: DataFrame,
     shingle: int = 3,
@@ -273,13 +285,18 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates: the one with the smallest id.
 
-    Of rows that repeat an id any one stays.
+    Rows that repeat an id are told apart by their texts: each group keeps a row, and of rows with
+    that id and text any one.
     """
-    (key,) = fresh(docs, "key")
-    groups = near_duplicates(docs, shingle, radius, id_col, text_col)
-    kept = groups.where("key = component_key").select(F.col("key").alias(key)).distinct()
-    rows = docs.withColumn(key, row_key(id_col, text_col))
-    return rows.join(kept, key, "left_semi").dropDuplicates([key]).drop(key)
+    key, mark = fresh(docs, "key", "mark")
+    groups = _grouped(docs, shingle, radius, id_col, text_col).where("key = component_key")
+    # in a group, rows of its least key may hold several texts
+    kept = groups.groupBy("root", F.col("key").alias(key)).agg(F.min("mark").alias(mark))
+    rows = docs.withColumns(
+        {key: row_key(id_col, text_col), mark: F.xxhash64(text_of(text_col))}
+    )
+    one = rows.join(kept.select(key, mark), [key, mark], "left_semi").dropDuplicates([key, mark])
+    return one.drop(key, mark)
 
 
 def hex_digits(fp: str) -> Column:

@@ -266,26 +266,33 @@ class Block:
 def integer_vectors(
     rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 64
 ) -> DataFrame:
-    """``id`` and ``vec``: floor(scale * x) of every component, of the rows that take part.
+    """``id``, ``number`` and ``vec``: floor(scale * x) of every component, of the rows that take part.
 
-    Left out are rows without an id or a vector and vectors with a null or non-finite component. Of
-    rows that repeat an id, the one with the least vector stays.
+    Left out are rows without an id or a vector and vectors with a null or non-finite component.
+    ``number`` tells all rows apart, also those that repeat an id, and grows with the id. A vector
+    whose inner products a BIGINT might not hold raises an error.
     """
     vector = F.transform(col(vector_col), lambda x: x.cast("double"))
     sound = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     vec = F.transform(vector, lambda x: F.floor(F.lit(float(scale)) * x))
     chosen = rows.where(col(id_col).isNotNull() & col(vector_col).isNotNull()).where(sound)
     chosen = chosen.select(col(id_col).cast("bigint").alias("id"), vec.alias("vec"))
-    return chosen.groupBy("id").agg(F.min("vec").alias("vec"))
+    largest = F.array_max(F.transform("vec", lambda x: F.abs(x))).cast("double")
+    fits = F.coalesce(F.size("vec") * largest * largest < float(1 << 62), F.lit(True))
+    beyond = F.raise_error(F.lit("inner products of such components do not fit 64 bits"))
+    chosen = chosen.withColumn("vec", F.when(fits, F.col("vec")).otherwise(beyond.cast("array<bigint>")))
+    place = chosen.withColumn("place", F.monotonically_increasing_id())
+    ordered = place.repartitionByRange("id", "place").sortWithinPartitions("id", "place")
+    return ordered.select("id", F.monotonically_increasing_id().alias("number"), "vec")
 
 
 def _points(vectors: DataFrame, most_ids: int) -> DataFrame:
-    """Distinct vectors with their ``most_ids`` smallest ids; ``rep`` is the smallest."""
-    order = Window.partitionBy("vec").orderBy("id")
+    """Distinct vectors with the ``most_ids`` smallest numbers of their rows; ``rep`` is the least."""
+    order = Window.partitionBy("vec").orderBy("number")
     first = vectors.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= most_ids)
     return (
         first.groupBy("vec")
-        .agg(F.sort_array(F.collect_list("id")).alias("ids"))
+        .agg(F.sort_array(F.collect_list("number")).alias("ids"))
         .withColumn("rep", F.col("ids")[0])
     )
 
@@ -432,11 +439,12 @@ def top_k(
     """``query_id``, ``rank`` (from 1), ``vec_id`` and ``score``: each query's ``k`` best others.
 
     ``is_query`` is a condition on the column ``id``. Scores are integer inner products of
-    floor(scale * x), exact while components stay below 2^28; ties go to the smaller id. A query's
+    floor(scale * x); ties go to the smaller id. A query's
     own row is no candidate, an equal vector under another id is one. A vector is compared with
     those of its length only. Rows without an id, null vectors and vectors with null or non-finite
-    components take no part; of rows that repeat an id one takes part. A query has fewer rows if
-    there are fewer candidates, an empty table has none. Other columns are not read.
+    components take no part. Rows that repeat an id are queries and candidates of their own. A query
+    has fewer rows if there are fewer candidates, an empty table has none. Other columns are not
+    read.
     """
     vectors = stage(integer_vectors(rows, id_col, vector_col, scale), "vectors")
     points = stage(_points(vectors, k + 1), "points")
@@ -537,18 +545,22 @@ def top_k(
     lists = best.groupBy("rep").agg(
         F.sort_array(F.collect_list(F.struct((-F.col("score")).alias("down"), "id"))).alias("best")
     )
-    named = queries.join(points.select("vec", "rep"), "vec").select(F.col("id").alias("query_id"), "rep")
-    others = F.slice(F.filter("best", lambda x: x["id"] != F.col("query_id")), 1, k)
-    return (
+    named = queries.join(points.select("vec", "rep"), "vec").select(
+        F.col("id").alias("query_id"), "number", "rep"
+    )
+    others = F.slice(F.filter("best", lambda x: x["id"] != F.col("number")), 1, k)
+    hits = (
         named.join(lists, "rep")
         .select("query_id", F.posexplode(others).alias("at", "hit"))
         .select(
             "query_id",
             (F.col("at") + 1).alias("rank"),
-            F.col("hit.id").alias("vec_id"),
+            F.col("hit.id").alias("number"),
             (-F.col("hit.down")).alias("score"),
         )
     )
+    ids = vectors.select("number", F.col("id").alias("vec_id"))
+    return hits.join(ids, "number").select("query_id", "rank", "vec_id", "score")
 
 
 def _members(query_blocks: DataFrame) -> DataFrame:
@@ -567,15 +579,15 @@ def _members(query_blocks: DataFrame) -> DataFrame:
 
 
 TOP_SQL = """
-WITH v AS (SELECT vec_id, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS vec
+WITH v AS (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS number, [floor(64 * CAST(x AS DOUBLE)) FOR x IN embedding] AS vec
            FROM embeddings
            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
              AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
-scored AS (SELECT q.vec_id AS query_id, v.vec_id,
+scored AS (SELECT q.vec_id AS query_id, q.number AS query, v.vec_id,
                   CAST(list_inner_product(q.vec, v.vec) AS BIGINT) AS score
-           FROM v q JOIN v ON len(q.vec) = len(v.vec) AND q.vec_id <> v.vec_id
+           FROM v q JOIN v ON len(q.vec) = len(v.vec) AND q.number <> v.number
            WHERE q.vec_id % 20 = 0),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS rank
            FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 20
 """
