@@ -112,3 +112,35 @@ def test_empty_tables(tables):
     assert contamination(docs.where("false"), items).count() == 0
     assert contamination(docs, items.where("false")).count() == 0
     assert without_contaminated(docs, items.where("false")).count() == docs.count()
+
+
+SHORT_ITEMS = [
+    (1, "seven wise owls watch quietly over nine sleeping foxes"),  # nine words
+    (2, "copper kettles sing every morning"),  # five
+    (3, "velvet harbour lantern"),  # three
+    (4, "bare minimum"),  # too short to mean anything
+    (5, "\u4f60\u597d\u4e16\u754c\u6b22\u8fce\u6765\u5230\u8fd9\u91cc\u5b66\u4e60"),  # twelve signs
+]
+
+
+def test_short_items(spark):
+    """One substituted word is tolerated from five words on, at every place; shorter ones recur exactly."""
+    docs, expected = [], set()
+    for item, text in SHORT_ITEMS[:3]:
+        words = text.split()
+        for place in [None, *range(len(words))]:
+            changed = [w if i != place else "other" for i, w in enumerate(words)]
+            docs.append((100 * item + len(docs), f"before it all {' '.join(changed).upper()} and after"))
+            if place is None or len(words) >= 5:
+                expected.add((docs[-1][0], item))
+    docs.append((900, "seven wise owls watch OTHER over nine ELSE foxes"))  # two substituted
+    docs.append((901, "the bare minimum"))
+    signs = SHORT_ITEMS[4][1]
+    docs.append((902, "abc" + signs[:5] + "\u5929" + signs[6:] + "\u4e0d"))
+    docs.append((903, signs[:6]))
+    expected.add((902, 5))
+    got = contamination(
+        spark.createDataFrame(docs, "doc_id long, text string"),
+        spark.createDataFrame(SHORT_ITEMS, "item_id long, text string"),
+    ).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == expected and len(got) == len(expected)

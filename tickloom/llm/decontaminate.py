@@ -29,13 +29,18 @@ MASKS = (
     (2, 3, 4, 6, 7),
     (0, 1, 2, 5, 7),
 )
-SHORTEST = 5  # words; a shorter item is no evidence of anything and is not sought
+SHORTEST = 3  # words; a shorter item is no evidence of anything and is not sought
+VERBATIM = 4  # items of so many words at most are sought word for word
 SIMILARITY = 0.8
 PROBES = 3  # each from other bits of the seed
 MOST_BITS = 1 << 26  # of the bitmap, 8 MB; a fuller bitmap lets more seeds through to the join
 BITS_PER_SEED = 256
 
 _WORD = re.compile(r"\w+")
+# Scripts without spaces between words, from Thai and Lao to Han; each of their signs is a word.
+_FIRST_SIGN = "\u0e00"
+_SIGNS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_WORD_OR_SIGN = re.compile(f"[{_SIGNS}]|[^\\W{_SIGNS}]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -43,7 +48,8 @@ def word_hashes(text: str) -> np.ndarray:
     """A 64-bit hash of every word of a text, letters in lower case."""
     from xxhash import xxh64_intdigest
 
-    words = _WORD.findall(text.lower())
+    spaced = text.isascii() or max(text) < _FIRST_SIGN
+    words = (_WORD if spaced else _WORD_OR_SIGN).findall(text.lower())
     return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
 
 
@@ -63,14 +69,18 @@ def _selected(words: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray
 def seeds(words: np.ndarray, short: tuple[int, ...] = ()) -> Iterator[np.ndarray]:
     """The seeds of a text, one array per mask, entry i beginning at word i.
 
-    ``short`` are the lengths of items that have fewer than SPAN words, whose seed is all of them.
+    ``short`` are the lengths of items that have fewer than SPAN words. Their masks cover the whole
+    item: all words up to VERBATIM, else three masks that each ignore a third of the positions, so
+    that one of them misses a substituted word.
     """
     for salt, mask in enumerate(MASKS):
         if len(words) >= SPAN:
             yield _selected(words, mask, salt)[: len(words) - SPAN + 1]
     for length in short:
         if len(words) >= length:
-            yield _selected(words, tuple(range(length)), 100 + length)
+            for third in range(3) if length > VERBATIM else [3]:
+                mask = tuple(i for i in range(length) if i % 3 != third)
+                yield _selected(words, mask, 100 + 4 * length + third)[: len(words) - length + 1]
 
 
 def _items(items: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -277,9 +287,9 @@ def contamination(
     """One row per document and benchmark item that overlap, with the longest overlap.
 
     ``start`` and ``item_start`` count words, ``length`` is the overlap's, ``matched`` how many of
-    its words are equal: at least 0.8 of at least ten words, or of a whole item of five to nine;
-    those short items are found by their exact words. Words are runs of letters, digits and
-    underscores in lower case. Null and empty texts overlap nothing; rows without an id are reported
+    its words are equal: at least 0.8 of at least ten words, or of a whole item of five to nine, or
+    all of three or four; shorter items are not sought. Words are runs of letters, digits and
+    underscores in lower case, and the single signs of scripts without spaces. Null and empty texts overlap nothing; rows without an id are reported
     with a null ``doc_id``; repeated rows are reported once each; other columns are not read.
     Equal texts are compared once. Either table may be empty.
     """
