@@ -4,6 +4,13 @@ STAGES names the stages in their order. Each is a function of the session, the d
 stage before it kept, and the folder of the tables; each works on all of them. All but the last
 return the columns of documents. Stages 1 and 2 take learnt or native decisions row by row; stages
 2 to 4 write what they must agree on to the shared folder.
+
+All stages take documents as they come. A null text counts as empty and stays null; empty texts have
+no words, share one fingerprint and fill a piece of one token. Texts are worked on whole, however
+long. Rows without an id are told apart by their texts; rows that repeat an id count as one document
+for lines, and as documents of their own, told apart by their texts, for near duplicates; of equal
+rows one stays. Ties go to the smaller id. Columns of any other name are carried along by all stages
+but the last. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -27,6 +34,8 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines whose template another document had first; every document stays."""
     changed = lines.without_recurring_lines(docs)
+    if "n_chars" not in docs.columns:
+        return changed
     return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
