@@ -97,5 +97,31 @@ def test_stages(spark):
     assert {r.doc_id for r in pieces} == set(before)
 
 
+def test_stages_take_documents_as_they_come(spark):
+    """Nulls, empty and long texts, repeated rows, columns with clashing names, no rows at all."""
+    good = [r.text for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").limit(3).collect()]
+    rows = [
+        (1, good[0], "en", "s", 1), (1, good[1], None, None, None), (2, None, "en", "s", 0),
+        (None, good[2], "en", "s", 1), (3, "", "en", "s", 0), (3, "", "en", "s", 0),
+        (4, "word " * 60_000, "en", "s", 9), (5, good[0], "en", "s", 1),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    plain = spark.createDataFrame(rows, schema)
+    docs = plain.selectExpr("*", "'k' AS key", "'m' AS mark", "7 AS gone", "7 AS good", "7 AS fp")
+    for name, function in corpus_pipeline.STAGES[:-1]:
+        out = function(spark, docs, SF_DIR)
+        assert out.columns == docs.columns, name
+        got = out.collect()
+        assert {(r.key, r.mark, r.gone, r.good, r.fp) for r in got} <= {("k", "m", 7, 7, 7)}
+        assert len(got) <= len(rows) and {r.doc_id for r in got} <= {1, 2, 3, 4, 5, None}
+        if name == "line dedup":
+            assert len(got) == len(rows)
+            assert {r.doc_id for r in got if r.text is None} == {2}
+        assert function(spark, plain.where("false"), SF_DIR).count() == 0
+    last = corpus_pipeline.STAGES[-1][1]
+    assert {r.doc_id for r in last(spark, docs, SF_DIR).collect()} == {1, 2, 3, 4, 5, None}
+    assert last(spark, plain.where("false"), SF_DIR).count() == 0
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF_DIR).count() > 100
