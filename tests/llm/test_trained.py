@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from tickloom.llm import language, quality
-from tickloom.llm.learning import bounded, bounded_by_label, train
+from tickloom.llm.learning import bounded, train
 
 SF_DIR = "/root/testdata/sf0.01"
 needs_tables = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test tables")
@@ -124,12 +124,6 @@ def test_language_edge_cases(spark):
     assert language.learn_languages(docs.where("lang is null")) is None
 
 
-def test_sample_is_bounded_and_whole_if_small(spark):
-    rows = spark.range(20_000).withColumnRenamed("id", "key")
-    assert bounded(rows.where("key < 500"), "key", 500).count() == 500
-    assert 800 < bounded(rows, "key", 1000).count() < 1200
-
-
 def test_training_sees_rows_in_one_order(spark):
     rows = spark.range(50).selectExpr("id as key", "50 - id as value").repartition(7)
     learn = lambda got: ",".join(str(r["key"]) for r in got).encode()
@@ -142,12 +136,12 @@ def test_rare_language_is_in_the_sample(spark):
     rows += [(i, "une copie", "fr") for i in range(6000, 9000)]
     rows += [(i, f"ett ord {i}", "sv") for i in range(9000, 9003)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
-    chosen = bounded_by_label(docs, "doc_id", "lang", "text", 400).collect()
+    chosen = bounded(docs, "lang", "doc_id", "text", 400).collect()
     count = Counter(r.lang for r in chosen)
     assert count["sv"] == 3 and count["fr"] == 1 and 300 < count["en"] < 500
     assert [r.doc_id for r in chosen if r.lang == "fr"] == [6000]
     found = language.Model.load(language.learn_languages(docs, sample=40))
     assert list(found.languages) == ["en", "fr", "sv"]
-    assert bounded_by_label(docs.where("false"), "doc_id", "lang", "text", 400).count() == 0
+    assert bounded(docs.where("false"), "lang", "doc_id", "text", 400).count() == 0
     for text in ("\u00bd \u00b2 \u2167", "12", ""):
         assert found.predict(text) == ("und", 0.0, False)
