@@ -7,6 +7,7 @@ a sum decides the last digit. The library's own records round plainly.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -27,9 +28,11 @@ from tickloom.settings import BAR_SIZES, SOL_USD_FEED, USDC_USD_FEED, Settings
 from tickloom.sinks.tables import TABLES, write_table
 from tickloom.sinks.topics import json_messages, routed_ticker, routed_trades
 from tickloom.sources.feeds import (
+    MESSAGE,
     accepted,
     dead_letters,
     known_feeds,
+    letters,
     read_oracle,
     read_ticker,
     read_trades,
@@ -54,9 +57,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feeds.events(spark, sf_dir)
 
 
-def _stream(spark: SparkSession, sf_dir: str, close: bool = True) -> DataFrame:
+def _stream(
+    spark: SparkSession, sf_dir: str, close: bool = True, arrival: bool = False
+) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return feeds.stream_events(spark, sf_dir, close)
+    return feeds.stream_events(spark, sf_dir, close, arrival)
 
 
 def _plain_times(df: DataFrame) -> DataFrame:
@@ -228,11 +233,34 @@ def _trade_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dead_letters(read_trades(feeds.trade_messages(_events(spark, sf_dir))))
 
 
+def _trade_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the letters of messages with several trades say, by place and reason."""
+    raw = feeds.trade_batches(_events(spark, sf_dir)).withColumn(MESSAGE, F.col("event_id"))
+    each = letters(read_trades(raw)).select(F.inline("records"))
+    return each.groupBy("index", "reason").agg(F.count("*").alias("records"))
+
+
+def _trade_letter_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One letter per message, however many of its trades are unreadable."""
+    raw = feeds.trade_batches(_events(spark, sf_dir)).withColumn(MESSAGE, F.col("event_id"))
+    sizes = letters(read_trades(raw)).select(F.size("records").alias("unreadable"))
+    return sizes.groupBy("unreadable").agg(F.count("*").alias("messages"))
+
+
 def _ticker_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = feeds.ticker_messages(_events(spark, sf_dir))
     return _plain_times(accepted(read_ticker(raw, received_at=F.col("ts"))))
 
 
+def _ticker_stamps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes by product and whether the moment of their reading is their ``received_at``."""
+    quotes = accepted(read_ticker(feeds.ticker_messages(_events(spark, sf_dir))))
+    away = F.abs(F.unix_seconds("received_at") - F.unix_seconds(F.current_timestamp()))
+    return quotes.groupBy("product_id", (away < 3600).alias("stamped_now")).agg(
+        F.count("*").alias("quotes")
+    )
+
+
 def _oracle_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = feeds.oracle_lines(_events(spark, sf_dir), [SOL_USD_FEED, USDC_USD_FEED])
     return known_feeds(accepted(read_oracle(lines)), Settings().feed_topics)
@@ -407,6 +435,17 @@ def _stream_minute_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_times(closed.drop("bar"))
 
 
+def _stream_bars_by_arrival(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bars by the time at which the file of a trade arrived; the given trades come in one file.
+
+    The closing rows come in a file of their own, written now, whose time closes the others' bars.
+    """
+    stream = _stream(spark, sf_dir, arrival=True)
+    trades = feeds.trades(stream).withColumn("time", F.col("arrived_at"))
+    closed = _run_to_table(stream_bars(trades, {"1s": 1}, lateness="0 seconds"), "bars-arrival")
+    return closed.drop("bar", "window_start", "window_end")
+
+
 def _stream_imbalance(spark: SparkSession, sf_dir: str) -> DataFrame:
     quotes = feeds.ticker(_stream(spark, sf_dir)).withColumnRenamed("ts", "received_at")
     return _averages(_run_to_table(stream_imbalance(quotes), "imbalance"))
@@ -493,7 +532,10 @@ def reference_queries() -> dict[str, Query]:
         "spread_zscore_without_ids": _spread_without_ids,
         "trades_normalised": _trade_feed,
         "trades_dead_letters": _trade_dead_letters,
+        "trades_letters": _trade_letters,
+        "trades_letters_by_size": _trade_letter_counts,
         "ticker_normalised": _ticker_feed,
+        "ticker_stamps": _ticker_stamps,
         "oracle_normalised": _oracle_feed,
         "topic_routing": _topic_routing,
         "json_round_trip": _bars_through_json,
@@ -514,6 +556,7 @@ def reference_queries() -> dict[str, Query]:
         "panel_peg": _panel_peg,
         "stream_ohlcv_1m": _stream_minute_bars,
         "stream_ohlcv_all_sizes": _stream_bars,
+        "stream_ohlcv_by_arrival": _stream_bars_by_arrival,
         "stream_imbalance_hop": _stream_imbalance,
         "stream_peg_alerts": _stream_peg,
         "stream_spread_zscore": _stream_spread,
@@ -694,7 +737,26 @@ def reference_sql() -> dict[str, str]:
         "trades_normalised": _TRADE_FEED,
         "trades_dead_letters": _FX
         + " SELECT '{broken ' || CAST(event_id AS VARCHAR) AS value FROM fx WHERE k = 7",
+        "trades_letters": _FX + """
+            SELECT '' AS index, 'no message of this feed' AS reason, count(*) AS records
+            FROM fx WHERE k = 7 HAVING count(*) > 0
+            UNION ALL SELECT '0.1', 'no readable price', count(*)
+            FROM fx WHERE k <> 7 AND k % 5 = 1 HAVING count(*) > 0
+            UNION ALL SELECT '0.2', 'no readable size', count(*)
+            FROM fx WHERE k <> 7 AND k % 7 = 2 HAVING count(*) > 0""",
+        "trades_letters_by_size": _FX + """,
+            bad AS (SELECT CASE WHEN k = 7 THEN 1
+                                ELSE CAST(k % 5 = 1 AS INT) + CAST(k % 7 = 2 AS INT) END AS n FROM fx)
+            SELECT n AS unreadable, count(*) AS messages FROM bad WHERE n > 0 GROUP BY n""",
+        "stream_ohlcv_by_arrival": _FX + """
+            SELECT event_type AS product_id, arg_min(value, event_id) AS open, max(value) AS high,
+                   min(value) AS low, arg_max(value, event_id) AS close,
+                   sum(CAST(k AS DOUBLE)) AS volume, count(*) AS trade_count
+            FROM fx GROUP BY event_type""",
         "ticker_normalised": _TICKER_FEED,
+        "ticker_stamps": _FX + """
+            SELECT p AS product_id, true AS stamped_now, count(*) AS quotes
+            FROM fx, (VALUES ('SOL-USD'), ('SOL-USDT')) AS products(p) GROUP BY p""",
         "oracle_normalised": _ORACLE_FEED,
         "topic_routing": _ROUTING,
         "landing_dead_letters": _FX
@@ -745,9 +807,8 @@ def _training_data() -> tuple[dict[str, Query], dict[str, str]]:
     try:
         import corpus_pipeline
         from tickloom.llm.queries import QUERIES, SQL
-    except ModuleNotFoundError as missing:
-        if missing.name not in {"corpus_pipeline", "tickloom.llm"}:
-            raise
+    except ImportError as missing:  # the part itself, or a package that only it needs
+        warnings.warn(f"without the training-data queries: {missing}", stacklevel=2)
         return {}, {}
     sql = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
     return QUERIES | {"pipeline": corpus_pipeline.run}, SQL | sql

@@ -26,14 +26,23 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_feed_time(spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet"))
 
 
-def stream_events(spark: SparkSession, sf_dir: str, close: bool = True) -> DataFrame:
+def stream_events(
+    spark: SparkSession, sf_dir: str, close: bool = True, arrival: bool = False
+) -> DataFrame:
     """The same rows as a stream, closed by two rows a month later, one tick and one price.
 
     Append mode keeps windows open until the watermark passes them; the closing rows push it past
     all real ones, and are themselves never emitted. The pattern lets the path be one file or a
-    directory.
+    directory. ``arrival`` adds the time of a row's file as ``arrived_at``.
     """
-    stream = stream_parquet(spark, f"{sf_dir}/events.parque[t]", EVENTS)
+
+    def read(path: str) -> DataFrame:
+        rows = stream_parquet(spark, path, EVENTS)
+        if not arrival:
+            return rows
+        return rows.select("*", F.col("_metadata.file_modification_time").alias("arrived_at"))
+
+    stream = read(f"{sf_dir}/events.parque[t]")
     if not close:
         return with_feed_time(stream)
     raw = spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
@@ -49,7 +58,7 @@ def stream_events(spark: SparkSession, sf_dir: str, close: bool = True) -> DataF
     )
     path = work_dir(spark, "closing")
     closing.write.parquet(path)
-    return with_feed_time(stream.unionByName(stream_parquet(spark, path, EVENTS)))
+    return with_feed_time(stream.unionByName(read(path)))
 
 
 def with_feed_time(raw: DataFrame) -> DataFrame:
@@ -61,6 +70,7 @@ def with_feed_time(raw: DataFrame) -> DataFrame:
         "value",
         F.get_json_object("props", "$.k").cast("bigint").alias("k"),
         F.expr("timestamp_micros(unix_micros(cast(ts AS timestamp)) div 100)").alias("ts"),
+        *(c for c in raw.columns if c == "arrived_at"),
     )
 
 
@@ -73,6 +83,7 @@ def trades(ev: DataFrame) -> DataFrame:
         F.col("ts").alias("time"),
         F.when(F.col("k") % 3 == 0, "BUY").when(F.col("k") % 3 == 1, "SELL").otherwise("HOLD")
         .alias("side"),
+        *(c for c in ev.columns if c == "arrived_at"),
     )
 
 
@@ -140,6 +151,33 @@ def trade_messages(ev: DataFrame) -> DataFrame:
     return _messages(ev, F.when(k == 7, F.concat(F.lit("{broken "), "event_id")).otherwise(text))
 
 
+def trade_batches(ev: DataFrame) -> DataFrame:
+    """One raw message per event with three trades, some of which cannot be read."""
+    k = F.col("k")
+
+    def trade(number: int, price: Column, size: Column):
+        return F.struct(
+            F.col("event_type").alias("product_id"),
+            (F.col("event_id") * 3 + number).cast("string").alias("trade_id"),
+            price.alias("price"),
+            size.alias("size"),
+            F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("time"),
+            F.lit("BUY").alias("side"),
+        )
+
+    price, size = F.col("value").cast("string"), k.cast("string")
+    trades = F.array(
+        trade(0, price, size),
+        trade(1, F.when(k % 5 == 1, "dear").otherwise(price), size),
+        trade(2, price, F.when(k % 7 != 2, size)),
+    )
+    event = F.struct(F.lit("update").alias("type"), trades.alias("trades"))
+    channel = F.lit("market_trades").alias("channel")
+    text = F.to_json(F.struct(channel, F.array(event).alias("events")))
+    broken = F.concat(F.lit("{broken "), "event_id")
+    return _messages(ev, F.when(k == 7, broken).otherwise(text), "event_id")
+
+
 def ticker_messages(ev: DataFrame) -> DataFrame:
     """One raw ticker message per event with a quote for each of two products."""
     k = F.col("k")

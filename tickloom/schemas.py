@@ -24,6 +24,9 @@ def struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
+# Fixed values, from here to the result records: names and types of fields on the wire, which the
+# feeds and the topics prescribe.
+
 # Typed input records.
 TRADE = struct(
     "product_id string, trade_id string, price double, size double, time timestamp, side string"
