@@ -265,3 +265,15 @@ def test_hash_filter_refuses_no_key(spark):
     others = spark.range(100_000, 120_000).select(F.xxhash64("id").alias("k"))
     assert others.where(passes(F.col("k"))).count() < 600
     assert others.where(hash_filter(keys.where("false"))(F.col("k"))).count() == 0
+
+
+def test_a_key_that_is_allowed_and_blocked(spark):
+    pages = spark.createDataFrame(
+        [(1, "https://a.example.net/en/x"), (2, "https://other.com/"), (3, "https://free.com/")],
+        "page_id long, url string",
+    )
+    both = (("example.net/en/", "allow"), ("example.net/en/", "block"))
+    rules = urls.rows_of(spark, both, "key", "verdict")
+    blocked = urls.rows_of(spark, (("other.com/",),), "key")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(pages, rules, blocked).collect()}
+    assert got == {1: ("example.net/en/", "allow"), 2: (None, "block"), 3: (None, "allow")}

@@ -93,6 +93,36 @@ def test_language_held_out(spark):
     assert abs(np.mean([r.score for r in rows]) - np.mean([r.lang == r.lang_pred for r in rows])) < 0.05
 
 
+def plain_language(model, text):
+    """Probabilities from n-grams cut one by one, their embeddings' mean and a softmax."""
+    letters = bytes(b if b >= 128 or chr(b).isalpha() else 32 for b in text.lower().encode())
+    data = b" " + letters + b" "
+    grams = [data[i : i + 3] for i in range(len(data) - 2) if data[i : i + 3] != b"   "]
+    grams += [data[i : i + 4] for i in range(len(data) - 3)]
+
+    def bucket(gram):
+        multipliers = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
+        h = sum(b * m for b, m in zip(gram, multipliers)) % 2**32
+        return ((h ^ (h >> 15)) * 0x2C1B3C6D) % 2**32 >> 19
+
+    mean = np.mean([model.embeddings[bucket(g)] for g in grams], axis=0)
+    odds = np.exp((mean @ model.weights + model.bias) / model.temperature)
+    return odds / odds.sum()
+
+
+def test_prediction_step_by_step():
+    rng = np.random.default_rng(7)
+    model = language.Model(
+        ["a", "b", "c"], rng.normal(size=(language.BUCKETS, language.WIDTH)),
+        rng.normal(size=(language.WIDTH, 3)), rng.normal(size=3), 1.7, 0.4,
+    )
+    for text in ("Ein Haus.", "x", "Straße 12, naïve café", "the  river runs\n\n  home " * 30, "слово 你好"):
+        expected = plain_language(model, text)
+        lang, score, accepted = model.predict(text)
+        assert lang == "abc"[expected.argmax()]
+        assert np.isclose(score, expected.max()) and accepted == (expected.max() >= 0.4)
+
+
 def test_subwords_of_long_texts():
     text = "straße und  Häuser, 12 mal " * 60_000
     plain = np.zeros(language.BUCKETS, np.int64)

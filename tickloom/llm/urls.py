@@ -141,7 +141,8 @@ def judge(
     """``page_id``, ``host``, ``path``, ``rule``, ``verdict`` of every row.
 
     ``rules`` has columns ``key`` and ``verdict`` (allow or block), ``blocked`` has a column ``key``.
-    Of the rules that fit a url the longest gives the verdict. Where none fits, ``rule`` is null and
+    Of the rules that fit a url the longest gives the verdict; a key that the rules both allow and
+    block allows. Where none fits, ``rule`` is null and
     the url is blocked if a key of ``blocked`` fits it, else allowed. Null urls and those without
     ``://`` have an empty host and path, which no key fits. Ids are handed through, null or repeated;
     an empty table gives no row; other columns are not read. Lists may be empty; keys without a path
