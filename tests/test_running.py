@@ -35,6 +35,8 @@ def test_late_rows_of_many_micro_batches(spark, tmp_path):
         part.write.mode("append").parquet(source)
     files = stream_parquet(spark, source, spark.createDataFrame([], TRADES).schema, 1)
     listener = LateRows(spark, str(tmp_path / "late"))
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
     spark.streams.addListener(listener)
     try:
         bars = stream_bars(files, {"1s": 1}, lateness="1 second")
@@ -46,6 +48,7 @@ def test_late_rows_of_many_micro_batches(spark, tmp_path):
         assert len(query.recentProgress) <= 100
     finally:
         spark.streams.removeListener(listener)
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     found = late_rows(spark, str(tmp_path / "late")).collect()
     assert sum(r.dropped for r in found) == late > 90
     assert {r["query"] for r in found} == {str(query.id)}
