@@ -9,15 +9,17 @@ from tickloom.llm.vectors import Best, Block, Ids, Tree, bounds, search, top_k
 
 
 def brute(points, k, every):
-    """(query, rank, id, score) of a dict of integer vectors by id."""
+    """(query, rank, id, score) of (id, integer vector) rows; a row is no candidate of its own."""
     out = []
-    for q, x in points.items():
+    for n, (q, x) in enumerate(points):
         if q % every:
             continue
         scores = sorted(
-            (-int(np.dot(x, y)), i) for i, y in points.items() if i != q and len(y) == len(x)
+            (-int(np.dot(x, y)), i)
+            for m, (i, y) in enumerate(points)
+            if m != n and len(y) == len(x)
         )
-        out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
+        out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
 
@@ -76,7 +78,8 @@ def many(spark):
              (2060, [float("inf")] * 8, 1), (None, [0.5] * 8, 1), (700, [0.25, 0.5], 1),
              (701, [1.5, -1.0], 1), (20, rows[20][1], 1)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, vec int")
-    points = {i: np.floor(64 * np.array(v, float)).astype(int) for i, v, _ in rows[:700] + rows[-3:]}
+    sound = rows[:700] + rows[-3:]  # the last repeats the row of id 20
+    points = [(i, np.floor(64 * np.array(v, float)).astype(int)) for i, v, _ in sound]
     return df, points
 
 
@@ -92,7 +95,7 @@ def test_top_k(many, monkeypatch, data_block, query_block):
 
 def test_few_rows(many):
     df, points = many
-    few = {i: points[i] for i in (0, 1, 2)}
+    few = points[:3]
     rows = top_k(df.where("vec_id in (0, 1, 2)"), F.col("id") % 20 == 0, k=20).collect()
     assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in rows) == brute(few, 20, 20)
     assert top_k(df.where("false"), F.col("id") % 20 == 0).count() == 0
