@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -9,6 +10,8 @@ import pytest
 from tickloom.llm.decontaminate import (
     MASKS,
     SPAN,
+    _known,
+    _known_seeds,
     best_overlap,
     contamination,
     seeds,
@@ -35,6 +38,38 @@ def test_stretches_with_two_substitutions_share_a_seed():
         assert any((p == q).all() for p, q in zip(a, b))
 
 
+def test_words_of_ascii_and_other_texts():
+    """Every ASCII sign between words, with a letter beyond ASCII behind it or not."""
+    from xxhash import xxh64_intdigest
+
+    text = "".join(f"Word{i}{chr(i)}" for i in range(128))
+    expected = [xxh64_intdigest(w) for w in re.findall(r"\w+", text.lower())]
+    assert word_hashes(text).tolist() == expected
+    assert word_hashes(text + " \u00c9").tolist() == [*expected, xxh64_intdigest("\u00e9")]
+    signs = word_hashes(text + " \u4f60\u597d").tolist()
+    assert signs == [*expected, *map(xxh64_intdigest, "\u4f60\u597d")]
+
+
+def test_seeds_of_many_texts_at_once():
+    """As if each text were searched alone; no seed reaches into the next text."""
+    rng = np.random.default_rng(7)
+    texts = [rng.integers(0, 3, n).astype(np.uint64) for n in (0, 30, 9, 3, 0, 12, 1, 200, 4, 10, 2)]
+    short = (3, 5, 9)
+    bitmap = np.zeros(1 << 10, np.uint64)
+    for seed in np.concatenate(list(seeds(texts[7][:60], short)))[::3]:
+        for probe in range(3):
+            bit = int(seed) >> 19 * probe & 0xFFFF
+            bitmap[bit >> 6] |= np.uint64(1 << (bit & 63))
+    expected = []
+    for i, words in enumerate(texts):
+        found = [(at, int(f[at])) for f in seeds(words, short) for at in _known(bitmap, f).tolist()]
+        if found:
+            expected.append((i, found))
+    got = [(i, list(zip(at.tolist(), s.tolist()))) for i, at, s in _known_seeds(texts, bitmap, short)]
+    assert got == expected and len(got) > 3
+    assert list(_known_seeds(texts[:1], bitmap, short)) == []
+
+
 def longest_by_hand(doc, item):
     least, best = min(SPAN, len(item)), None
     for diagonal in range(-len(item), len(doc)):

@@ -35,11 +35,16 @@ SIMILARITY = 0.8
 PROBES = 3  # each from other bits of the seed
 MOST_BITS = 1 << 26  # of the bitmap, 8 MB; a fuller bitmap lets more seeds through to the join
 BITS_PER_SEED = 256
+AT_ONCE = 1 << 15  # words of several texts whose seeds are made together
 
 _WORD = re.compile(r"\w+")
+# ASCII letters in lower case, digits and underscores as they are, spaces for other signs
+_ASCII_WORDS = bytes(
+    ord(chr(i).lower()) if i < 128 and (chr(i).isalnum() or chr(i) == "_") else 32 for i in range(256)
+)
 # Scripts without spaces between words, from Thai and Lao to Han; each of their signs is a word.
-_FIRST_SIGN = "\u0e00"
 _SIGNS = "\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+_SIGN = re.compile(f"[{_SIGNS}]")
 _WORD_OR_SIGN = re.compile(f"[{_SIGNS}]|[^\\W{_SIGNS}]+")
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -48,21 +53,27 @@ def word_hashes(text: str) -> np.ndarray:
     """A 64-bit hash of every word of a text, letters in lower case."""
     from xxhash import xxh64_intdigest
 
-    spaced = text.isascii() or max(text) < _FIRST_SIGN
-    words = (_WORD if spaced else _WORD_OR_SIGN).findall(text.lower())
+    if text.isascii():
+        words = text.encode().translate(_ASCII_WORDS).split()  # the same words, sooner
+    else:
+        text = text.lower()
+        words = (_WORD_OR_SIGN if _SIGN.search(text) else _WORD).findall(text)
     return np.fromiter(map(xxh64_intdigest, words), np.uint64, len(words))
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(32))) * _ODD
-    return x ^ (x >> np.uint64(29))
+    x = x ^ (x >> np.uint64(32))
+    x *= _ODD
+    x ^= x >> np.uint64(29)
+    return x
 
 
 def _selected(words: np.ndarray, mask: tuple[int, ...], salt: int) -> np.ndarray:
     n = len(words) - max(mask)
     total = np.full(n, salt, np.uint64)
     for offset in mask:
-        total = total * _ODD + words[offset : offset + n]
+        total *= _ODD
+        total += words[offset : offset + n]
     return _mixed(total)
 
 
@@ -144,14 +155,39 @@ def _bitmap(item_seeds: DataFrame) -> np.ndarray:
 
 def _known(bitmap: np.ndarray, seed: np.ndarray) -> np.ndarray:
     """Indexes of the seeds that the bitmap may hold."""
-    left = np.arange(len(seed))
+    left = None
     for probe in range(PROBES):
-        bit = _bit_of(seed[left], probe, 64 * len(bitmap))
-        held = (bitmap[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1)
-        left = left[held.astype(bool)]
+        bit = _bit_of(seed if left is None else seed[left], probe, 64 * len(bitmap))
+        held = bitmap[(bit >> np.uint64(6)).view(np.int64)] >> (bit & np.uint64(63))
+        held = np.flatnonzero(held & np.uint64(1))
+        left = held if left is None else left[held]
     return left
 
 
+def _known_seeds(
+    texts: list[np.ndarray], bitmap: np.ndarray, short: tuple[int, ...]
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Number, positions and seeds of each text that has seeds the bitmap may hold.
+
+    ``texts`` are the hashes of their words. They are put one behind the other, and seeds that reach
+    from one text into the next are left out.
+    """
+    words = np.concatenate(texts)
+    ends = np.cumsum([len(t) for t in texts])
+    found = [[np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64)]]
+    for seed in seeds(words, short):
+        at = _known(bitmap, seed)
+        text = np.searchsorted(ends, at, side="right")
+        within = at + (len(words) - len(seed) + 1) <= ends[text]
+        at, text = at[within], text[within]
+        found.append([text, at - (ends[text] - [len(texts[i]) for i in text]), seed[at]])
+    text, at, seed = map(np.concatenate, zip(*found))
+    order = np.argsort(text, kind="stable")
+    numbers, starts = np.unique(text[order], return_index=True)
+    for number, own in zip(numbers.tolist(), np.split(order, starts[1:])):
+        yield number, at[own], seed[own]
+
+
 def _seeded(docs: DataFrame, bitmap, short: tuple[int, ...], text_col: str) -> DataFrame:
     """Each text that may share a seed, with its words' hashes and those seeds."""
 
@@ -159,21 +195,26 @@ def _seeded(docs: DataFrame, bitmap, short: tuple[int, ...], text_col: str) -> D
         words_type, int_list = pa.list_(pa.int64()), pa.list_(pa.int32())
         for batch in slices(batches, "text"):
             out: list[list] = [[], [], [], []]
-            for digest, text in zip(
-                batch.column("digest").to_pylist(), batch.column("text").to_pylist()
-            ):
-                words = word_hashes(text)
-                at, hits = [], []
-                for found in seeds(words, short):
-                    left = _known(bitmap.value, found)
-                    at.append(left)
-                    hits.append(found[left])
-                if sum(map(len, at)):
+            digests, texts, total = [], [], 0
+
+            def search() -> None:
+                for i, at, hits in _known_seeds(texts, bitmap.value, short):
                     for values, value in zip(out, (
-                        digest, words.view(np.int64),
-                        np.concatenate(at).astype(np.int32), np.concatenate(hits).view(np.int64),
+                        digests[i], texts[i].view(np.int64), at.astype(np.int32), hits.view(np.int64),
                     )):
                         values.append(value)
+
+            for digest, text in zip(
+                batch.column("digest").to_pylist(), batch.column("text").to_pylist()
+            ):
+                digests.append(digest)
+                texts.append(word_hashes(text))
+                total += len(texts[-1])
+                if total >= AT_ONCE:
+                    search()
+                    digests, texts, total = [], [], 0
+            if texts:
+                search()
             kinds = [pa.string(), words_type, int_list, words_type]
             arrays = [pa.array(v, k) for v, k in zip(out, kinds)]
             names = ["digest", "words", "at", "seeds"]
