@@ -106,6 +106,31 @@ def test_many_forms_in_one_leaf(spark, monkeypatch, small):
     assert texts(spark, docs) == plain(docs)
 
 
+def test_links_to_lines_that_left_a_large_block(spark):
+    """Lines of the second document are similar to one line of the form letter each, and to no other."""
+    names = [f"n{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(90)]
+    docs = {
+        1: "\n".join(line((7, name)) for name in names),
+        2: "\n".join(line((7, name), (8, f"x{name}")) for name in names[::9]),
+    }
+    assert texts(spark, docs) == plain(docs) == {1: docs[1], 2: ""}
+
+
+@pytest.mark.parametrize("small", [1, 4])
+def test_size_of_blocks_changes_no_result(spark, monkeypatch, small):
+    """Lines of few words, so that chains lead through many blocks."""
+    monkeypatch.setattr(operator, "SMALL_BLOCK", small)
+    rng = random.Random(small)
+    docs = {}
+    for key in range(60):
+        rows = []
+        for length, words in ((5, "abcdefghi"), (10, "abcde"), (15, "abc")):
+            ends = [rng.choices(words, k=length) for _ in range(2)]
+            rows += [" ".join(["the", "very", "same", "first", "words", *end]) for end in ends]
+        docs[key] = "\n".join(rows)
+    assert texts(spark, docs) == plain(docs)
+
+
 def test_a_very_long_token(spark):
     docs = {1: "a" * 300_000 + " b c d", 2: "a" * 300_000 + "7 b c d", 3: "b" * 200_000 + "9 b c d"}
     assert texts(spark, docs) == plain(docs) == {1: docs[1], 2: docs[2], 3: ""}

@@ -83,22 +83,57 @@ def _similar(one: Column, other: Column) -> Column:
     return equal >= SIMILARITY * (F.size(one) - LEADING)
 
 
-def _blocks(lines: DataFrame) -> DataFrame:
-    """``block`` and ``line``: lines that can be similar meet in at least one block.
+def _may_differ(tokens: Column) -> Column:
+    """How many tokens behind the leading ones may differ in similar lines of that length."""
+    return F.floor((F.size(tokens) - LEADING) * (1 - SIMILARITY) + 1e-9).cast("int")
+
+
+def _cut(blocks: DataFrame, turn: int) -> DataFrame:
+    """Smaller blocks: lines of a block that can be similar meet in at least one of them.
 
     Behind the leading tokens a line is cut into one segment more than tokens may differ, at the same
-    places for all lines of a leaf; so two similar lines agree in one segment at least.
+    places for all lines of a block; so two similar lines agree in one segment at least. From turn 1
+    on the tokens are dealt to the segments in an order that changes with the turn.
     """
-    behind = F.size("tokens") - LEADING
-    cuts = F.floor(behind * (1 - SIMILARITY) + 1e-9).cast("int") + 1
+    tokens = F.col("tokens")
+    size = F.size(tokens) - LEADING
+    cuts = _may_differ(tokens) + 1
+    behind = F.slice(tokens, LEADING + 1, size)
+    if turn:
+        dealt = F.transform(behind, lambda t, i: F.struct(F.xxhash64(F.lit(turn), i), i, t.alias("t")))
+        behind = F.transform(F.array_sort(dealt), lambda x: x["t"])
 
     def segment(i: Column) -> Column:
-        start = F.floor(i * behind / cuts).cast("int")
-        stop = F.floor((i + 1) * behind / cuts).cast("int")
-        return F.xxhash64("leaf", i, F.slice("tokens", start + (LEADING + 1), stop - start))
+        start = F.floor(i * size / cuts).cast("int")
+        stop = F.floor((i + 1) * size / cuts).cast("int")
+        return F.xxhash64("block", F.lit(turn), i, F.slice("behind", start + 1, stop - start))
 
     segments = F.transform(F.sequence(F.lit(0), cuts - 1), segment)
-    return lines.select("line", F.explode(segments).alias("block"))
+    rows = blocks.select("block", "line", "side", "tokens", behind.alias("behind"))
+    return rows.select(F.explode(segments).alias("block"), "line", "side")
+
+
+def _spokes(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
+    """Compares lines with the first of their block: whether they are ``near`` it, and ``keys``.
+
+    A key is a place at which the line differs from the first, with its token there. A line that is
+    not near differs in more places than it may from a near one, so it has the same keys in some of
+    them; any selection of one more key than tokens may differ holds one of those. Lines that differ
+    from the first in more than twice as many places cannot be similar to a near one: null.
+    """
+    words = {c: tokens.toDF(c, f"{c}_tokens") for c in ("first", "line")}
+    both = pairs.join(words["first"], "first").join(words["line"], "line")
+    one, other = F.col("line_tokens"), F.col("first_tokens")
+    own = F.zip_with(one, other, lambda x, y: F.when(x != y, x))
+    places = F.transform(own, lambda x, i: F.when(x.isNotNull(), F.xxhash64(i, x)))
+    found = both.select(
+        "first", "line", _similar(one, other).alias("near"),
+        F.filter(places, lambda x: x.isNotNull()).alias("keys"), _may_differ(one).alias("most"),
+    )
+    keys = F.when(F.col("near"), F.col("keys")).when(
+        F.size("keys") <= 2 * F.col("most"), F.slice("keys", F.lit(1), F.col("most") + 1)
+    )
+    return found.select("first", "line", "near", keys.alias("keys"))
 
 
 def _links(lines: DataFrame) -> DataFrame:
@@ -106,34 +141,67 @@ def _links(lines: DataFrame) -> DataFrame:
 
     ``lines`` has ``leaf``, ``line`` and ``tokens`` of the wide lines of ambiguous leaves. In a block
     of up to SMALL_BLOCK lines all are compared. In a larger one, such as a form letter's with a
-    name for each recipient, all are compared with the first; those similar to it are linked to it
-    and leave, and the others are a smaller block. So no group makes the square of its size.
+    name for each recipient, all are compared with the first; those near it are linked to it and to
+    each other thereby. The lines left make a smaller block, which is cut further if it is the
+    greater part. Some of them may be similar to lines near the first. The two sides make a block in
+    which only lines of different ``side`` are compared, if one has up to SMALL_BLOCK lines. Else
+    two similar lines both differ from the first by an equal token at one place, and there is a
+    block for each place and token. So no pair is passed over whatever the size of its block; as the
+    first line of a block is in none that comes of it, and it is the least, blocks run out.
     """
-    blocks = stage(_blocks(lines), "blocks")
-    spark, links = lines.sparkSession, None
+    leaves = lines.select(F.col("leaf").alias("block"), "line", F.lit(0).alias("side"), "tokens")
+    blocks = stage(_cut(leaves, 0), "blocks")
+    links, turn = None, 0
     tokens = lines.select("line", "tokens")
     while True:
-        sizes = blocks.groupBy("block").agg(F.count("*").alias("n"), F.min("line").alias("first"))
-        sizes = sizes.where("n > 1")
+        sides = [F.count_if(F.col("side") == i) for i in (1, 2)]
+        sizes = blocks.groupBy("block").agg(
+            F.count("*").alias("n"), F.min("line").alias("first"),
+            F.min("side").alias("low"), F.max("side").alias("high"), F.least(*sides).alias("less"),
+        )
+        sizes = sizes.where("n > 1 AND (high = 0 OR low < high)").select(
+            "block", "n", "first", F.when(F.col("high") == 0, F.col("n")).otherwise(F.col("less")).alias("few")
+        )
         known = stage(blocks.join(sizes, "block"), "blocks")
-        small = known.where(F.col("n") <= SMALL_BLOCK)
-        near = small.select("block", F.col("line").alias("a")).join(
-            small.select("block", F.col("line").alias("b")), "block"
-        ).where("a < b").select("a", "b")
-        large = known.where(F.col("n") > SMALL_BLOCK).where("line <> first")
-        pairs = near.unionByName(large.select(F.col("first").alias("a"), F.col("line").alias("b")))
+        small = known.where(F.col("few") <= SMALL_BLOCK)
+        one, other = (
+            small.select("block", F.col("line").alias(c), F.col("side").alias(f"side_{c}"))
+            for c in "ab"
+        )
+        pairs = one.join(other, "block").where("a < b AND (side_a = 0 OR side_a <> side_b)")
         words = {c: tokens.toDF(c, f"tokens_{c}") for c in "ab"}
-        compared = pairs.distinct().join(words["a"], "a").join(words["b"], "b")
+        compared = pairs.select("a", "b").distinct().join(words["a"], "a").join(words["b"], "b")
         found = stage(
             compared.where(_similar(F.col("tokens_a"), F.col("tokens_b"))).select("a", "b"), "links"
         )
         links = found if links is None else links.unionByName(found)
+        large = known.where(F.col("few") > SMALL_BLOCK).where("line <> first")
         if large.isEmpty():
             return links
-        linked = found.toDF("first", "line")
-        blocks = stage(
-            large.join(linked, ["first", "line"], "left_anti").select("line", "block"), "blocks"
+        turn += 1
+        spokes = stage(_spokes(large.select("first", "line").distinct(), tokens), "spokes")
+        links = links.unionByName(
+            spokes.where("near").select(F.col("first").alias("a"), F.col("line").alias("b"))
+        )
+        left = large.join(spokes.where("NOT near").select("first", "line"), ["first", "line"])
+        shares = left.groupBy("block").agg(F.count("*").alias("left"))
+        left = left.join(shares, "block").withColumn(
+            "cut", (F.col("left") > SMALL_BLOCK) & (2 * F.col("left") > F.col("n"))
+        )
+        reach = spokes.where("keys IS NOT NULL")
+        around = reach.groupBy("first").agg(
+            F.least(F.count_if(F.col("near")), F.count_if(~F.col("near"))).alias("few")
         )
+        whole = F.array(F.lit(0).cast("bigint"))
+        keyed = reach.join(around.where("few > 0"), "first").select(
+            F.explode(F.when(F.col("few") <= SMALL_BLOCK, whole).otherwise(F.col("keys"))).alias("key"),
+            "first", "line", F.when(F.col("near"), 1).otherwise(2).alias("side"),
+        ).select(F.xxhash64("first", "key").alias("block"), "line", "side")
+        others = keyed.where("side = 2")
+        met = keyed.where("side = 1").join(others.select("block"), "block", "left_semi")
+        again = left.where("NOT cut").select("block", "line", "side")
+        again = again.unionByName(_cut(left.where("cut").join(tokens, "line"), turn))
+        blocks = stage(again.unionByName(met).unionByName(others), "blocks")
 
 
 def recurring(docs: DataFrame, lines: DataFrame, id_col: str, text_col: str) -> DataFrame:
