@@ -4,8 +4,10 @@ import random
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.llm import lines as operator
+from tickloom.llm.components import components
 from tickloom.llm.lines import cleaned, without_recurring_lines
 
 
@@ -131,6 +133,41 @@ def test_size_of_blocks_changes_no_result(spark, monkeypatch, small):
     assert texts(spark, docs) == plain(docs)
 
 
+def test_comparisons_of_near_copies_grow_with_their_number(spark, monkeypatch):
+    """A letter, copies of it with one to eighteen changed words, often the same change; the copies
+    with the most changes are unlike most others."""
+    rng, n = random.Random(5), 400
+    letter = TEN[:5] + [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    forms = {tuple(letter)}
+    while len(forms) < n:
+        copy = list(letter)
+        for place in rng.sample(range(5, 65), min(18, 1 + int(rng.expovariate(0.3)))):
+            copy[place] = rng.choice(["same", f"x{rng.random()}"])
+        forms.add(tuple(copy))
+    forms = sorted(forms)
+    compared = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(one, other):
+        compared.add(1)
+        return sum(a == b for a, b in zip(one[5:], other[5:])) >= 0.8 * (len(one) - 5)
+
+    monkeypatch.setattr(operator, "_similar", counted)
+    # in an order that does not put the letter first
+    rows = [(1, place, list(form)) for place, form in enumerate(rng.sample(forms, n))]
+    links = operator._links(spark.createDataFrame(rows, "leaf long, line long, tokens array<string>"))
+    found = {r.node: r.root for r in components(links).collect()}
+    root = list(range(n))
+    for i in range(n):
+        for j in range(i):
+            same = sum(a == b for a, b in zip(rows[i][2][5:], rows[j][2][5:]))
+            if same >= 48 and root[i] != root[j]:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    assert [found.get(i, i) for i in range(n)] == root
+    assert compared.value < 10 * n and links.count() < 2 * n
+
+
 def test_a_very_long_token(spark):
     docs = {1: "a" * 300_000 + " b c d", 2: "a" * 300_000 + "7 b c d", 3: "b" * 200_000 + "9 b c d"}
     assert texts(spark, docs) == plain(docs) == {1: docs[1], 2: docs[2], 3: ""}

@@ -120,6 +120,7 @@ def _spokes(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     not near differs in more places than it may from a near one, so it has the same keys in some of
     them; any selection of one more key than tokens may differ holds one of those. Lines that differ
     from the first in more than twice as many places cannot be similar to a near one: null.
+    ``pairs`` has ``first``, its ``rank`` and ``line``.
     """
     words = {c: tokens.toDF(c, f"{c}_tokens") for c in ("first", "line")}
     both = pairs.join(words["first"], "first").join(words["line"], "line")
@@ -127,13 +128,31 @@ def _spokes(pairs: DataFrame, tokens: DataFrame) -> DataFrame:
     own = F.zip_with(one, other, lambda x, y: F.when(x != y, x))
     places = F.transform(own, lambda x, i: F.when(x.isNotNull(), F.xxhash64(i, x)))
     found = both.select(
-        "first", "line", _similar(one, other).alias("near"),
+        "first", "rank", "line", _similar(one, other).alias("near"),
         F.filter(places, lambda x: x.isNotNull()).alias("keys"), _may_differ(one).alias("most"),
     )
     keys = F.when(F.col("near"), F.col("keys")).when(
         F.size("keys") <= 2 * F.col("most"), F.slice("keys", F.lit(1), F.col("most") + 1)
     )
-    return found.select("first", "line", "near", keys.alias("keys"))
+    return found.select("first", "rank", "line", "near", keys.alias("keys"))
+
+
+def _compared(small: DataFrame, tokens: DataFrame, hubs: DataFrame | None) -> DataFrame:
+    """The similar pairs ``a``, ``b`` of small blocks, less those that share a ``hub``."""
+    columns, apart = ["line", "side"], F.lit(True)
+    if hubs is not None:
+        small = small.join(hubs, "line", "left")
+        columns += ["hub"]
+        apart = ~F.coalesce(F.col("hub_a") == F.col("hub_b"), F.lit(False))
+    one, other = (
+        small.select("block", *(F.col(x).alias(c if x == "line" else f"{x}_{c}") for x in columns))
+        for c in "ab"
+    )
+    sides = (F.col("side_a") == 0) | (F.col("side_a") != F.col("side_b"))
+    pairs = one.join(other, "block").where((F.col("a") < F.col("b")) & sides & apart)
+    words = {c: tokens.toDF(c, f"tokens_{c}") for c in "ab"}
+    both = pairs.select("a", "b").distinct().join(words["a"], "a").join(words["b"], "b")
+    return both.where(_similar(F.col("tokens_a"), F.col("tokens_b"))).select("a", "b")
 
 
 def _links(lines: DataFrame) -> DataFrame:
@@ -142,47 +161,56 @@ def _links(lines: DataFrame) -> DataFrame:
     ``lines`` has ``leaf``, ``line`` and ``tokens`` of the wide lines of ambiguous leaves. In a block
     of up to SMALL_BLOCK lines all are compared. In a larger one, such as a form letter's with a
     name for each recipient, all are compared with the first; those near it are linked to it and to
-    each other thereby. The lines left make a smaller block, which is cut further if it is the
-    greater part. Some of them may be similar to lines near the first. The two sides make a block in
-    which only lines of different ``side`` are compared, if one has up to SMALL_BLOCK lines. Else
-    two similar lines both differ from the first by an equal token at one place, and there is a
-    block for each place and token. So no pair is passed over whatever the size of its block; as the
-    first line of a block is in none that comes of it, and it is the least, blocks run out.
+    each other thereby. First is the line that met most others in the blocks of its leaf, as the
+    letter itself does and a letter with many changes does not; so few are left that are not near it.
+    Lines of small blocks that are near one first, their hub, are not compared again.
+
+    The lines left make a smaller block, which is cut further if it is the greater part. Some of
+    them may be similar to lines near the first. The two sides make a block in which only lines of
+    different ``side`` are compared, if these are few pairs. Else two similar lines both differ from
+    the first by an equal token at one place, and there is a block for each place and token; it is
+    compared at once if one side has up to SMALL_BLOCK lines. So no pair is passed over whatever the size of its block; as the
+    first line of a block is in none that comes of it, and all in it follow in one order of the
+    lines, blocks run out.
     """
     leaves = lines.select(F.col("leaf").alias("block"), "line", F.lit(0).alias("side"), "tokens")
     blocks = stage(_cut(leaves, 0), "blocks")
-    links, turn = None, 0
+    links = ranks = stars = hubs = None
+    turn = 0
     tokens = lines.select("line", "tokens")
     while True:
         sides = [F.count_if(F.col("side") == i) for i in (1, 2)]
         sizes = blocks.groupBy("block").agg(
-            F.count("*").alias("n"), F.min("line").alias("first"),
-            F.min("side").alias("low"), F.max("side").alias("high"), F.least(*sides).alias("less"),
+            F.count("*").alias("n"), F.min("side").alias("low"), F.max("side").alias("high"),
+            F.least(*sides).alias("less"),
         )
+        few = F.when(F.col("high") == 0, F.col("n")).otherwise(F.col("less"))
         sizes = sizes.where("n > 1 AND (high = 0 OR low < high)").select(
-            "block", "n", "first", F.when(F.col("high") == 0, F.col("n")).otherwise(F.col("less")).alias("few")
+            "block", "n", (few <= SMALL_BLOCK).alias("small")
         )
         known = stage(blocks.join(sizes, "block"), "blocks")
-        small = known.where(F.col("few") <= SMALL_BLOCK)
-        one, other = (
-            small.select("block", F.col("line").alias(c), F.col("side").alias(f"side_{c}"))
-            for c in "ab"
-        )
-        pairs = one.join(other, "block").where("a < b AND (side_a = 0 OR side_a <> side_b)")
-        words = {c: tokens.toDF(c, f"tokens_{c}") for c in "ab"}
-        compared = pairs.select("a", "b").distinct().join(words["a"], "a").join(words["b"], "b")
-        found = stage(
-            compared.where(_similar(F.col("tokens_a"), F.col("tokens_b"))).select("a", "b"), "links"
-        )
+        large = known.where("NOT small")
+        last = large.isEmpty()
+        if not last:
+            if ranks is None:
+                met = known.groupBy("line").agg(F.sum(-F.col("n")).alias("rank"))
+                ranks = stage(met.join(large.select("line"), "line", "left_semi"), "ranks")
+            least = large.join(ranks, "line").groupBy("block").agg(F.min(F.struct("rank", "line")).alias("x"))
+            firsts = least.select("block", "x.rank", F.col("x.line").alias("first"))
+            large = stage(large.join(firsts, "block").where("line <> first"), "blocks")
+            spokes = stage(_spokes(large.select("first", "rank", "line").distinct(), tokens), "spokes")
+            near = spokes.where("near")
+            star = near.select(F.col("first").alias("a"), F.col("line").alias("b"))
+            links = star if links is None else links.unionByName(star)
+            around = near.select("rank", "first", F.explode(F.array("line", "first")).alias("line"))
+            stars = around if stars is None else stars.unionByName(around)
+            hubs = stars.groupBy("line").agg(F.min(F.struct("rank", "first")).alias("x"))
+            hubs = stage(hubs.select("line", F.col("x.first").alias("hub")), "hubs")
+        found = stage(_compared(known.where("small"), tokens, hubs), "links")
         links = found if links is None else links.unionByName(found)
-        large = known.where(F.col("few") > SMALL_BLOCK).where("line <> first")
-        if large.isEmpty():
+        if last:
             return links
         turn += 1
-        spokes = stage(_spokes(large.select("first", "line").distinct(), tokens), "spokes")
-        links = links.unionByName(
-            spokes.where("near").select(F.col("first").alias("a"), F.col("line").alias("b"))
-        )
         left = large.join(spokes.where("NOT near").select("first", "line"), ["first", "line"])
         shares = left.groupBy("block").agg(F.count("*").alias("left"))
         left = left.join(shares, "block").withColumn(
@@ -190,11 +218,11 @@ def _links(lines: DataFrame) -> DataFrame:
         )
         reach = spokes.where("keys IS NOT NULL")
         around = reach.groupBy("first").agg(
-            F.least(F.count_if(F.col("near")), F.count_if(~F.col("near"))).alias("few")
+            (F.count_if(F.col("near")) * F.count_if(~F.col("near"))).alias("pairs")
         )
         whole = F.array(F.lit(0).cast("bigint"))
-        keyed = reach.join(around.where("few > 0"), "first").select(
-            F.explode(F.when(F.col("few") <= SMALL_BLOCK, whole).otherwise(F.col("keys"))).alias("key"),
+        keyed = reach.join(around.where("pairs > 0"), "first").select(
+            F.explode(F.when(F.col("pairs") <= SMALL_BLOCK**2, whole).otherwise(F.col("keys"))).alias("key"),
             "first", "line", F.when(F.col("near"), 1).otherwise(2).alias("side"),
         ).select(F.xxhash64("first", "key").alias("block"), "line", "side")
         others = keyed.where("side = 2")
